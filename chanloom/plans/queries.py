@@ -17,6 +17,7 @@ from ..config import Profile
 from ..operators import classify as C
 from ..operators import dedupe as D
 from ..operators import health as H
+from ..operators import parse as P
 from ..operators import score as S
 from ..operators import tiers as T
 from ..sources import fixtures as FX
@@ -219,6 +220,49 @@ def q_failed_channels(spark, d):
     return _flat(T.published(_tiers(spark, d)["dead"]))
 
 
+# ---------------------------------------------------------------------------
+# Playlist lines and parsing
+# ---------------------------------------------------------------------------
+
+def attrs_text(m: Column) -> Column:
+    """Attribute map as sorted ``key=value`` text joined by ';'."""
+    return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"]))), ";")
+
+
+def q_m3u_lines(spark, d):
+    docs = FX.read_table(spark, d, "documents", ["doc_id", "text"], spread_rows=True)
+    return P.text_lines(docs, "text", ("doc_id",))
+
+
+def _extinf_lines(spark, d) -> DataFrame:
+    lines = FX.playlist_lines(spark, d)
+    return lines.where(F.col("line").startswith("#EXTINF:"))
+
+
+def q_extinf_parse(spark, d):
+    li = _extinf_lines(spark, d)
+    line = F.col("line")
+    valid = P.extinf_valid(line)
+    return li.select("source_name", "line_no", valid.alias("valid"),
+                     F.regexp_extract(line, P.EXTINF_RE, 1).alias("duration"),
+                     P.extinf_name(line).alias("name"),
+                     P.extinf_blob(line).alias("attr_blob"))
+
+
+def q_extinf_attrs(spark, d):
+    li = _extinf_lines(spark, d)
+    m = P.extinf_attrs(P.extinf_blob(F.col("line")))
+    return li.select("source_name", "line_no", attrs_text(m).alias("attrs"),
+                     F.size(m).alias("n_attrs"))
+
+
+def q_m3u_parse(spark, d):
+    parsed = P.m3u_parse(FX.playlist_lines(spark, d))
+    return parsed.select("source_name", "entry_id", "name", "url", "group_title",
+                         attrs_text(F.col("attrs")).alias("attrs"))
+
+
 QUERIES: dict[str, Query] = {
     "pre_score": q_pre_score,
     "dedupe_url": q_dedupe_url,
@@ -246,4 +290,8 @@ QUERIES: dict[str, Query] = {
     "tier_ranked": q_tier_ranked,
     "publish_channels": q_publish_channels,
     "failed_channels": q_failed_channels,
+    "m3u_lines": q_m3u_lines,
+    "extinf_parse": q_extinf_parse,
+    "extinf_attrs": q_extinf_attrs,
+    "m3u_parse": q_m3u_parse,
 }

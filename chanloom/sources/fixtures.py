@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import Profile
+from .tables import read_table  # noqa: F401  (re-exported)
 
 # Rule set of the fixtures (FIXTURES.md section 4), in priority order.
 FIXTURE_COUNTRIES = [
@@ -54,7 +55,8 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: entry_id, source_name, source_weight, source_tags, name, url,
     group_title, attrs (tvg-id / tvg-name / tvg-logo), probe_key.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                    spread_rows=True)
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand", "p_type")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     j = li.join(pa, li.l_partkey == pa.p_partkey).join(su, li.l_suppkey == su.s_suppkey)
@@ -99,7 +101,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-B: probe attempts per probe key, from ``events``."""
-    ev = table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     level = (F.when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 2)
              .when(F.col("event_type") == "view", 1).otherwise(0))
