@@ -17,7 +17,11 @@ from ..config import Profile
 from ..operators import classify as C
 from ..operators import dedupe as D
 from ..operators import health as H
+from ..functions import payload as PL
+from ..functions import text as TX
+from ..functions import urls as U
 from ..operators import parse as P
+from ..operators import probe as PR
 from ..operators import score as S
 from ..operators import tiers as T
 from ..sources import fixtures as FX
@@ -263,6 +267,60 @@ def q_m3u_parse(spark, d):
                          attrs_text(F.col("attrs")).alias("attrs"))
 
 
+# ---------------------------------------------------------------------------
+# Captured samples, URLs, payloads, text
+# ---------------------------------------------------------------------------
+
+def q_is_playlist(spark, d):
+    hs = FX.http_samples(spark, d)
+    return hs.select("url", PL.is_playlist(F.col("content_type"), F.col("body")).alias("is_playlist"))
+
+
+def q_first_media_uri(spark, d):
+    hs = FX.http_samples(spark, d)
+    return hs.select("url", PL.first_media_uri(TX.utf8_ignore(F.col("body"))).alias("media_uri"))
+
+
+def q_url_resolve(spark, d):
+    hs = FX.http_samples(spark, d)
+    first = PL.first_media_uri(TX.utf8_ignore(F.col("body")))
+    return (hs.select("url", first.alias("media_uri")).where(F.col("media_uri") != "")
+            .select("url", "media_uri", U.url_resolve(F.col("url"), F.col("media_uri")).alias("resolved")))
+
+
+def q_probe_levels(spark, d):
+    targets = FX.entries(spark, d).select("url").distinct()
+    lv = PR.probe_levels(FX.http_samples(spark, d), targets)
+    return lv.select("url", "attempt", "check_level", "status_code", "error")
+
+
+def _pages(spark, d) -> DataFrame:
+    return FX.read_table(spark, d, "pages", ["page_id", "url", "html"], spread_rows=True)
+
+
+def q_url_scheme(spark, d):
+    pg = _pages(spark, d)
+    return pg.select("page_id", U.url_scheme(F.col("url")).alias("scheme"),
+                     U.is_http_url(F.col("url")).alias("is_http"))
+
+
+def q_url_host(spark, d):
+    pg = _pages(spark, d)
+    return pg.select("page_id", U.url_host(F.col("url")).alias("host"))
+
+
+def q_denied_payload(spark, d):
+    pg = _pages(spark, d)
+    body = F.encode(F.col("html"), "UTF-8")
+    ctype = F.when(F.col("page_id") % 2 == 0, F.lit("text/html; charset=utf-8")).otherwise(F.lit("video/mp2t"))
+    return pg.select("page_id", PL.denied_payload(ctype, body, FX.FIXTURE_DENY_MARKERS).alias("denied"))
+
+
+def q_normalize_text(spark, d):
+    docs = FX.read_table(spark, d, "documents", ["doc_id", "text"], spread_rows=True)
+    return docs.select("doc_id", TX.normalize_text(F.col("text")).alias("norm"))
+
+
 QUERIES: dict[str, Query] = {
     "pre_score": q_pre_score,
     "dedupe_url": q_dedupe_url,
@@ -294,4 +352,12 @@ QUERIES: dict[str, Query] = {
     "extinf_parse": q_extinf_parse,
     "extinf_attrs": q_extinf_attrs,
     "m3u_parse": q_m3u_parse,
+    "is_playlist": q_is_playlist,
+    "first_media_uri": q_first_media_uri,
+    "url_resolve": q_url_resolve,
+    "probe_levels": q_probe_levels,
+    "url_scheme": q_url_scheme,
+    "url_host": q_url_host,
+    "denied_payload": q_denied_payload,
+    "normalize_text": q_normalize_text,
 }
