@@ -45,31 +45,33 @@ def ranked(df: DataFrame) -> DataFrame:
     return df.orderBy(*rank_order())
 
 
-def with_rank(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Dense 1-based ``rank`` in ``rank_order`` without a single-task window.
-
-    Range-partition and sort, then give each row its index inside its
-    partition and add the row count of all earlier partitions.  Only the
-    per-partition counts (one row per partition) are gathered; they are
-    broadcast, which is bounded by the partition count.
+def with_rank(df: DataFrame, keys: list[Column] | None = None, name: str = "rank",
+              partitions: int | None = None) -> DataFrame:
+    """Dense 1-based position in ``keys`` order (default ``rank_order``)
+    without a single-task window.
+
+    Range-partition and sort, give each row its index inside its partition
+    and add the row count of all earlier partitions.  Only one count per
+    partition is gathered and broadcast (bounded by the partition count).
+    The sorted rows are checkpointed so both uses see the same partitions.
     """
+    from pyspark.sql.window import Window
+
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col("score_dec").desc(), F.col("country"), F.col("_lname"), F.col("primary_url")]
-    sorted_df = (df.withColumn("_lname", F.lower(F.col("name")))
-                 .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    keys = keys or rank_order()
+    sorted_df = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id()))
     sorted_df = sorted_df.checkpoint(eager=True)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql.window import Window
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return (sorted_df.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-            .withColumn("rank", (F.col("_off") + local + 1).cast("long"))
-            .drop("_pid", "_mid", "_off", "_lname"))
+            .withColumn(name, (F.col("_off") + local + 1).cast("long"))
+            .drop("_pid", "_mid", "_off"))
 
 
 def title_lookup(titles: Mapping[str, str], key: Column, default: Column) -> Column:

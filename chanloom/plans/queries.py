@@ -22,12 +22,17 @@ from ..functions import text as TX
 from ..functions import urls as U
 from ..operators import parse as P
 from ..operators import probe as PR
+from ..operators import render as R
+from ..operators import reports as RP
+from ..operators import search as SR
 from ..operators import score as S
 from ..operators import tiers as T
 from ..sources import fixtures as FX
 from . import build as B
 
 PROFILE = FX.FIXTURE_PROFILE
+# One attempt per URL and one fallback tried: leaves a non-empty dead tier.
+PROFILE_R1 = PROFILE.with_(retries=1, max_fallbacks=1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,12 +54,12 @@ def _selected(spark: SparkSession, d: str, profile: Profile = PROFILE) -> DataFr
     return B.selected_channels(B.prepared_entries(FX.entries(spark, d), profile), profile)
 
 
-def _checked(spark: SparkSession, d: str) -> B.Checked:
-    return B.health_stage(_selected(spark, d), FX.url_attempts(spark, d), PROFILE)
+def _checked(spark: SparkSession, d: str, profile: Profile = PROFILE) -> B.Checked:
+    return B.health_stage(_selected(spark, d, profile), FX.url_attempts(spark, d), profile)
 
 
-def _tiers(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return B.tiers(_checked(spark, d).checked, PROFILE)
+def _tiers(spark: SparkSession, d: str, profile: Profile = PROFILE) -> dict[str, DataFrame]:
+    return B.tiers(_checked(spark, d, profile).checked, profile)
 
 
 # ---------------------------------------------------------------------------
@@ -198,7 +203,7 @@ def q_tier_relaxed(spark, d):
 
 
 def q_tier_dead(spark, d):
-    return _tier_rows(_tiers(spark, d)["dead"])
+    return _tier_rows(_tiers(spark, d, PROFILE_R1)["dead"])
 
 
 def q_tier_ranked(spark, d):
@@ -221,7 +226,7 @@ def q_publish_channels(spark, d):
 
 
 def q_failed_channels(spark, d):
-    return _flat(T.published(_tiers(spark, d)["dead"]))
+    return _flat(T.published(_tiers(spark, d, PROFILE_R1)["dead"]))
 
 
 # ---------------------------------------------------------------------------
@@ -321,6 +326,109 @@ def q_normalize_text(spark, d):
     return docs.select("doc_id", TX.normalize_text(F.col("text")).alias("norm"))
 
 
+# ---------------------------------------------------------------------------
+# Rendering, sinks, reports, search
+# ---------------------------------------------------------------------------
+
+def _relaxed_titled(spark, d, profile: Profile = PROFILE) -> DataFrame:
+    return T.assign_group_title(_tiers(spark, d, profile)["relaxed"], profile)
+
+
+def q_m3u_render(spark, d):
+    df = R.render_rows(_relaxed_titled(spark, d))
+    return df.select("primary_url", "extinf", "url")
+
+
+def q_m3u_render_country(spark, d):
+    df = R.render_country_rows(_relaxed_titled(spark, d), PROFILE.country_titles())
+    return df.select("primary_url", "extinf", "url")
+
+
+def q_by_country_order(spark, d):
+    rel = _relaxed_titled(spark, d)
+    keys = [F.col("country")] + T.rank_order()
+    return T.with_rank(rel, keys, "position").select("position", "country", "primary_url")
+
+
+def q_by_category_rows(spark, d):
+    rel = _relaxed_titled(spark, d)
+    cats = F.when(F.size("categories") > 0, F.col("categories")).otherwise(F.array(F.lit("general")))
+    ex = rel.withColumn("category", F.explode(cats))
+    title = T.title_lookup(PROFILE.category_titles(), F.col("category"), TX.title_case(F.col("category")))
+    return R.render_rows(ex, title).select("category", "primary_url", "extinf")
+
+
+def q_report_verification(spark, d):
+    return RP.verification_totals(_checked(spark, d, PROFILE_R1).checked, PROFILE_R1)
+
+
+def q_report_failure_reasons(spark, d):
+    return RP.failure_reasons(_tiers(spark, d, PROFILE_R1)["dead"])
+
+
+def q_report_country_counts(spark, d):
+    return RP.country_counts(_tiers(spark, d)["relaxed"])
+
+
+def q_report_category_counts(spark, d):
+    return RP.category_counts(_tiers(spark, d)["relaxed"])
+
+
+def q_audit_country_list(spark, d):
+    return _flat(RP.country_list(_relaxed_titled(spark, d), "az"))
+
+
+def q_audit_other_top(spark, d):
+    return _flat(RP.other_examples(_relaxed_titled(spark, d), 120))
+
+
+def _parsed_sources(spark, d) -> DataFrame:
+    return P.m3u_parse(FX.playlist_lines(spark, d))
+
+
+def q_source_report(spark, d):
+    return RP.source_report(FX.sources(spark, d), _parsed_sources(spark, d))
+
+
+def q_enabled_sources(spark, d):
+    src = RP.enabled_sources(FX.sources(spark, d))
+    return src.select("name", "url", "weight", _join("tags").alias("tags"))
+
+
+def q_build_stats(spark, d):
+    prof = PROFILE_R1
+    srcs = FX.sources(spark, d)
+    report = RP.source_report(srcs, _parsed_sources(spark, d))
+    fetched = B.prepared_entries(FX.entries(spark, d), prof)
+    selected = B.selected_channels(fetched, prof)
+    checked = B.health_stage(selected, FX.url_attempts(spark, d), prof).checked
+    return RP.build_stats(srcs, report, fetched, selected, checked, prof)
+
+
+def _channels(spark, d) -> DataFrame:
+    """channels.json: the published relaxed tier."""
+    return _published_relaxed(spark, d)
+
+
+SEARCH = {"text": "Ring", "category": "parts", "tier": "strict"}
+
+
+def q_catalogue_search(spark, d):
+    return _flat(SR.catalogue_search(_channels(spark, d), **SEARCH))
+
+
+def q_catalogue_search_stats(spark, d):
+    return SR.search_stats(_channels(spark, d), **SEARCH)
+
+
+def q_facet_countries(spark, d):
+    return SR.facet_countries(_channels(spark, d))
+
+
+def q_facet_categories(spark, d):
+    return SR.facet_categories(_channels(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "pre_score": q_pre_score,
     "dedupe_url": q_dedupe_url,
@@ -360,4 +468,21 @@ QUERIES: dict[str, Query] = {
     "url_host": q_url_host,
     "denied_payload": q_denied_payload,
     "normalize_text": q_normalize_text,
+    "m3u_render": q_m3u_render,
+    "m3u_render_country": q_m3u_render_country,
+    "by_country_order": q_by_country_order,
+    "by_category_rows": q_by_category_rows,
+    "report_verification": q_report_verification,
+    "report_failure_reasons": q_report_failure_reasons,
+    "report_country_counts": q_report_country_counts,
+    "report_category_counts": q_report_category_counts,
+    "audit_country_list": q_audit_country_list,
+    "audit_other_top": q_audit_other_top,
+    "source_report": q_source_report,
+    "enabled_sources": q_enabled_sources,
+    "build_stats": q_build_stats,
+    "catalogue_search": q_catalogue_search,
+    "catalogue_search_stats": q_catalogue_search_stats,
+    "facet_countries": q_facet_countries,
+    "facet_categories": q_facet_categories,
 }
