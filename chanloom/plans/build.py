@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Profile
+from ..session import materialize
 from ..operators import classify as C
 from ..operators import dedupe as D
 from ..operators import health as H
@@ -59,10 +60,12 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
             "check_level": F.lit(1)})
         empty = selected.sparkSession.createDataFrame([], H.REPORT_SCHEMA)
         return Checked(S.post_score(checked, profile.prefer_https), empty, empty.select("url"))
+    # ``selected`` and the report are each read by several joins below.
+    selected = materialize(selected)
     primary_report = H.probe_report(attempts, selected.select("url"), profile.retries, profile.keep_error)
     candidates = H.fallback_candidates(selected, primary_report, profile.max_fallbacks)
     fb_report = H.probe_report(attempts, candidates, profile.retries, profile.keep_error)
-    report = primary_report.unionByName(fb_report)
+    report = materialize(primary_report.unionByName(fb_report))
     swapped = H.fallback_swap(selected, report, profile.max_fallbacks)
     checked = H.apply_health(swapped, report)
     return Checked(S.post_score(checked, profile.prefer_https), report, candidates)

@@ -68,3 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="chanloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df):
+    """Write a stage boundary to the session's checkpoint folder and cut its
+    lineage.  Used where a DataFrame is read by several later joins (so it is
+    computed once) and to make long jobs restartable after executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
