@@ -74,17 +74,33 @@ def extinf_blob(line: Column) -> Column:
 
 def extinf_attrs(blob: Column) -> Column:
     """``key="value"`` pairs as a map; values stripped; a repeated key keeps
-    its last value; the reserved ``__name__`` key is dropped.  The
-    de-duplication is explicit, so no session setting is needed."""
+    its last value; the reserved ``__name__`` key is dropped.
+
+    With the session's ``mapKeyDedupPolicy=LAST_WIN`` (set by
+    ``apply_required_conf``) the map is built directly; otherwise repeated
+    keys are removed explicitly first.
+    """
     keys = F.regexp_extract_all(blob, F.lit(ATTR_RE), 1)
-    vals = F.regexp_extract_all(blob, F.lit(ATTR_RE), 2)
-    pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
-    # keep a pair when no later pair has the same key
-    last = F.filter(pairs, lambda p, i: ~F.exists(
-        F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), lambda k: k == p["k"]))
-    kept = F.filter(last, lambda p: p["k"] != "__name__")
-    entries = F.transform(kept, lambda p: F.struct(p["k"].alias("key"), py_strip(p["v"]).alias("value")))
-    return F.map_from_entries(entries)
+    vals = F.transform(F.regexp_extract_all(blob, F.lit(ATTR_RE), 2), py_strip)
+    if _last_win():
+        m = F.map_from_arrays(keys, vals)
+    else:
+        pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
+        last = F.filter(pairs, lambda p, i: ~F.exists(
+            F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), lambda k: k == p["k"]))
+        m = F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value"))))
+    return F.when(F.array_contains(keys, "__name__"),
+                  F.map_filter(m, lambda k, v: k != "__name__")).otherwise(m)
+
+
+def _last_win() -> bool:
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    try:
+        return spark is not None and spark.conf.get("spark.sql.mapKeyDedupPolicy") == "LAST_WIN"
+    except Exception:  # noqa: BLE001
+        return False
 
 
 # ---------------------------------------------------------------------------
@@ -110,11 +126,11 @@ def _typed_lines(lines: DataFrame, chunk_lines: int) -> DataFrame:
                     "kind", "line", eu.alias("eu"), gval.alias("gval"))
 
 
-def _carry(summary: DataFrame, value: Column, name: str) -> DataFrame:
-    """Value of the nearest earlier chunk (of the same source) where it is set."""
+def _carry(value: Column) -> Column:
+    """Value of the nearest earlier chunk (same source) where it is set."""
     w = (Window.partitionBy("source_name").orderBy("chunk")
          .rowsBetween(Window.unboundedPreceding, -1))
-    return summary.select("source_name", "chunk", F.last(value, ignorenulls=True).over(w).alias(name))
+    return F.last(value, ignorenulls=True).over(w)
 
 
 def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataFrame:
@@ -122,41 +138,56 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
 
     Output: ``source_name, entry_id`` (line number of the URL line),
     ``name, url, group_title, attrs``.
+
+    Plan: lines are shuffled once by ``(source, chunk)``; running windows
+    inside a chunk give the local state; a per-chunk summary (first / last
+    EXTINF-or-URL line, last local emission, last EXTGRP) is scanned in
+    chunk order to get the state entering each chunk; the summary is joined
+    back.  Only the summary is ordered per source.
     """
     t = _typed_lines(lines, chunk_lines)
     local = Window.partitionBy("source_name", "chunk").orderBy("line_no")
     before = local.rowsBetween(Window.unboundedPreceding, -1)
-
-    # Level 1: previous EXTINF/URL line inside the chunk.
-    t = t.withColumn("prev_eu", F.last("eu", ignorenulls=True).over(before))
-    # Level 2: the last EXTINF/URL line of earlier chunks.
-    s1 = t.groupBy("source_name", "chunk").agg(
-        F.max_by("eu", F.when(F.col("eu").isNotNull(), F.col("line_no"))).alias("last_eu"))
-    c1 = _carry(s1, F.col("last_eu"), "carry_eu")
-    t = t.join(c1, ["source_name", "chunk"], "left")
-    prev = F.coalesce(F.col("prev_eu"), F.col("carry_eu"))
-    t = t.withColumn("emit", (F.col("kind") == "U") & F.coalesce(
-        (prev["kind"] == "E") & prev["valid"], F.lit(False)))
-    t = t.withColumn("src", F.when(F.col("emit"), prev))
-
-    # Pending group: last EXTGRP after the previous emission.
     g = F.when(F.col("kind") == "G", F.struct(F.col("line_no").alias("at"), F.col("gval").alias("v")))
+
+    # Local state (previous EXTINF/URL line, last EXTGRP) inside the chunk.
     t = t.withColumns({
+        "prev_eu": F.last("eu", ignorenulls=True).over(before),
         "last_g": F.last(g, ignorenulls=True).over(before),
-        "last_emit": F.last(F.when(F.col("emit"), F.col("line_no")), ignorenulls=True).over(before),
     })
-    s2 = t.groupBy("source_name", "chunk").agg(
-        F.max(F.when(F.col("emit"), F.col("line_no"))).alias("chunk_emit"),
+    emit_local = (F.col("kind") == "U") & F.coalesce(
+        (F.col("prev_eu.kind") == "E") & F.col("prev_eu.valid"), F.lit(False))
+    t = t.withColumn("emit_local", emit_local)
+    t = t.withColumn("last_emit_local",
+                     F.last(F.when(F.col("emit_local"), F.col("line_no")), ignorenulls=True).over(before))
+
+    # Per-chunk summary and the state entering each chunk.
+    eu_line = F.when(F.col("eu").isNotNull(), F.col("line_no"))
+    s = t.groupBy("source_name", "chunk").agg(
+        F.max_by("eu", eu_line).alias("last_eu"),
+        F.min_by(F.struct(F.col("line_no").alias("at"), F.col("kind").alias("kind")), eu_line).alias("first_eu"),
+        F.max(F.when(F.col("emit_local"), F.col("line_no"))).alias("local_emit"),
         F.max_by(g, F.when(F.col("kind") == "G", F.col("line_no"))).alias("chunk_g"))
-    tail = (F.when(F.col("chunk_g").isNotNull()
-                   & (F.col("chunk_g.at") > F.coalesce(F.col("chunk_emit"), F.lit(-1))), F.col("chunk_g.v"))
-            .when(F.col("chunk_emit").isNotNull(), F.lit("")))
-    c2 = _carry(s2, tail, "carry_group")
-    out = t.where("emit").join(c2, ["source_name", "chunk"], "left")
-    local_group = (F.when(F.col("last_g").isNotNull()
-                          & (F.col("last_g.at") > F.coalesce(F.col("last_emit"), F.lit(-1))),
+    s = s.withColumn("carry_eu", _carry(F.col("last_eu")))
+    first_is_emit = ((F.col("first_eu.kind") == "U") & F.coalesce(
+        (F.col("carry_eu.kind") == "E") & F.col("carry_eu.valid"), F.lit(False)))
+    s = s.withColumn("first_emit", F.when(first_is_emit, F.col("first_eu.at")))
+    chunk_emit = F.coalesce(F.col("local_emit"), F.col("first_emit"))
+    tail = (F.when(F.col("chunk_g").isNotNull() & (F.col("chunk_g.at") > F.coalesce(chunk_emit, F.lit(-1))),
+                   F.col("chunk_g.v"))
+            .when(chunk_emit.isNotNull(), F.lit("")))
+    s = s.withColumn("carry_group", _carry(tail)).select(
+        "source_name", "chunk", "carry_eu", "carry_group", "first_emit")
+
+    out = t.where(F.col("kind") == "U").join(s, ["source_name", "chunk"], "left")
+    prev = F.coalesce(F.col("prev_eu"), F.col("carry_eu"))
+    out = out.withColumn("src", F.when((prev["kind"] == "E") & prev["valid"], prev)).where(
+        F.col("src").isNotNull())
+    last_emit = F.coalesce(F.col("last_emit_local"),
+                           F.when(F.col("first_emit") < F.col("line_no"), F.col("first_emit")))
+    local_group = (F.when(F.col("last_g").isNotNull() & (F.col("last_g.at") > F.coalesce(last_emit, F.lit(-1))),
                           F.col("last_g.v"))
-                   .when(F.col("last_emit").isNotNull(), F.lit("")))
+                   .when(last_emit.isNotNull(), F.lit("")))
     pending = F.coalesce(local_group, F.col("carry_group"), F.lit(""))
     attrs = extinf_attrs(F.col("src.blob"))
     group = F.when(F.map_contains_key(attrs, "group-title"), attrs["group-title"]).otherwise(pending)

@@ -130,20 +130,23 @@ def playlist_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("attrs")["tvg-id"].alias("tvg_id"),
                  F.row_number().over(w).cast("long").alias("k"))
     k = F.col("k")
-    grp = n.where(k % 5 == 0).select(
-        "source_name", (k * 10).alias("line_no"),
-        F.concat(F.lit("#EXTGRP:G"), _s(k % 13)).alias("line"))
-    inf = n.where(k % 7 != 0).select(
-        "source_name", (k * 10 + 1).alias("line_no"),
-        F.when(k % 11 == 0, F.lit("#EXTINF:abc,bad")).otherwise(F.concat(
-            F.lit('#EXTINF:-1 tvg-id="'), F.col("tvg_id"), F.lit('"'),
-            F.when(k % 2 == 0, F.concat(F.lit(' group-title="'), F.col("group_title"), F.lit('"')))
-            .otherwise(F.lit("")),
-            F.lit(","), F.col("name"))).alias("line"))
-    opt = n.where(k % 3 == 0).select("source_name", (k * 10 + 2).alias("line_no"),
-                                     F.lit("#EXTVLCOPT:x").alias("line"))
-    url = n.select("source_name", (k * 10 + 3).alias("line_no"), F.col("url").alias("line"))
-    return grp.unionByName(inf).unionByName(opt).unionByName(url)
+
+    def line(cond, offset, text):
+        return F.when(cond, F.struct((k * 10 + offset).alias("line_no"), text.alias("line")))
+
+    extinf = F.when(k % 11 == 0, F.lit("#EXTINF:abc,bad")).otherwise(F.concat(
+        F.lit('#EXTINF:-1 tvg-id="'), F.col("tvg_id"), F.lit('"'),
+        F.when(k % 2 == 0, F.concat(F.lit(' group-title="'), F.col("group_title"), F.lit('"')))
+        .otherwise(F.lit("")),
+        F.lit(","), F.col("name")))
+    # All lines of one entry come from one row (one pass over the entries).
+    lines = F.array(
+        line(k % 5 == 0, 0, F.concat(F.lit("#EXTGRP:G"), _s(k % 13))),
+        line(k % 7 != 0, 1, extinf),
+        line(k % 3 == 0, 2, F.lit("#EXTVLCOPT:x")),
+        line(F.lit(True), 3, F.col("url")))
+    return (n.select("source_name", F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("x"))
+            .select("source_name", "x.line_no", "x.line"))
 
 
 def http_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,13 @@ def test_text_lines(spark):
     df = spark.createDataFrame([(1, "a\r\n\n  b   c")], "id int, text string")
     got = [(r.line_no, r.line) for r in P.text_lines(df, "text", ("id",)).collect()]
     assert got == [(0, "a"), (2, "b"), (3, "c")]
+
+
+def test_extinf_attrs_without_last_win_policy(spark):
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    try:
+        df = spark.createDataFrame([('a="1" b="x" a=" 2 " __name__="n"',)], "b string")
+        m = df.select(P.extinf_attrs(F.col("b")).alias("m")).first().m
+    finally:
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    assert m == {"a": "2", "b": "x"}
