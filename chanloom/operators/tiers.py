@@ -106,12 +106,12 @@ PUBLISHED_COLUMNS = [
 ]
 
 
-def published(df: DataFrame) -> DataFrame:
-    """The 18-field published record."""
+def published(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The 18-field published record (plus ``extra`` columns, e.g. rank)."""
     if "tier" not in df.columns:
         df = with_tier(df)
     return df.select(
-        "name", "url", "source_name", "source_weight", "source_tags", "group_title", "country",
+        *extra, "name", "url", "source_name", "source_weight", "source_tags", "group_title", "country",
         "categories", "alive", "status_code", "latency_ms", "check_error", "check_level", "tier",
         "score",
         attr("tvg-id").alias("tvg_id"), attr("tvg-name").alias("tvg_name"),
