@@ -75,5 +75,5 @@ def test_end_to_end(spark):
     chans = spark.read.parquet(os.path.join(out, "channels.parquet"))
     assert chans.count() == 2
     assert {r.country for r in chans.collect()} == {"az"}
-    src = {r.source: (r.ok, r.count) for r in spark.read.json(os.path.join(out, "reports", "source-report")).collect()}
+    src = {r["source"]: (r["ok"], r["count"]) for r in spark.read.json(os.path.join(out, "reports", "source-report")).collect()}
     assert src == {"alpha": (True, 3), "beta": (True, 2)}
