@@ -25,9 +25,9 @@ def dedupe_key_column(norm_tvg_name: Column | None = None, exact_unicode: bool =
     """Normalised name, else normalised tvg-name, else normalised URL."""
     if norm_tvg_name is None:
         norm_tvg_name = normalize_text(attr("tvg-name"), exact_unicode)
-    return F.coalesce(F.nullif(F.col("norm_name"), F.lit("")),
-                      F.nullif(norm_tvg_name, F.lit("")),
-                      normalize_text(F.col("url"), exact_unicode))
+    by_name = F.coalesce(F.nullif(F.col("norm_name"), F.lit("")), F.nullif(norm_tvg_name, F.lit("")))
+    # the URL is only normalised for entries without a usable name
+    return F.coalesce(by_name, normalize_text(F.when(by_name.isNull(), F.col("url")), exact_unicode))
 
 
 def with_dedupe_key(df: DataFrame, exact_unicode: bool = True) -> DataFrame:

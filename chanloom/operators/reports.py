@@ -59,28 +59,29 @@ def other_examples(relaxed: DataFrame, limit: int = 120) -> DataFrame:
 
 def build_stats(sources: DataFrame, source_report: DataFrame, fetched: DataFrame,
                 selected: DataFrame, checked: DataFrame, profile: Profile) -> DataFrame:
-    """The nine build totals as ``(stat, value)`` rows."""
+    """The nine build totals as ``(stat, value)`` rows: one aggregate pass
+    per input, unpivoted with ``stack``."""
     lvl = _lvl()
+
+    def long(df: DataFrame, **aggs) -> DataFrame:
+        row = df.agg(*[c.cast("long").alias(n) for n, c in aggs.items()])
+        pairs = ", ".join(f"'{n}', {n}" for n in aggs)
+        return row.selectExpr(f"stack({len(aggs)}, {pairs}) as (stat, value)")
+
     parts = [
-        sources.agg(F.count(F.lit(1)).alias("v")).select(F.lit("sources_total").alias("stat"), "v"),
-        source_report.agg(F.count_if(F.col("ok")).alias("v")).select(F.lit("sources_ok").alias("stat"), "v"),
-        source_report.agg(F.count_if(~F.col("ok")).alias("v")).select(F.lit("sources_failed").alias("stat"), "v"),
-        fetched.agg(F.count(F.lit(1)).alias("v")).select(F.lit("entries_fetched_raw").alias("stat"), "v"),
-        selected.agg(F.count(F.lit(1)).alias("v")).select(F.lit("entries_after_dedupe").alias("stat"), "v"),
-        selected.agg(F.coalesce(F.sum(F.size("fallback_urls")), F.lit(0)).alias("v"))
-        .select(F.lit("total_fallback_urls").alias("stat"), "v"),
+        long(sources, sources_total=F.count(F.lit(1))),
+        long(source_report, sources_ok=F.count_if(F.col("ok")), sources_failed=F.count_if(~F.col("ok"))),
+        long(fetched, entries_fetched_raw=F.count(F.lit(1))),
+        long(selected, entries_after_dedupe=F.count(F.lit(1)),
+             total_fallback_urls=F.coalesce(F.sum(F.size("fallback_urls")), F.lit(0))),
+        long(checked, entries_strict=F.count_if(lvl >= profile.strict_min_level),
+             entries_relaxed=F.count_if(lvl >= profile.relaxed_min_level),
+             entries_dead=F.count_if(lvl < profile.relaxed_min_level)),
     ]
-    tiers = checked.agg(
-        F.count_if(lvl >= profile.strict_min_level).alias("entries_strict"),
-        F.count_if(lvl >= profile.relaxed_min_level).alias("entries_relaxed"),
-        F.count_if(lvl < profile.relaxed_min_level).alias("entries_dead"))
-    tiers_long = tiers.select(F.explode(F.array(
-        *[F.struct(F.lit(c).alias("stat"), F.col(c).cast("long").alias("v"))
-          for c in ("entries_strict", "entries_relaxed", "entries_dead")])).alias("x")).select("x.stat", "x.v")
     out = parts[0]
-    for p in parts[1:] + [tiers_long]:
-        out = out.unionByName(p.select("stat", F.col("v").cast("long").alias("v")))
-    return out.select("stat", F.col("v").cast("long").alias("value"))
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def source_report(sources: DataFrame, parsed: DataFrame) -> DataFrame:

@@ -48,6 +48,7 @@ class Checked:
     checked: DataFrame      # all selected entries with health fields and post-score
     report: DataFrame       # url -> check_level, alive, status_code, latency_ms, error
     candidates: DataFrame   # fallback URLs that were probed
+    selected: DataFrame | None = None  # the checkpointed selection
 
 
 def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profile) -> Checked:
@@ -59,7 +60,7 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
             "latency_ms": F.lit(None).cast("int"), "check_error": F.lit(""),
             "check_level": F.lit(1)})
         empty = selected.sparkSession.createDataFrame([], H.REPORT_SCHEMA)
-        return Checked(S.post_score(checked, profile.prefer_https), empty, empty.select("url"))
+        return Checked(S.post_score(checked, profile.prefer_https), empty, empty.select("url"), selected)
     # ``selected`` and the report are each read by several joins below.
     selected = materialize(selected)
     primary_report = H.probe_report(attempts, selected.select("url"), profile.retries, profile.keep_error)
@@ -68,7 +69,7 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
     report = materialize(primary_report.unionByName(fb_report))
     swapped = H.fallback_swap(selected, report, profile.max_fallbacks)
     checked = H.apply_health(swapped, report)
-    return Checked(S.post_score(checked, profile.prefer_https), report, candidates)
+    return Checked(S.post_score(checked, profile.prefer_https), report, candidates, selected)
 
 
 def tiers(checked: DataFrame, profile: Profile) -> dict[str, DataFrame]:

@@ -47,8 +47,9 @@ def build_catalogue(spark: SparkSession, lines: DataFrame, sources: DataFrame, s
     attempts = None
     if samples is not None and profile.healthcheck_enabled:
         attempts = PR.probe_levels(samples, deny_markers=profile.deny_markers)
-    checked = B.health_stage(selected, attempts, profile).checked
-    checked = materialize(checked)
+    ck = B.health_stage(selected, attempts, profile)
+    selected = ck.selected
+    checked = materialize(ck.checked)
     tiers = B.tiers(checked, profile)
     relaxed = T.with_rank(T.assign_group_title(tiers["relaxed"], profile))
     strict = T.with_rank(T.assign_group_title(tiers["strict"], profile))

@@ -400,9 +400,8 @@ def q_build_stats(spark, d):
     srcs = FX.sources(spark, d)
     report = RP.source_report(srcs, _parsed_sources(spark, d))
     fetched = B.prepared_entries(FX.entries(spark, d), prof)
-    selected = B.selected_channels(fetched, prof)
-    checked = B.health_stage(selected, FX.url_attempts(spark, d), prof).checked
-    return RP.build_stats(srcs, report, fetched, selected, checked, prof)
+    ck = B.health_stage(B.selected_channels(fetched, prof), FX.url_attempts(spark, d), prof)
+    return RP.build_stats(srcs, report, fetched, ck.selected, ck.checked, prof)
 
 
 def _channels(spark, d) -> DataFrame:
