@@ -30,15 +30,27 @@ def url_scheme(col: Column | str) -> Column:
     return F.lower(F.regexp_extract(_clean(_col(col)), _SCHEME_RE, 1))
 
 
+# http or https scheme in one pattern: leading C0 controls / spaces are
+# skipped and tab / CR / LF may appear anywhere (urlsplit removes them).
+_HTTP_RE = "^[\\x00-\\x20]*(?i:h[\\t\\r\\n]*t[\\t\\r\\n]*t[\\t\\r\\n]*p[\\t\\r\\n]*(?:s[\\t\\r\\n]*)?):"
+
+
 def is_http_url(col: Column | str) -> Column:
-    return url_scheme(col).isin("http", "https")
+    return F.coalesce(_col(col), F.lit("")).rlike(_HTTP_RE)
+
+
+# Host info (netloc after the last '@') in one pattern, for URLs without
+# tab / CR / LF.
+_HOSTINFO_RE = "^[\\x00-\\x20]*(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//(?:[^/?#]*@)?([^/?#@]*)"
 
 
 def url_host(col: Column | str) -> Column:
     """Lower-cased host name ('' when there is none)."""
-    rest = F.regexp_replace(_clean(_col(col)), _SCHEME_RE, "")
+    c = F.coalesce(_col(col), F.lit(""))
+    rest = F.regexp_replace(_clean(c), _SCHEME_RE, "")
     netloc = F.regexp_extract(rest, "^//([^/?#]*)", 1)
-    hostinfo = F.regexp_extract(netloc, "([^@]*)$", 1)
+    exact = F.regexp_extract(netloc, "([^@]*)$", 1)
+    hostinfo = F.when(c.rlike("[\\t\\r\\n]"), exact).otherwise(F.regexp_extract(c, _HOSTINFO_RE, 1))
     bracketed = F.regexp_extract(hostinfo, "\\[([^\\]]*)", 1)
     plain = F.regexp_extract(hostinfo, "^([^:]*)", 1)
     host = F.when(hostinfo.contains("["), bracketed).otherwise(plain)

@@ -101,3 +101,23 @@ def test_first_media_uri(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.m for r in df.select(PL.first_media_uri(F.col("t")).alias("m")).collect()]
     assert got == ["seg.ts", "", "", "a"]
+
+
+def test_is_http_matches_urlparse(spark):
+    urls = URLS + ["\t https://x/", "ht\ttps://x", "HTTPS:x", "httpx://a", "", "xhttp://a", "\x01http://a"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    for r in df.select("u", U.is_http_url("u").alias("h")).collect():
+        assert r.h == (urlparse(r.u).scheme.lower() in ("http", "https")), repr(r.u)
+
+
+def test_host_fast_path_cases(spark):
+    urls = ["http://a@b@c.example/x", "http://a@b/x@y", "http://h:8@x/", "https://[v1.x]:9/", "//a@b:1",
+            "http://\\tx.y/", "http://x.y\\n/", "  http://[::1", "http://h?x@y", "http:///p", "mailto:a@b"]
+    urls = [u.replace("\\\\t", "\t").replace("\\\\n", "\n") for u in urls]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    for r in df.select("u", U.url_host("u").alias("h")).collect():
+        try:
+            exp = (urlparse(r.u).hostname or "").lower()
+        except ValueError:
+            continue
+        assert r.h == exp, repr(r.u)
