@@ -121,9 +121,12 @@ def _typed_lines(lines: DataFrame, chunk_lines: int) -> DataFrame:
         F.when(valid, extinf_name(F.col("line"))).alias("name"),
         F.when(valid, extinf_blob(F.col("line"))).alias("blob")))
     gval = F.when(F.col("kind") == "G", py_strip(F.substring(F.col("line"), 9, 1 << 30)))
-    return t.select("source_name", "line_no",
-                    F.floor(F.col("line_no") / F.lit(chunk_lines)).cast("long").alias("chunk"),
-                    "kind", "line", eu.alias("eu"), gval.alias("gval"))
+    typed = t.select("source_name", "line_no",
+                     F.floor(F.col("line_no") / F.lit(chunk_lines)).cast("long").alias("chunk"),
+                     "kind", "line", eu.alias("eu"), gval.alias("gval"))
+    # Explicit: an input already hash-partitioned by source alone would also
+    # satisfy the windows' clustering and keep a hot source in one task.
+    return typed.repartition("source_name", "chunk")
 
 
 def _carry(value: Column) -> Column:
