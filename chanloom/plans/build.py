@@ -63,10 +63,13 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
         return Checked(S.post_score(checked, profile.prefer_https), empty, empty.select("url"), selected)
     # ``selected`` and the report are each read by several joins below.
     selected = materialize(selected)
-    primary_report = H.probe_report(attempts, selected.select("url"), profile.retries, profile.keep_error)
-    candidates = H.fallback_candidates(selected, primary_report, profile.max_fallbacks)
-    fb_report = H.probe_report(attempts, candidates, profile.retries, profile.keep_error)
-    report = materialize(primary_report.unionByName(fb_report))
+    # One pass over the attempts: a report row depends only on its URL, so
+    # the report of primaries and of every fallback that may be tried is
+    # computed together; the swap reads fallback rows of dead entries only.
+    targets = selected.select("url").unionByName(selected.select(
+        F.explode(F.slice("fallback_urls", 1, profile.max_fallbacks)).alias("url")))
+    report = materialize(H.probe_report(attempts, targets, profile.retries, profile.keep_error))
+    candidates = H.fallback_candidates(selected, report, profile.max_fallbacks)
     swapped = H.fallback_swap(selected, report, profile.max_fallbacks)
     checked = H.apply_health(swapped, report)
     return Checked(S.post_score(checked, profile.prefer_https), report, candidates, selected)
