@@ -77,3 +77,11 @@ def test_end_to_end(spark):
     assert {r.country for r in chans.collect()} == {"az"}
     src = {r["source"]: (r["ok"], r["count"]) for r in spark.read.json(os.path.join(out, "reports", "source-report")).collect()}
     assert src == {"alpha": (True, 3), "beta": (True, 2)}
+
+
+def test_cli_parses_arguments():
+    import pytest
+
+    from chanloom.__main__ import main
+    with pytest.raises(SystemExit):
+        main(["build", "--landing", "x"])  # missing required arguments
