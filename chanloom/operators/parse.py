@@ -33,9 +33,6 @@ ATTR_RE = '([A-Za-z0-9\\-_]+)="([^"]*)"'
 
 DEFAULT_CHUNK_LINES = 1 << 20
 
-_EU_TYPE = "struct<kind:string,valid:boolean,name:string,blob:string>"
-
-
 # ---------------------------------------------------------------------------
 # Lines
 # ---------------------------------------------------------------------------

@@ -132,20 +132,14 @@ def q_identity_keys(spark, d):
     return df.select(
         "entry_id", "source_name", "url",
         F.concat_ws("::", "country", "norm_name").alias("dedup_key"),
-        F.concat_ws("::", "norm_name", C_py_strip("url")).alias("stable_key"),
+        F.concat_ws("::", "norm_name", TX.py_strip(F.col("url"))).alias("stable_key"),
         F.col("norm_group").alias("normalized_group"))
 
 
-def C_py_strip(c: str) -> Column:
-    from ..functions.text import py_strip
-    return py_strip(F.col(c))
-
-
 def q_title_case(spark, d):
-    from ..functions.text import title_case
     e = FX.entries(spark, d)
     return e.select("entry_id", "source_name", "url",
-                    title_case(F.concat(F.lower("group_title"), F.lit("-"), F.col("name"), F.lit(" x"),
+                    TX.title_case(F.concat(F.lower("group_title"), F.lit("-"), F.col("name"), F.lit(" x"),
                                         F.col("attrs")["tvg-name"])).alias("title"))
 
 

@@ -25,8 +25,6 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # keep small shuffles spread over all local cores
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

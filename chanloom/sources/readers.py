@@ -21,8 +21,6 @@ from ..operators.parse import playlist_text, text_lines
 
 SOURCES_SCHEMA = ("sources array<struct<name:string,url:string,enabled:boolean,weight:int,"
                   "tags:array<string>>>")
-SAMPLES_SCHEMA = ("url string, attempt int, status int, content_type string, body binary, "
-                  "error string, elapsed_ms int")
 
 
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
