@@ -40,8 +40,25 @@ def is_playlist(content_type: Column, body: Column) -> Column:
     return ctype.contains("mpegurl") | head_text(body, PLAYLIST_HEAD_BYTES).contains("#EXTM3U")
 
 
+# Line boundaries of ``str.splitlines`` and the whitespace that can occur
+# inside a line (Python whitespace minus those boundaries).
+_LB = "\\n\\r\\x0B\\f\\x1C-\\x1E\\x85\\u2028\\u2029"
+_WSL = "\\t\\x1F \\xA0\\u1680\\u2000-\\u200A\\u202F\\u205F\\u3000"
+# First line whose stripped text is non-empty and does not start with '#'.
+_MEDIA_RE = (f"(?:\\A|\\r\\n|[{_LB}])[{_WSL}]*([^#{_WSL}{_LB}][^{_LB}]*?)[{_WSL}]*"
+             f"(?=\\r\\n|[{_LB}]|\\z)")
+
+
 def first_media_uri(text: Column) -> Column:
-    """First non-blank line that is not a ``#`` comment ('' if none)."""
+    """First non-blank line that is not a ``#`` comment ('' if none).
+
+    One regular expression (no split into an array): a line starts at the
+    beginning or after a line boundary; its stripped text is captured."""
+    return F.regexp_extract(F.coalesce(text, F.lit("")), _MEDIA_RE, 1)
+
+
+def first_media_uri_split(text: Column) -> Column:
+    """Reference form of ``first_media_uri`` (split, strip, filter)."""
     lines = F.transform(split_lines(F.coalesce(text, F.lit(""))), py_strip)
     media = F.filter(lines, lambda x: (x != "") & ~x.startswith("#"))
     return F.coalesce(F.get(media, 0), F.lit(""))

@@ -121,3 +121,24 @@ def test_host_fast_path_cases(spark):
         except ValueError:
             continue
         assert r.h == exp, repr(r.u)
+
+
+def _first_media_py(text):
+    for raw in text.splitlines():
+        line = raw.strip()
+        if line and not line.startswith("#"):
+            return line
+    return ""
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="a#b \t\r\n\x0b\x0c\x1c\x1f\x85\xa0 　", max_size=10),
+                min_size=1, max_size=6))
+def test_first_media_uri_matches_python(spark, parts):
+    texts = ["".join(parts), "#EXTM3U\r\n  \r\n#x\r\n  seg.ts  \r\nb", "\n\n  a b  \n", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [(r.t, r.m, r.s) for r in df.select("t", PL.first_media_uri(F.col("t")).alias("m"),
+                                              PL.first_media_uri_split(F.col("t")).alias("s")).collect()]
+    for t, m, s in got:
+        assert m == _first_media_py(t), repr(t)
+        assert s == m
