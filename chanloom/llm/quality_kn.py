@@ -40,9 +40,9 @@ from chanloom.llm.strings import codepoints, is_ws, mix, piece_hashes, word_span
 ORDER = 5
 START, END, REPEAT, REPLACED = 2, 3, 4, 0xFFFD
 #: Code points of one chunk (a longer document is a chunk of its own).
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 32_000_000
 #: Code points that numpy handles at once.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 #: Trusted ids are broadcast up to this number of rows, joined by a shuffle beyond.
 BROADCAST_IDS = 2_000_000
 
@@ -147,50 +147,77 @@ def _unpack(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(raw).read_all()
 
 
-def _chunks(batches):
-    """(id, rows) with the rows' texts together as long as a chunk may be.
-    The id is a digest of the rows, so both passes must see the same ones."""
-    held, size = [], 0
+class _Digest:
+    """The id of a chunk: a digest of its texts, so that both passes must
+    have seen the same rows in the same order."""
 
-    def done():
-        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        digest = hashlib.blake2b(digest_size=8)
-        digest.update(repr((rows.num_rows, rows.column("text__")[0].as_py(), rows.column("text__")[-1].as_py())).encode("utf-8", "surrogatepass"))
-        for t in rows.column("text__").to_pylist():
-            digest.update(t.encode("utf-8", "surrogatepass") + b"\0")
-        return int.from_bytes(digest.digest(), "little", signed=True), rows
+    def __init__(self):
+        self.state = hashlib.blake2b(digest_size=8)
+
+    def add(self, texts: list[str]) -> None:
+        for t in texts:
+            raw = t.encode("utf-8", "surrogatepass")
+            self.state.update(len(raw).to_bytes(8, "little") + raw)
+
+    def value(self) -> int:
+        return int.from_bytes(self.state.digest(), "little", signed=True)
 
+
+def _parts(batches):
+    """(rows, texts, whether a chunk begins with them): runs of rows of at
+    most BATCH_CHARS code points.  Where chunks begin depends on the rows
+    alone, not on how Arrow cut them into batches."""
+    size = 0
     for batch in batches:
-        lengths = [len(t) for t in batch.column("text__").to_pylist()]
-        start = 0
-        for i, n in enumerate(lengths):
-            if size and size + n > CHUNK_CHARS:
-                if i > start:
-                    held.append(batch.slice(start, i - start))
-                yield done()
-                held, size, start = [], 0, i
-            size += n
-        if len(lengths) > start:
-            held.append(batch.slice(start, len(lengths) - start))
-            size += 1
-    if held:
-        yield done()
+        texts = batch.column("text__").to_pylist()
+        start, held, begins = 0, 0, False
+        for i, t in enumerate(texts):
+            n = len(t)
+            new = size > 0 and size + n > CHUNK_CHARS
+            if i > start and (new or held + n > BATCH_CHARS):
+                yield batch.slice(start, i - start), texts[start:i], begins
+                start, held, begins = i, 0, False
+            if new:
+                size, begins = 0, True
+            size, held = size + max(n, 1), held + n
+        if len(texts) > start:
+            yield batch.slice(start, len(texts) - start), texts[start:], begins
 
 
 def _asked(batches):
-    for chunk, rows in _chunks(batches):
-        held = _Counter()
-        for _, _, part in text_batches(rows, "text__", BATCH_CHARS):
-            grams, *_ = word_grams(part)
-            if len(grams):
-                held.add(grams, np.zeros(len(grams), np.int64))
+    held, digest, any_rows = _Counter(), _Digest(), False
+
+    def done():
         strings = _as_strings(held.grams).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(strings), pa.int64()), pa.array(strings, pa.string())], ["chunk", "g"])
+        return pa.RecordBatch.from_arrays([pa.array([digest.value()] * len(strings), pa.int64()), pa.array(strings, pa.string())], ["chunk", "g"])
+
+    for _, texts, begins in _parts(batches):
+        if begins:
+            yield done()
+            held, digest = _Counter(), _Digest()
+        any_rows = True
+        digest.add(texts)
+        grams, *_ = word_grams(texts)
+        if len(grams):
+            held.add(grams, np.zeros(len(grams), np.int64))
+    if any_rows:
+        yield done()
 
 
 def _packed(batches):
-    for chunk, rows in _chunks(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([_pack(rows)], pa.binary())], ["chunk", "rows"])
+    held, digest = [], _Digest()
+
+    def done():
+        return pa.RecordBatch.from_arrays([pa.array([digest.value()], pa.int64()), pa.array([held], pa.list_(pa.binary()))], ["chunk", "rows"])
+
+    for rows, texts, begins in _parts(batches):
+        if begins:
+            yield done()
+            held, digest = [], _Digest()
+        digest.add(texts)
+        held.append(_pack(rows))
+    if held:
+        yield done()
 
 
 def score_texts(texts: list[str], hashes: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,15 +241,14 @@ def _scored(batches):
         for r in range(batch.num_rows):
             strings = batch.column("gs")[r].values
             hashes = _gram_hash(_as_grams(strings.to_pylist())) if len(strings) else np.zeros(0, np.uint64)
-            logs = batch.column("ls")[r].values.to_numpy(zero_copy_only=False)
+            logs = batch.column("ls")[r].values.to_numpy(zero_copy_only=False).astype(np.float64)
             order = np.argsort(hashes)
             hashes, logs = hashes[order], logs[order]
-            for rows in _unpack(batch.column("rows")[r].as_py()).to_batches():
-                for a, b, part in text_batches(rows, "text__", BATCH_CHARS):
-                    total, symbols = score_texts(part, hashes, logs)
-                    out = rows.slice(a, b - a)
-                    out = out.drop_columns(["text__"]) if hasattr(out, "drop_columns") else pa.Table.from_batches([out]).drop(["text__"]).to_batches()[0]
-                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(total), pa.array(symbols)], [*out.schema.names, "logp__", "symbols__"])
+            for payload in batch.column("rows")[r].values:
+                for rows in _unpack(payload.as_py()).to_batches():
+                    total, symbols = score_texts(rows.column("text__").to_pylist(), hashes, logs)
+                    keep = [n for n in rows.schema.names if n != "text__"]
+                    yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in keep), pa.array(total), pa.array(symbols)], [*keep, "logp__", "symbols__"])
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -259,7 +285,7 @@ def gram_log_probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
         own = F.coalesce(F.greatest(F.col("top"), F.lit(0.0)), F.lit(0.0)) / F.col("total")
         p = F.when(F.col("total").isNull(), F.col("q")).otherwise(own + F.col("mass") / F.col("total") * F.col("q"))
         below = joined.select(F.col("g").alias("s"), p.alias("q"))
-    return below.select(F.col("s").alias("g"), F.log("q").alias("logp"))
+    return materialize(below.select(F.col("s").alias("g"), F.log("q").alias("logp")), "logp")
 
 
 def with_trust(docs: DataFrame, trusted: DataFrame | None, key: Column) -> DataFrame:
@@ -280,11 +306,11 @@ def score(docs: DataFrame, trusted: DataFrame, columns: list[str], text: str = "
     rows = with_trust(docs.select(*columns, *[c for c in (key,) if c not in columns], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text__")), trusted, F.col(key))
     rows = rows.withColumn("fold__", F.when(F.col("trusted__"), F.when(side, 0).otherwise(1))).drop("trusted__")
     counts = materialize(count_grams(rows.where("fold__ = 1").select(F.col("text__").alias("text"))), "grams")
-    asked = rows.select("text__").mapInArrow(_asked, "chunk long, g string")
+    asked = materialize(rows.select("text__").mapInArrow(_asked, "chunk long, g string"), "asked")
     answers = asked.join(gram_log_probabilities(counts, asked), "g")
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("g", "logp")).alias("a")).select("chunk", F.col("a.g").alias("gs"), F.col("a.logp").alias("ls"))
-    packed = rows.mapInArrow(_packed, "chunk long, rows binary")
-    both = packed.join(answers, "chunk", "left").select("rows", F.coalesce("gs", F.array().cast("array<string>")).alias("gs"), F.coalesce("ls", F.array().cast("array<double>")).alias("ls"))
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("g", F.col("logp").cast("float").alias("logp"))).alias("a")).select("chunk", F.col("a.g").alias("gs"), F.col("a.logp").alias("ls"))
+    packed = rows.mapInArrow(_packed, "chunk long, rows array<binary>")
+    both = packed.join(answers, "chunk", "left").select("rows", F.coalesce("gs", F.array().cast("array<string>")).alias("gs"), F.coalesce("ls", F.array().cast("array<float>")).alias("ls"))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "text__"] + [T.StructField("logp__", T.DoubleType()), T.StructField("symbols__", T.LongType())])
     return both.mapInArrow(_scored, schema)
 

@@ -4,16 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanloom.llm import quality_kn
+from chanloom.llm import cuckoo, jaccard_join, mixing, packing, prefix_tokens, quality_kn
 from chanloom.llm.common import documents, table
+from chanloom.llm.tokenizer_files import byte_bpe
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(documents(spark, sf_dir))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.duplicates(documents(spark, sf_dir))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tokens.token_counts(documents(spark, sf_dir), byte_bpe())
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_kn.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), byte_bpe())
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_quality": op9_quality,
+    "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_exact_dedup": """
+        WITH d AS (
+          SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
+          FROM documents)
+        SELECT doc_id,
+               min(doc_id) OVER g AS keep_id,
+               count(*) OVER g AS group_size,
+               row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept,
+               text_sha256
+        FROM d WINDOW g AS (PARTITION BY text_sha256)
+    """,
+}
