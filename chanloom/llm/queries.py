@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanloom.llm import cuckoo, jaccard_join, mixing, packing, prefix_tokens, quality_kn
+from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, toxicity, weighted_sampling
 from chanloom.llm.common import documents, table
 from chanloom.llm.tokenizer_files import byte_bpe
 
@@ -14,6 +14,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicates(documents(spark, sf_dir))
 
@@ -26,6 +34,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_kn.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -36,9 +48,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_weighted_sampling": op2_weighted_sampling,
+    "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
