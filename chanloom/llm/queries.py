@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, toxicity, weighted_sampling
+from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, revisits, toxicity, weighted_sampling
 from chanloom.llm.common import documents, table
 from chanloom.llm.tokenizer_files import byte_bpe
 
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
 
 
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.resolve_revisits(revisits.page_records(table(spark, sf_dir, "pages")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicates(documents(spark, sf_dir))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_weighted_sampling": op2_weighted_sampling,
     "op3_pii": op3_pii,
+    "op4_revisits": op4_revisits,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_jaccard_join": op7_jaccard_join,
@@ -59,6 +64,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_revisits": revisits.ORACLE_SQL,
     "op5_exact_dedup": """
         WITH d AS (
           SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
