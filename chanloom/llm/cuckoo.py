@@ -243,11 +243,11 @@ def keep_one(docs: DataFrame, mark: Column, keepers: DataFrame, key: str = "doc_
     """The rows of ``docs`` whose (``mark``, key) is in ``keepers`` (columns
     mark__, keep__, and times__: how many rows of ``docs`` carry both), one
     row for each of them."""
-    rows = docs.withColumn("mark__", mark)
-    joined = rows.join(keepers, "mark__").where(F.col(key).cast("long").eqNullSafe(F.col("keep__")))
+    rows = docs.select(F.struct("*").alias("row__"), mark.alias("mark__"), F.col(key).cast("long").alias("key__"))
+    joined = rows.join(keepers, "mark__").where(F.col("key__").eqNullSafe(F.col("keep__")))
     once = joined.where("times__ = 1")
     again = joined.where("times__ > 1").dropDuplicates(["mark__"])
-    return once.unionByName(again).select(*docs.columns)
+    return once.unionByName(again).select("row__.*")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

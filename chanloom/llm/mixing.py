@@ -168,8 +168,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     the sum of their copies."""
     plan = mix_sources(docs, key, text, source).withColumn("copies", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")))
     plan = plan.groupBy(F.col("doc_id").alias("d__"), F.col("source").alias("s__"), F.col("size").alias("z__")).agg(F.sum("copies").alias("copies__"), F.count(F.lit(1)).alias("rows__"))
-    rows = docs.withColumn("own__", word_count(text_of(docs, text)))
-    same = F.col(key).cast("long").eqNullSafe(F.col("d__")) & F.col(source).eqNullSafe(F.col("s__")) & (F.col("own__") == F.col("z__"))
+    rows = docs.select(F.struct("*").alias("row__"), F.col(key).cast("long").alias("key__"), F.col(source).alias("source__"), word_count(text_of(docs, text)).alias("own__"))
+    same = F.col("key__").eqNullSafe(F.col("d__")) & F.col("source__").eqNullSafe(F.col("s__")) & (F.col("own__") == F.col("z__"))
     rows = rows.join(plan, same)
     # rows that repeat share their copies evenly, the first ones take the rest
     nth = F.row_number().over(Window.partitionBy("d__", "s__", "z__").orderBy(F.lit(0))) - 1
@@ -177,4 +177,4 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     shared = rows.where("rows__ > 1").withColumn("nth__", nth)
     shared = shared.withColumn("n__", F.floor(F.col("copies__") / F.col("rows__")) + (F.col("nth__") < F.pmod("copies__", "rows__")).cast("long")).drop("nth__")
     times = single.unionByName(shared).where("n__ > 0")
-    return times.withColumn("i__", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n__")))).select(*docs.columns)
+    return times.withColumn("i__", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n__")))).select("row__.*")

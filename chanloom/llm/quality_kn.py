@@ -347,5 +347,6 @@ def quality(docs: DataFrame, labels: DataFrame, lang: str = "lang", key: str = "
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with their columns."""
     trusted = labels.where("quality = 1").select("doc_id")
-    scored = materialize(score(docs, trusted, list(docs.columns)), "scored")
-    return classify(scored).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row__"), "doc_id", "lang", "text")
+    scored = materialize(score(rows, trusted, ["row__", "doc_id", "lang"]), "scored")
+    return classify(scored).where("kept").select("row__.*")

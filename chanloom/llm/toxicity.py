@@ -175,7 +175,8 @@ def fit_noisy_or(bags: list[np.ndarray], empty: np.ndarray, label: np.ndarray, w
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
-    """(feature hashes sorted, their weights, bias)."""
+    """(feature hashes sorted, their weights, bias); without any feature the
+    third is every document's score."""
     marks = labels.select(F.col("doc_id").alias("id__"), F.col("toxic").cast("int").alias("toxic")).where("id__ is not null and toxic is not null")
     marks = marks.where(~held_out(F.col("id__"))).groupBy("id__").agg(F.max("toxic").alias("toxic"))
     total = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
@@ -183,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     nothing = np.zeros(0, np.uint64), np.zeros(0)
     share = n_pos / max(1, n_pos + n_neg)
     if not n_pos or not n_neg:
-        return *nothing, float(np.log((share + 1e-9) / (1 - share + 1e-9)))
+        return *nothing, float(share)
     small = n_pos + n_neg <= BROADCAST_IDS
     rows = docs.select(F.col(key).alias("key__"), text_of(docs, text).alias("text"))
     rows = rows.join(F.broadcast(marks) if small else marks, F.col("key__") == F.col("id__"))
@@ -192,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     top = counts.where(F.col("pos") >= LEAST_POSITIVE).withColumn("tell", F.col("pos") * ratio).orderBy(F.desc("tell"), "h").limit(FEATURES)
     hashes = np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
     if not len(hashes):
-        return *nothing, float(np.log(share / (1 - share)))
+        return *nothing, float(share)
     chance = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / n_pos)).otherwise(min(1.0, SAMPLE / n_neg))
     drawn = F.pmod(F.xxhash64("key__", F.lit(8)), F.lit(1 << 30)) < chance * (1 << 30)
     sample = rows.where(drawn).select("text", "toxic").mapInArrow(_bags(hashes), "toxic int, bag binary, empty long").toArrow()
@@ -215,6 +216,8 @@ def _sentence_logits(s: Sentences, hashes: np.ndarray, w: np.ndarray, b: float)
 
 
 def document_scores(texts: list[str], hashes: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
+    if not len(hashes):
+        return np.full(len(texts), b)
     s = Sentences(texts)
     u = np.bincount(s.sentence_doc, weights=_softplus(_sentence_logits(s, hashes, w, b)), minlength=len(texts))
     none = np.bincount(s.sentence_doc, minlength=len(texts)) == 0
@@ -243,6 +246,8 @@ def sentence_scores(docs: DataFrame, model, least: float = 0.5, key: str = "doc_
         for batch in batches:
             for a, _, part in text_batches(batch, "text", BATCH_CHARS):
                 s = Sentences(part)
+                if not len(hashes):
+                    continue
                 p = np.exp(-_softplus(-_sentence_logits(s, hashes, w, b)))
                 hit = np.flatnonzero(p >= least)
                 base = s.docs[:-1][s.sentence_doc[hit]]
