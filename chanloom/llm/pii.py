@@ -23,6 +23,8 @@ the same result each; a table without candidates has no spans.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,13 +175,12 @@ def classified(voted: DataFrame, prior: float, rates: dict) -> DataFrame:
     rows = voted.withColumn("belief", posterior(prior, rates))
     long = rows.select(F.explode(F.array(*[F.concat(F.lit(f + "="), F.col(f)) for f in FEATURES])).alias("feature"), "belief")
     table = long.groupBy("feature").agg(F.sum("belief").alias("yes"), F.sum(1 - F.col("belief")).alias("no"))
-    total = rows.agg(F.sum("belief").alias("all_yes"), F.sum(1 - F.col("belief")).alias("all_no"))
-    weights = table.crossJoin(F.broadcast(total)).select(  # one row of totals
-        "feature", (F.log((F.col("yes") + 0.5) / (F.col("all_yes") + 1)) - F.log((F.col("no") + 0.5) / (F.col("all_no") + 1))).alias("weight"),
-        F.log((F.col("all_yes") + 1) / (F.col("all_no") + 1)).alias("bias"))
+    yes, no = (float(x or 0) for x in rows.agg(F.sum("belief"), F.sum(1 - F.col("belief"))).first())
+    # one row per feature, kind and value: fewer than 7 * 5 * 65 whatever the corpus
+    weights = F.broadcast(table.select("feature", (F.log((F.col("yes") + 0.5) / (yes + 1)) - F.log((F.col("no") + 0.5) / (no + 1))).alias("weight")))
     own = [*KEY, "kind", "start", "end", "is_base"]
     each = rows.select(*own, F.explode(F.array(*[F.concat(F.lit(f + "="), F.col(f)) for f in FEATURES])).alias("feature"))
-    scored = each.join(weights, "feature").groupBy(*own).agg((F.sum("weight") + F.max("bias")).alias("odds"))
+    scored = each.join(weights, "feature").groupBy(*own).agg((F.sum("weight") + math.log((yes + 1) / (no + 1))).alias("odds"))
     return scored.withColumn("chance", 1 / (1 + F.exp(-F.col("odds")))).drop("odds")
 
 
