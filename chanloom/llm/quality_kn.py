@@ -324,16 +324,16 @@ def classify(scored: DataFrame, lang: str = "lang", quantile: float = 0.995, mar
     trusted = scored.where("fold__ = 0 and symbols__ > 0")
     mean = lambda: (-F.sum("logp__") / F.sum("symbols__"))
     means = trusted.groupBy(F.col(lang).alias("l__")).agg(mean().alias("mu__"), F.count(F.lit(1)).alias("n__")).where(F.col("n__") >= min_trusted)
-    overall = trusted.agg(mean().alias("mu_all__"))
-    based = scored.join(means, F.col(lang).eqNullSafe(F.col("l__")), "left").drop("l__").crossJoin(F.broadcast(overall))
-    mu = F.coalesce("mu__", "mu_all__", F.lit(0.0))
+    mu_all = trusted.agg(mean()).first()[0] or 0.0
+    based = scored.join(means, F.col(lang).eqNullSafe(F.col("l__")), "left").drop("l__")
+    mu = F.coalesce("mu__", F.lit(mu_all))
     based = based.withColumn("perplexity", F.exp((-F.col("logp__") + shrink * mu) / (F.col("symbols__") + shrink)))
     cal = based.where("fold__ = 0")
     own = cal.where("n__ is not null").groupBy(F.col(lang).alias("l__")).agg(F.percentile_approx("perplexity", quantile, 100_000).alias("t__"))
-    every = cal.agg(F.percentile_approx("perplexity", quantile, 100_000).alias("t_all__"))
-    out = based.join(own, F.col(lang).eqNullSafe(F.col("l__")), "left").crossJoin(F.broadcast(every))
-    limit = F.coalesce("t__", "t_all__") * margin
-    return out.withColumn("threshold", limit).withColumn("kept", F.coalesce(F.col("perplexity") <= limit, F.lit(True))).drop("l__", "mu__", "n__", "mu_all__", "t__", "t_all__")
+    every = cal.agg(F.percentile_approx("perplexity", quantile, 100_000)).first()[0]
+    out = based.join(own, F.col(lang).eqNullSafe(F.col("l__")), "left")
+    limit = F.coalesce("t__", F.lit(every).cast("double")) * margin
+    return out.withColumn("threshold", limit).withColumn("kept", F.coalesce(F.col("perplexity") <= limit, F.lit(True))).drop("l__", "mu__", "n__", "t__")
 
 
 def quality(docs: DataFrame, labels: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text") -> DataFrame:
