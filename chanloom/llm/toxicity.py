@@ -31,8 +31,10 @@ from chanloom.llm.strings import codepoints, mix, piece_hashes, word_spans
 
 PREFIXES = (4, 5, 6)
 FEATURES = 4_096
-SAMPLE = 20_000
+SAMPLE = 6_000
 LEAST_POSITIVE = 4
+#: A feature must be this much (log ratio) likelier in label 1.
+TELLING = 0.7
 THRESHOLD = 0.3
 STOPS = ".!?\n"
 BATCH_CHARS = 1_000_000
@@ -190,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = rows.join(F.broadcast(marks) if small else marks, F.col("key__") == F.col("id__"))
     counts = rows.select("text", "toxic").mapInArrow(_counted, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ratio = F.log((F.col("pos") + 0.5) / F.lit(n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit(n_neg + 1.0))
-    top = counts.where(F.col("pos") >= LEAST_POSITIVE).withColumn("tell", F.col("pos") * ratio).orderBy(F.desc("tell"), "h").limit(FEATURES)
+    top = counts.where((F.col("pos") >= LEAST_POSITIVE) & (ratio >= TELLING)).withColumn("tell", F.col("pos") * ratio).orderBy(F.desc("tell"), "h").limit(FEATURES)
     hashes = np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
     if not len(hashes):
         return *nothing, float(share)
