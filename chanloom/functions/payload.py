@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import DENY_HEAD_BYTES, DENY_MARKERS, PLAYLIST_HEAD_BYTES
-from .text import py_strip, split_lines, utf8_ignore
+from ..config import DENY_MARKERS
+from .text import utf8_ignore
 
 
-def head_text(body: Column, n_bytes: int) -> Column:
-    """First ``n_bytes`` of the body decoded as UTF-8, bad bytes dropped."""
-    return utf8_ignore(F.substring(F.coalesce(body, F.lit(b"")), 1, n_bytes))
+def body_text(body: Column, head_bytes: int | None = None) -> Column:
+    """The body decoded as UTF-8, bad bytes dropped; with ``head_bytes`` only
+    that many first bytes (what a client with such a read limit sees)."""
+    whole = F.coalesce(body, F.lit(b""))
+    return utf8_ignore(whole if head_bytes is None else F.substring(whole, 1, head_bytes))
 
 
 def any_contains(text: Column, needles: Sequence[str]) -> Column:
@@ -26,18 +28,18 @@ def any_contains(text: Column, needles: Sequence[str]) -> Column:
 
 
 def denied_payload(content_type: Column, body: Column,
-                   markers: Sequence[str] = DENY_MARKERS) -> Column:
-    """A block page: a deny marker in the lower-cased head, and HTML either by
-    content type or by an ``<html`` tag in the head."""
+                   markers: Sequence[str] = DENY_MARKERS, head_bytes: int | None = None) -> Column:
+    """A block page: a deny marker in the lower-cased body, and HTML either by
+    content type or by an ``<html`` tag in the body."""
     ctype = F.lower(F.coalesce(content_type, F.lit("")))
-    head = F.lower(head_text(body, DENY_HEAD_BYTES))
+    head = F.lower(body_text(body, head_bytes))
     marked = any_contains(head, markers)
     return marked & (ctype.contains("text/html") | head.contains("<html"))
 
 
-def is_playlist(content_type: Column, body: Column) -> Column:
+def is_playlist(content_type: Column, body: Column, head_bytes: int | None = None) -> Column:
     ctype = F.lower(F.coalesce(content_type, F.lit("")))
-    return ctype.contains("mpegurl") | head_text(body, PLAYLIST_HEAD_BYTES).contains("#EXTM3U")
+    return ctype.contains("mpegurl") | body_text(body, head_bytes).contains("#EXTM3U")
 
 
 # Line boundaries of ``str.splitlines`` and the whitespace that can occur
@@ -55,10 +57,3 @@ def first_media_uri(text: Column) -> Column:
     One regular expression (no split into an array): a line starts at the
     beginning or after a line boundary; its stripped text is captured."""
     return F.regexp_extract(F.coalesce(text, F.lit("")), _MEDIA_RE, 1)
-
-
-def first_media_uri_split(text: Column) -> Column:
-    """Reference form of ``first_media_uri`` (split, strip, filter)."""
-    lines = F.transform(split_lines(F.coalesce(text, F.lit(""))), py_strip)
-    media = F.filter(lines, lambda x: (x != "") & ~x.startswith("#"))
-    return F.coalesce(F.get(media, 0), F.lit(""))

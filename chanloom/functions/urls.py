@@ -4,18 +4,14 @@ Scheme and host follow ``urllib.parse`` (scheme = letters/digits/``+-.``
 before the first colon, host = netloc after the last ``@``, without port or
 brackets, lower case).  They are regular expressions, so they never raise on
 malformed input (``try_parse_url`` rejects hosts the original accepts).
-Relative-reference resolution (RFC 3986 with the stdlib's quirks) has no
-built-in; it is one vectorised pandas UDF over ``urllib.parse.urljoin``.
+Relative-reference resolution follows RFC 3986 section 5.2 as the standard
+library applies it: merge, remove dot segments, drop empty components.
 """
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _SCHEME_RE = "^([A-Za-z][A-Za-z0-9+.\\-]*):"
 
@@ -57,24 +53,82 @@ def url_host(col: Column | str) -> Column:
     return F.lower(host)
 
 
-def resolve_py(base: str | None, ref: str | None) -> str | None:
-    if base is None or ref is None:
-        return None
-    try:
-        return urljoin(base, ref)
-    except ValueError:
-        return ref
+# fixed values: schemes that relative references apply to
+HIERARCHICAL = ["", "file", "ftp", "gopher", "http", "https", "imap", "mms", "nntp", "prospero", "rtsp", "rtsps", "rtspu",
+                "sftp", "shttp", "svn", "svn+ssh", "wais", "ws", "wss"]
+
+
+# Components of a cleaned reference (RFC 3986 appendix B, the parameters of
+# the last segment apart): scheme, authority, path, parameters, query, fragment.
+_PARTS = ("scheme", "netloc", "path", "params", "query", "fragment")
+_PARTS_RE = ("(?s)^(?:([A-Za-z][A-Za-z0-9+.\\-]*):)?(?://([^/?#]*))?((?:[^/?#]*/)*+[^/;?#]*)(?:;([^/?#]*))?"
+             "(?:\\?([^#]*))?(?:#(.*))?$")
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _split(c: Column) -> Column:
+    fields = [F.regexp_extract(c, _PARTS_RE, i + 1).alias(name) for i, name in enumerate(_PARTS)]
+    return F.struct(F.lower(fields[0]).alias("scheme"), *fields[1:])
+
+
+def _tagged(mark: str, value: Column) -> Column:
+    return F.when(value == "", "").otherwise(F.concat(F.lit(mark), value))
+
+
+def _unsplit(scheme: Column, netloc: Column, path: Column, params: Column, query: Column, fragment: Column) -> Column:
+    """The reference of its components; empty ones are dropped.  A path that
+    could be taken for an authority gets an empty one in front."""
+    def rooted(whole):
+        bare = whole.startswith("//") | ((scheme != "") & ((whole == "") | whole.startswith("/")))
+        lead = F.when((whole == "") | whole.startswith("/"), "").otherwise("/")
+        return F.when(netloc != "", F.concat(F.lit("//"), netloc, lead, whole)).when(bare, F.concat(F.lit("//"), whole)).otherwise(whole)
+
+    return F.concat(F.when(scheme == "", "").otherwise(F.concat(scheme, F.lit(":"))),
+                    _let(F.concat(path, _tagged(";", params)), rooted), _tagged("?", query), _tagged("#", fragment))
+
+
+def _merged_path(base: Column, ref: Column) -> Column:
+    """Path of ``ref`` relative to the directory of ``base``, without dot
+    segments; a merge also drops empty inner segments."""
+    folder = _let(F.split(base, "/"), lambda own: F.when(F.element_at(own, -1) == "", own).otherwise(F.slice(own, 1, F.size(own) - 1)))
+
+    def compact(p):
+        inner = F.filter(F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0))), lambda x: x != "")
+        return F.when(F.size(p) < 2, p).otherwise(F.concat(F.slice(p, 1, 1), inner, F.slice(p, F.size(p), 1)))
 
+    def walk(p):
+        out = F.aggregate(p, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+            x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+        return F.concat(out, F.when(F.element_at(p, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
 
-@F.pandas_udf(T.StringType())
-def _resolve_udf(base: pd.Series, ref: pd.Series) -> pd.Series:
-    return pd.Series([resolve_py(b, r) for b, r in zip(base, ref)], dtype=object)
+    merged = _let(F.concat(folder, F.split(ref, "/")), compact)
+    parts = F.when(ref.startswith("/"), F.split(ref, "/")).otherwise(merged)
+    joined = _let(parts, lambda p: F.array_join(walk(p), "/"))
+    return _let(joined, lambda j: F.when(j == "", "/").otherwise(j))
 
 
 def url_resolve(base: Column | str, ref: Column | str) -> Column:
-    """``urljoin(base, ref)``; NULL when either side is NULL or ref is ''."""
-    r = _col(ref)
-    return _resolve_udf(_col(base), F.when(r != "", r))
+    """The reference resolved against the base; NULL when either side is NULL
+    or the reference is ''."""
+    b, r = _col(base), _col(ref)
+
+    def resolve(u):
+        bu, ru = u["b"], u["r"]
+        own = ru["scheme"] == ""
+        foreign = (~own & (ru["scheme"] != bu["scheme"])) | ~F.when(own, bu["scheme"]).otherwise(ru["scheme"]).isin(HIERARCHICAL)
+        bare = (ru["path"] == "") & (ru["params"] == "")
+        rest = (ru["query"], ru["fragment"])
+        query = F.when(ru["query"] == "", bu["query"]).otherwise(ru["query"])
+        return (F.when(b == "", r).when(foreign, r)
+                .when(ru["netloc"] != "", _unsplit(bu["scheme"], ru["netloc"], ru["path"], ru["params"], *rest))
+                .when(bare, _unsplit(bu["scheme"], bu["netloc"], bu["path"], bu["params"], query, ru["fragment"]))
+                .otherwise(_unsplit(bu["scheme"], bu["netloc"], _merged_path(bu["path"], ru["path"]), ru["params"], *rest)))
+
+    return F.when(b.isNotNull() & (r != ""), _let(F.struct(_split(_clean(b)).alias("b"), _split(_clean(r)).alias("r")), resolve))
 
 
 def _col(col: Column | str) -> Column:

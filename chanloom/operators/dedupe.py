@@ -21,20 +21,20 @@ from ..functions.text import normalize_text
 from .classify import attr
 
 
-def dedupe_key_column(norm_tvg_name: Column | None = None, exact_unicode: bool = True) -> Column:
+def dedupe_key_column(norm_tvg_name: Column | None = None) -> Column:
     """Normalised name, else normalised tvg-name, else normalised URL."""
     if norm_tvg_name is None:
-        norm_tvg_name = normalize_text(attr("tvg-name"), exact_unicode)
+        norm_tvg_name = normalize_text(attr("tvg-name"))
     by_name = F.coalesce(F.nullif(F.col("norm_name"), F.lit("")), F.nullif(norm_tvg_name, F.lit("")))
     # the URL is only normalised for entries without a usable name
-    return F.coalesce(by_name, normalize_text(F.when(by_name.isNull(), F.col("url")), exact_unicode))
+    return F.coalesce(by_name, normalize_text(F.when(by_name.isNull(), F.col("url"))))
 
 
-def with_dedupe_key(df: DataFrame, exact_unicode: bool = True) -> DataFrame:
+def with_dedupe_key(df: DataFrame) -> DataFrame:
     if "norm_name" not in df.columns:
-        df = df.withColumn("norm_name", normalize_text(F.col("name"), exact_unicode))
+        df = df.withColumn("norm_name", normalize_text(F.col("name")))
     tvg = F.col("norm_tvg_name") if "norm_tvg_name" in df.columns else None
-    return df.withColumn("dedupe_key", dedupe_key_column(tvg, exact_unicode))
+    return df.withColumn("dedupe_key", dedupe_key_column(tvg))
 
 
 def dedupe_url(df: DataFrame) -> DataFrame:
@@ -43,8 +43,7 @@ def dedupe_url(df: DataFrame) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def dedupe_channels(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls: int = 4,
-                    exact_unicode: bool = True) -> DataFrame:
+def dedupe_channels(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls: int = 4) -> DataFrame:
     """Winners per channel with their fallback URL lists.
 
     Input: URL-unique entries (``dedupe_url``) with ``score_dec``.
@@ -57,7 +56,7 @@ def dedupe_channels(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls:
         raise ValueError("max_fallback_urls must not be negative")
     keep = max(1, keep_per_channel)
     if "dedupe_key" not in df.columns:
-        df = with_dedupe_key(df, exact_unicode)
+        df = with_dedupe_key(df)
     w = Window.partitionBy("dedupe_key").orderBy(F.col("score_dec").desc(), F.col("url"))
     ranked = (df.withColumn("channel_rank", F.row_number().over(w))
               .where(F.col("channel_rank") <= keep + max_fallback_urls))
@@ -70,6 +69,6 @@ def dedupe_channels(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls:
             .withColumn("primary_url", F.col("url")))
 
 
-def fallback_list(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls: int = 4) -> DataFrame:
-    """Alias of ``dedupe_channels`` focused on the fallback arrays."""
-    return dedupe_channels(df, keep_per_channel, max_fallback_urls)
+def output_order(df: DataFrame) -> list[Column]:
+    """Order of the selection: country, lower-case name, URL."""
+    return [F.col("country"), F.lower("name"), F.col("url")]

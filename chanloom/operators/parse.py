@@ -10,11 +10,11 @@ line order:
 
 Both are "last X before this row" questions, i.e. running scans.  A window
 partitioned by source would put a whole (possibly huge) source in one task,
-so the scan runs in two levels: lines are cut into chunks of
-``chunk_lines`` line numbers; windows run inside ``(source, chunk)``; the
+so the scan runs in two levels: lines are cut into chunks (blocks of the file scan, or
+``chunk_lines`` line numbers); windows run inside ``(source, chunk)``; the
 state entering each chunk comes from a per-chunk summary (one row per
-chunk) scanned in chunk order and joined back.  Lines are shuffled once;
-the summaries are ``lines / chunk_lines`` rows.
+chunk) scanned in chunk order and joined back.  Both levels read the same
+four columns of the same exchange, so lines are scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..config import PLAYLIST_MAX_BYTES
-from ..functions.text import PY_SPACE_CLASS, py_strip, split_lines, valid_utf8
+from ..functions.text import PY_SPACE_CLASS, py_strip, split_lines
 
 # Fixed patterns of the playlist format (written for Java regex: ``\p{Nd}``
 # and the explicit space class match Python's Unicode ``\d`` and ``\s``).
@@ -47,12 +46,6 @@ def text_lines(df: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ()
             .where(F.col("line") != ""))
 
 
-def playlist_text(content: Column) -> Column:
-    """Bytes of a playlist, capped at 12,000,000 bytes, decoded as UTF-8 with
-    replacement characters (never raises)."""
-    return valid_utf8(F.substring(content, 1, PLAYLIST_MAX_BYTES))
-
-
 # ---------------------------------------------------------------------------
 # EXTINF
 # ---------------------------------------------------------------------------
@@ -104,26 +97,30 @@ def _last_win() -> bool:
 # Parse
 # ---------------------------------------------------------------------------
 
-def _typed_lines(lines: DataFrame, chunk_lines: int) -> DataFrame:
-    """Keep EXTINF (E), EXTGRP (G) and URL (U) lines, with parsed fields."""
+def _dealt_lines(lines: DataFrame, chunk_lines: int) -> DataFrame:
+    """EXTINF, EXTGRP and URL lines, shuffled by (source, chunk).
+
+    Explicit: an input already hash-partitioned by source alone would also
+    satisfy the windows' clustering and keep a hot source in one task."""
     line = py_strip(F.col("line"))
-    kind = (F.when(line.startswith("#EXTINF:"), "E").when(line.startswith("#EXTGRP:"), "G")
-            .when(line.startswith("#"), None).otherwise("U"))
-    t = (lines.select("source_name", "line_no", line.alias("line"), kind.alias("kind"))
-         .where(F.col("kind").isNotNull() & (F.col("line") != "")))
-    is_e = F.col("kind") == "E"
-    valid = is_e & extinf_valid(F.col("line"))
+    comment = line.startswith("#") & ~line.startswith("#EXTINF:") & ~line.startswith("#EXTGRP:")
+    chunk = F.col("chunk") if "chunk" in lines.columns else F.floor(F.col("line_no") / F.lit(chunk_lines))
+    return (lines.select("source_name", chunk.cast("long").alias("chunk"), "line_no", line.alias("line"))
+            .where((F.col("line") != "") & ~comment).repartition("source_name", "chunk"))
+
+
+def _typed(dealt: DataFrame) -> DataFrame:
+    """Kind (E, G or U) and parsed fields of every dealt line."""
+    line = F.col("line")
+    kind = F.when(line.startswith("#EXTINF:"), "E").when(line.startswith("#EXTGRP:"), "G").otherwise("U")
+    t = dealt.withColumn("kind", kind)
+    valid = (F.col("kind") == "E") & extinf_valid(line)
     eu = F.when(F.col("kind") != "G", F.struct(
         F.col("kind").alias("kind"), valid.alias("valid"),
-        F.when(valid, extinf_name(F.col("line"))).alias("name"),
-        F.when(valid, extinf_blob(F.col("line"))).alias("blob")))
-    gval = F.when(F.col("kind") == "G", py_strip(F.substring(F.col("line"), 9, 1 << 30)))
-    typed = t.select("source_name", "line_no",
-                     F.floor(F.col("line_no") / F.lit(chunk_lines)).cast("long").alias("chunk"),
-                     "kind", "line", eu.alias("eu"), gval.alias("gval"))
-    # Explicit: an input already hash-partitioned by source alone would also
-    # satisfy the windows' clustering and keep a hot source in one task.
-    return typed.repartition("source_name", "chunk")
+        F.when(valid, extinf_name(line)).alias("name"),
+        F.when(valid, extinf_blob(line)).alias("blob")))
+    gval = F.when(F.col("kind") == "G", py_strip(F.substring(line, 9, 1 << 30)))
+    return t.select("source_name", "chunk", "line_no", "kind", "line", eu.alias("eu"), gval.alias("gval"))
 
 
 def _carry(value: Column) -> Column:
@@ -134,10 +131,13 @@ def _carry(value: Column) -> Column:
 
 
 def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataFrame:
-    """Entries of playlist lines ``(source_name, line_no, line)``.
+    """Entries of playlist lines ``(source_name, line_no, line[, chunk])``.
 
-    Output: ``source_name, entry_id`` (line number of the URL line),
-    ``name, url, group_title, attrs``.
+    Output: ``source_name, entry_id, name, url, group_title, attrs``.
+    ``entry_id`` is the line number of the URL line; lines with a ``chunk``
+    (the start of their file block) are numbered inside it, and ``entry_id``
+    is the block's start plus the line's place in it (a block has no more
+    lines than bytes, so numbers grow through the file).
 
     Plan: lines are shuffled once by ``(source, chunk)``; running windows
     inside a chunk give the local state; a per-chunk summary (first / last
@@ -145,7 +145,7 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
     chunk order to get the state entering each chunk; the summary is joined
     back.  Only the summary is ordered per source.
     """
-    t = _typed_lines(lines, chunk_lines)
+    t = _typed(_dealt_lines(lines, chunk_lines))
     local = Window.partitionBy("source_name", "chunk").orderBy("line_no")
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     g = F.when(F.col("kind") == "G", F.struct(F.col("line_no").alias("at"), F.col("gval").alias("v")))
@@ -158,6 +158,11 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
     emit_local = (F.col("kind") == "U") & F.coalesce(
         (F.col("prev_eu.kind") == "E") & F.col("prev_eu.valid"), F.lit(False))
     t = t.withColumn("emit_local", emit_local)
+    if "chunk" in lines.columns:
+        place = F.col("line_no") - F.min("line_no").over(Window.partitionBy("source_name", "chunk"))
+        t = t.withColumn("entry_id", F.col("chunk") + place + (F.col("chunk") > 0).cast("long"))
+    else:
+        t = t.withColumn("entry_id", F.col("line_no"))
     t = t.withColumn("last_emit_local",
                      F.last(F.when(F.col("emit_local"), F.col("line_no")), ignorenulls=True).over(before))
 
@@ -193,7 +198,7 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
     group = F.when(F.map_contains_key(attrs, "group-title"), attrs["group-title"]).otherwise(pending)
     return out.select(
         "source_name",
-        F.col("line_no").alias("entry_id"),
+        "entry_id",
         F.coalesce(F.col("src.name"), F.lit("Unknown")).alias("name"),
         F.col("line").alias("url"),
         group.alias("group_title"),

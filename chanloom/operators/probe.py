@@ -2,11 +2,12 @@
 
 A probe follows up to three hops - the entry URL, the first media URI of a
 playlist (child), the first media URI of the child (segment) - and grades
-the result 0..3.  With captured samples ``(url, attempt, status,
-content_type, body, error, elapsed_ms)`` the hop chain is two left
-self-joins on the resolved URL (same attempt), and the grading is one CASE
-expression over the joined row.  Joins are on URL, so they shuffle by URL;
-AQE splits skewed child URLs shared by many entries.
+the result 0..3.  Every sample ``(url, attempt, status, content_type, body,
+error, elapsed_ms)`` is first reduced to narrow facts (flags and the first
+media line): no body is ever shuffled.  Hops are left joins of the facts on
+(resolved URL, attempt); a row without a next hop gets a key of its own that
+matches nothing, so such rows spread evenly instead of meeting under NULL,
+and AQE splits child URLs that many entries share.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DENY_MARKERS, SAMPLE_MAX_BYTES, SEGMENT_MAX_BYTES
-from ..functions.payload import denied_payload, first_media_uri, is_playlist
-from ..functions.text import utf8_ignore
+from ..config import DENY_MARKERS
+from ..functions.payload import body_text, denied_payload, first_media_uri, is_playlist
 from ..functions.urls import is_http_url, url_resolve
 
 # Outcome of one probe: (stage, level, status source, error), first match wins.
+# Levels and error labels are fixed values.
 #   status source: 'none', 'entry', 'child' (child or else entry),
 #   'segment' (segment or else entry).
 STAGES = [
@@ -42,69 +43,74 @@ STAGES = [
 ]
 
 
-def _hop(samples: DataFrame, p: str, max_bytes: int) -> DataFrame:
-    return samples.select(
-        F.col("url").alias(f"{p}_url"), F.col("attempt").alias(f"{p}_attempt"),
-        F.col("status").alias(f"{p}_status"), F.col("content_type").alias(f"{p}_ctype"),
-        F.substring(F.coalesce(F.col("body"), F.lit(b"")), 1, max_bytes).alias(f"{p}_body"),
-        F.coalesce(F.col("error"), F.lit("")).alias(f"{p}_error"),
-        F.col("elapsed_ms").alias(f"{p}_ms"))
+def sample_facts(samples: DataFrame, deny_markers: Sequence[str] = DENY_MARKERS,
+                 head_bytes: int | None = None) -> DataFrame:
+    """(url, attempt, fact): what the grading needs to know of a sample."""
+    ctype, body = F.col("content_type"), F.col("body")
+    return samples.select("url", "attempt", F.struct(
+        F.col("status"), F.coalesce("error", F.lit("")).alias("error"), F.col("elapsed_ms").alias("ms"),
+        denied_payload(ctype, body, deny_markers, head_bytes).alias("denied"),
+        denied_payload(F.lit(""), body, deny_markers, head_bytes).alias("denied_by_tag"),
+        is_playlist(ctype, body, head_bytes).alias("playlist"),
+        first_media_uri(body_text(body)).alias("first")).alias("fact"))
 
 
-def _failed(p: str) -> Column:
-    st = F.col(f"{p}_status")
-    return F.col(f"{p}_url").isNull() | st.isNull() | (st >= 400) | (F.col(f"{p}_error") != "")
+def _next(rows: DataFrame, facts: DataFrame, target: Column, name: str) -> DataFrame:
+    """Left join of the facts of ``target`` (null: no next hop) as ``name``."""
+    nowhere = F.concat(F.lit("\x00"), F.xxhash64("url", "attempt").cast("string"))
+    hop = facts.select(F.col("url").alias("_to"), F.col("attempt").alias("_at"), F.col("fact").alias(name))
+    keyed = rows.withColumn("_key", F.coalesce(target, nowhere))
+    return keyed.join(hop, (F.col("_key") == F.col("_to")) & (F.col("attempt") == F.col("_at")), "left").drop("_key", "_to", "_at")
 
 
-def _fail_text(p: str, label: str) -> Column:
-    missing = F.col(f"{p}_url").isNull()
-    detail = F.coalesce(F.nullif(F.col(f"{p}_error"), F.lit("")),
-                        F.col(f"{p}_status").cast("string"), F.lit("None"))
-    return F.concat(F.lit(f"{label}:"), F.when(missing, F.lit("not_captured")).otherwise(detail))
+def _failed(fact: str) -> Column:
+    status = F.col(f"{fact}.status")
+    return status.isNull() | (status >= 400) | (F.col(f"{fact}.error") != "")
+
+
+def _fail_text(fact: str, label: str) -> Column:
+    detail = F.coalesce(F.nullif(F.col(f"{fact}.error"), F.lit("")), F.col(f"{fact}.status").cast("string"), F.lit("None"))
+    return F.concat(F.lit(f"{label}:"), F.when(F.col(fact).isNull(), F.lit("not_captured")).otherwise(detail))
+
+
+def _first_true(conditions: dict[str, Column]) -> Column:
+    return F.coalesce(*[F.when(c, F.lit(name)) for name, c in conditions.items()])
 
 
 def probe_levels(samples: DataFrame, targets: DataFrame | None = None,
-                 deny_markers: Sequence[str] = DENY_MARKERS) -> DataFrame:
+                 deny_markers: Sequence[str] = DENY_MARKERS, head_bytes: int | None = None) -> DataFrame:
     """One graded result per (target URL, attempt).
 
     Output: ``url, attempt, check_level, status_code, latency_ms, error``
     (``latency_ms`` = elapsed time of the hops actually taken).
     """
-    e = _hop(samples, "e", SAMPLE_MAX_BYTES)
+    facts = sample_facts(samples, deny_markers, head_bytes)
+    e = facts.withColumnRenamed("fact", "e")
     if targets is not None:
-        e = e.join(targets.select(F.col("url").alias("e_url")).distinct(), "e_url", "left_semi")
-    e = e.withColumn("e_first", first_media_uri(utf8_ignore(F.col("e_body"))))
-    e = e.withColumn("child_url", url_resolve(F.col("e_url"), F.col("e_first")))
-
-    c = _hop(samples, "c", SAMPLE_MAX_BYTES)
-    j = e.join(c, (c.c_url == e.child_url) & (c.c_attempt == e.e_attempt), "left")
-    j = j.withColumn("c_first", first_media_uri(utf8_ignore(F.col("c_body"))))
-    j = j.withColumn("seg_url", F.when(F.col("c_url").isNotNull(),
-                                       url_resolve(F.col("child_url"), F.col("c_first"))))
-    s = _hop(samples, "s", SEGMENT_MAX_BYTES)
-    j = j.join(s, (s.s_url == j.seg_url) & (s.s_attempt == j.e_attempt), "left")
-
-    conds = {
-        "unsupported": ~is_http_url(F.col("e_url")),
+        e = e.join(targets.select("url").distinct(), "url", "left_semi")
+    child = url_resolve(F.col("url"), F.col("e.first"))
+    e = e.withColumn("child_url", child).withColumn("stage", _first_true({
+        "unsupported": ~is_http_url(F.col("url")),
         "entry_failed": _failed("e"),
-        "entry_denied": denied_payload(F.col("e_ctype"), F.col("e_body"), deny_markers),
-        "entry_stream": ~is_playlist(F.col("e_ctype"), F.col("e_body")),
-        "entry_empty": F.col("e_first") == "",
+        "entry_denied": F.col("e.denied"),
+        "entry_stream": ~F.col("e.playlist"),
+        "entry_empty": F.col("e.first") == "",
         "child_unsupported": ~is_http_url(F.col("child_url")),
+    }))
+    c = _next(e, facts, F.when(F.col("stage").isNull(), F.col("child_url")), "c")
+    c = c.withColumn("seg_url", F.when(F.col("stage").isNull(), url_resolve(F.col("child_url"), F.col("c.first"))))
+    c = c.withColumn("stage", F.coalesce("stage", _first_true({
         "child_failed": _failed("c"),
-        "child_denied": denied_payload(F.col("c_ctype"), F.col("c_body"), deny_markers),
-        "child_stream": ~is_playlist(F.col("c_ctype"), F.col("c_body")),
-        "child_empty": F.col("c_first") == "",
+        "child_denied": F.col("c.denied"),
+        "child_stream": ~F.col("c.playlist"),
+        "child_empty": F.col("c.first") == "",
         "segment_unsupported": ~is_http_url(F.col("seg_url")),
+    })))
+    j = _next(c, facts, F.when(F.col("stage").isNull(), F.col("seg_url")), "s")
+    j = j.withColumn("stage", F.coalesce("stage", _first_true({
         "segment_failed": _failed("s"),
-        "segment_denied": denied_payload(F.lit(""), F.col("s_body"), deny_markers),
-    }
-    stage = None
-    for name, _lvl, _src, _err in STAGES[:-1]:
-        stage = (F.when(conds[name], F.lit(name)) if stage is None
-                 else stage.when(conds[name], F.lit(name)))
-    stage = stage.otherwise(F.lit(STAGES[-1][0]))
-    j = j.withColumn("stage", stage)
+        "segment_denied": F.col("s.denied_by_tag"),
+    }), F.lit("segment_ok")))
 
     st = F.col("stage")
     level = status = error = None
@@ -112,9 +118,9 @@ def probe_levels(samples: DataFrame, targets: DataFrame | None = None,
                  "segment_failed": _fail_text("s", "segment")}
     src_status = {
         "none": F.lit(None).cast("int"),
-        "entry": F.col("e_status"),
-        "child": F.coalesce(F.nullif(F.col("c_status"), F.lit(0)), F.col("e_status")),
-        "segment": F.coalesce(F.nullif(F.col("s_status"), F.lit(0)), F.col("e_status")),
+        "entry": F.col("e.status"),
+        "child": F.coalesce(F.nullif(F.col("c.status"), F.lit(0)), F.col("e.status")),
+        "segment": F.coalesce(F.nullif(F.col("s.status"), F.lit(0)), F.col("e.status")),
     }
     for name, lvl, src, err in STAGES:
         err_col = fail_text[name] if err is None else F.lit(err)
@@ -129,12 +135,8 @@ def probe_levels(samples: DataFrame, targets: DataFrame | None = None,
             .when(st.isin("child_failed", "child_denied", "child_stream", "child_empty",
                           "segment_unsupported"), 2)
             .otherwise(3))
-    ms = [F.col("e_ms"), F.col("c_ms"), F.col("s_ms")]
-    took = [F.when(hops >= i + 1, m) for i, m in enumerate(ms)]
-    latency = F.when(st == "unsupported", F.lit(0)).otherwise(
-        F.when(took[0].isNull() & took[1].isNull() & took[2].isNull(), F.lit(None)).otherwise(
-            F.coalesce(took[0], F.lit(0)) + F.coalesce(took[1], F.lit(0)) + F.coalesce(took[2], F.lit(0))))
-    return j.select(
-        F.col("e_url").alias("url"), F.col("e_attempt").alias("attempt"),
-        level.cast("int").alias("check_level"), status.cast("int").alias("status_code"),
-        latency.cast("int").alias("latency_ms"), error.alias("error"))
+    took = [F.when(hops > i, F.col(f"{h}.ms")) for i, h in enumerate("ecs")]
+    known = F.coalesce(*took).isNotNull()
+    latency = F.when(st == "unsupported", F.lit(0)).when(known, sum((F.coalesce(m, F.lit(0)) for m in took), F.lit(0)))
+    return j.select("url", "attempt", level.cast("int").alias("check_level"), status.cast("int").alias("status_code"),
+                    latency.cast("int").alias("latency_ms"), error.alias("error"))

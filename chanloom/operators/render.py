@@ -61,8 +61,3 @@ def country_group(country_titles: Mapping[str, str]) -> Column:
 
 def render_country_rows(df: DataFrame, country_titles: Mapping[str, str]) -> DataFrame:
     return df.withColumn("extinf", extinf_line(country_group(country_titles)))
-
-
-def playlist_text_rows(df: DataFrame) -> DataFrame:
-    """The two lines of every entry as one text value (for ordered writes)."""
-    return df.select(F.concat_ws("\n", F.col("extinf"), F.col("url")).alias("value"))

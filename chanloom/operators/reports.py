@@ -84,20 +84,43 @@ def build_stats(sources: DataFrame, source_report: DataFrame, fetched: DataFrame
     return out
 
 
-def source_report(sources: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Per enabled source: fetched (has playlist lines), entry count (before
-    the content filter) and error, sorted by source name."""
+def source_report(sources: DataFrame, parsed: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Per enabled source: whether its playlist was fetched (an empty one
+    was), entry count (before the content filter), time and error, sorted by
+    source name.  ``fetched``: (source_name, error, elapsed_ms)."""
     counts = parsed.groupBy("source_name").agg(F.count(F.lit(1)).alias("entries"))
     enabled = sources.where(F.coalesce(F.col("enabled"), F.lit(True)))
-    j = enabled.join(counts, enabled.name == counts.source_name, "left")
-    ok = F.col("source_name").isNotNull()
+    tried = fetched.select(F.col("source_name").alias("tried"), F.col("error").alias("failure"), "elapsed_ms")
+    j = enabled.join(tried, F.col("name") == F.col("tried"), "left").join(
+        counts, F.col("name") == F.col("source_name"), "left")
+    error = F.when(F.col("tried").isNull(), F.lit("not_fetched")).otherwise(F.coalesce("failure", F.lit("")))
+    ok = error == ""
     return j.select(
         F.col("name").alias("source"), "url", ok.alias("ok"),
-        F.coalesce(F.col("entries"), F.lit(0)).cast("long").alias("count"),
-        F.when(ok, F.lit("")).otherwise(F.lit("not_fetched")).alias("error"),
+        F.when(ok, F.coalesce(F.col("entries"), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("count"),
+        "elapsed_ms", error.alias("error"),
     ).orderBy("source")
 
 
+def audit_totals(checked: DataFrame, profile: Profile) -> DataFrame:
+    """relaxed_total, strict_total, az_channels_total, other_country_total
+    (one row) of the group audit."""
+    lvl = _lvl()
+    relaxed = lvl >= profile.relaxed_min_level
+    return checked.agg(
+        F.count_if(relaxed).alias("relaxed_total"),
+        F.count_if(lvl >= profile.strict_min_level).alias("strict_total"),
+        F.count_if(relaxed & (F.col("country") == "az")).alias("az_channels_total"),
+        F.count_if(relaxed & (F.col("country") == "other")).alias("other_country_total"),
+    )
+
+
+def stamped(report: DataFrame) -> DataFrame:
+    """A report with the time it was made (UTC, ISO 8601)."""
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return report.withColumn("generated_at_utc", now)
+
+
 def enabled_sources(sources: DataFrame) -> DataFrame:
     """Registry rows that are fetched: enabled, with a name and a URL."""
     return sources.where(F.coalesce(F.col("enabled"), F.lit(True))

@@ -41,10 +41,6 @@ def rank_order() -> list[Column]:
     return [F.col("score_dec").desc(), F.col("country"), F.lower(F.col("name")), F.col("primary_url")]
 
 
-def ranked(df: DataFrame) -> DataFrame:
-    return df.orderBy(*rank_order())
-
-
 def with_rank(df: DataFrame, keys: list[Column] | None = None, name: str = "rank",
               partitions: int | None = None) -> DataFrame:
     """Dense 1-based position in ``keys`` order (default ``rank_order``)

@@ -26,19 +26,19 @@ from ..operators import tiers as T
 
 
 def prepared_entries(entries: DataFrame, profile: Profile, by_name: DataFrame | None = None,
-                     by_url: DataFrame | None = None, exact_unicode: bool = True) -> DataFrame:
+                     by_url: DataFrame | None = None) -> DataFrame:
     """Classified, overridden, filtered and pre-scored entries."""
-    df = C.classify(entries, profile, exact_unicode)
+    df = C.classify(entries, profile)
     if by_name is not None or by_url is not None:
-        df = C.apply_overrides(df, by_name, by_url, exact_unicode)
+        df = C.apply_overrides(df, by_name, by_url)
     df = C.content_filter(df, profile.unwanted_keywords)
     return S.pre_score(df, profile.prefer_https)
 
 
-def selected_channels(prepared: DataFrame, profile: Profile, exact_unicode: bool = True) -> DataFrame:
+def selected_channels(prepared: DataFrame, profile: Profile) -> DataFrame:
     unique = D.dedupe_url(prepared)
-    keyed = D.with_dedupe_key(unique, exact_unicode)
-    return D.dedupe_channels(keyed, profile.keep, profile.max_fallback_urls, exact_unicode)
+    keyed = D.with_dedupe_key(unique)
+    return D.dedupe_channels(keyed, profile.keep, profile.max_fallback_urls)
 
 
 @dataclass
@@ -69,7 +69,8 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
     targets = selected.select("url").unionByName(selected.select(
         F.explode(F.slice("fallback_urls", 1, profile.max_fallbacks)).alias("url")))
     report = materialize(H.probe_report(attempts, targets, profile.retries, profile.keep_error))
-    candidates = H.fallback_candidates(selected, report, profile.max_fallbacks)
+    primaries = report.join(selected.select("url").distinct(), "url", "left_semi")
+    candidates = H.fallback_candidates(selected, primaries, profile.max_fallbacks)
     swapped = H.fallback_swap(selected, report, profile.max_fallbacks)
     checked = H.apply_health(swapped, report)
     return Checked(S.post_score(checked, profile.prefer_https), report, candidates, selected)

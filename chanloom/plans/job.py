@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import PLAYLIST_TITLE, STRICT_PLAYLIST_TITLE, Profile, load_profile
 from ..operators import parse as P
@@ -37,16 +38,23 @@ class BuildResult:
 
 def build_catalogue(spark: SparkSession, lines: DataFrame, sources: DataFrame, samples: DataFrame | None,
                     profile: Profile, by_name: DataFrame | None = None, by_url: DataFrame | None = None,
-                    chunk_lines: int = P.DEFAULT_CHUNK_LINES) -> BuildResult:
+                    chunk_lines: int = P.DEFAULT_CHUNK_LINES, fetch_log: DataFrame | None = None) -> BuildResult:
     """All stages from playlist lines to ranked tiers and build totals."""
-    parsed = P.m3u_parse(lines, chunk_lines)
-    report = RP.source_report(sources, parsed)
+    # The boundary after the parse: the report, the selection and the totals read it.
+    parsed = materialize(P.m3u_parse(lines, chunk_lines))
+    if fetch_log is None:
+        fetch_log = lines.select("source_name").distinct().select(
+            "source_name", F.lit("").alias("error"), F.lit(None).cast("int").alias("elapsed_ms"))
+    report = RP.source_report(sources, parsed, fetch_log)
     entries = P.with_source_attributes(parsed, sources.where("enabled"))
     fetched = B.prepared_entries(entries, profile, by_name, by_url)
     selected = B.selected_channels(fetched, profile)
     attempts = None
     if samples is not None and profile.healthcheck_enabled:
-        attempts = PR.probe_levels(samples, deny_markers=profile.deny_markers)
+        # only what may be probed: selected URLs and their fallbacks
+        selected = materialize(selected)
+        targets = selected.select("url").unionByName(selected.select(F.explode("fallback_urls").alias("url")))
+        attempts = PR.probe_levels(samples, targets, deny_markers=profile.deny_markers)
     ck = B.health_stage(selected, attempts, profile)
     selected = ck.selected
     checked = materialize(ck.checked)
@@ -59,7 +67,7 @@ def build_catalogue(spark: SparkSession, lines: DataFrame, sources: DataFrame, s
 
 def run_build(spark: SparkSession, landing_dir: str, sources_path: str, profile_path: str | None,
               overrides_path: str | None, samples_path: str | None, output_dir: str,
-              profile: Profile | None = None) -> BuildResult:
+              profile: Profile | None = None, fetch_log_path: str | None = None) -> BuildResult:
     apply_required_conf(spark)
     ensure_checkpoint_dir(spark)
     profile = profile or (load_profile(profile_path) if profile_path else Profile())
@@ -69,7 +77,8 @@ def run_build(spark: SparkSession, landing_dir: str, sources_path: str, profile_
     if overrides_path:
         by_name, by_url = RD.read_overrides(spark, overrides_path)
     samples = RD.read_samples(spark, samples_path) if samples_path else None
-    res = build_catalogue(spark, lines, sources, samples, profile, by_name, by_url)
+    fetch_log = RD.fetch_results(spark, landing_dir, fetch_log_path)
+    res = build_catalogue(spark, lines, sources, samples, profile, by_name, by_url, fetch_log=fetch_log)
     K.write_playlists(res.relaxed, output_dir, profile, PLAYLIST_TITLE)
     K.write_catalogue(res.relaxed, output_dir)
     K.write_playlists(res.strict, f"{output_dir}/strict", profile, STRICT_PLAYLIST_TITLE)

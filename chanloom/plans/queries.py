@@ -234,7 +234,7 @@ def attrs_text(m: Column) -> Column:
 
 
 def q_m3u_lines(spark, d):
-    docs = FX.read_table(spark, d, "documents", ["doc_id", "text"], spread_rows=True)
+    docs = FX.read_table(spark, d, "documents", ["doc_id", "text"])
     return P.text_lines(docs, "text", ("doc_id",))
 
 
@@ -272,29 +272,29 @@ def q_m3u_parse(spark, d):
 
 def q_is_playlist(spark, d):
     hs = FX.http_samples(spark, d)
-    return hs.select("url", PL.is_playlist(F.col("content_type"), F.col("body")).alias("is_playlist"))
+    return hs.select("url", "attempt", PL.is_playlist(F.col("content_type"), F.col("body")).alias("is_playlist"))
 
 
 def q_first_media_uri(spark, d):
     hs = FX.http_samples(spark, d)
-    return hs.select("url", PL.first_media_uri(TX.utf8_ignore(F.col("body"))).alias("media_uri"))
+    return hs.select("url", "attempt", PL.first_media_uri(TX.utf8_ignore(F.col("body"))).alias("media_uri"))
 
 
 def q_url_resolve(spark, d):
     hs = FX.http_samples(spark, d)
     first = PL.first_media_uri(TX.utf8_ignore(F.col("body")))
-    return (hs.select("url", first.alias("media_uri")).where(F.col("media_uri") != "")
-            .select("url", "media_uri", U.url_resolve(F.col("url"), F.col("media_uri")).alias("resolved")))
+    return (hs.select("url", "attempt", first.alias("media_uri")).where(F.col("media_uri") != "")
+            .select("url", "attempt", "media_uri", U.url_resolve(F.col("url"), F.col("media_uri")).alias("resolved")))
 
 
 def q_probe_levels(spark, d):
     targets = FX.entries(spark, d).select("url").distinct()
     lv = PR.probe_levels(FX.http_samples(spark, d), targets)
-    return lv.select("url", "attempt", "check_level", "status_code", "error")
+    return lv.select("url", "attempt", "check_level", "status_code", "latency_ms", "error")
 
 
 def _pages(spark, d) -> DataFrame:
-    return FX.read_table(spark, d, "pages", ["page_id", "url", "html"], spread_rows=True)
+    return FX.read_table(spark, d, "pages", ["page_id", "url", "html"])
 
 
 def q_url_scheme(spark, d):
@@ -316,7 +316,7 @@ def q_denied_payload(spark, d):
 
 
 def q_normalize_text(spark, d):
-    docs = FX.read_table(spark, d, "documents", ["doc_id", "text"], spread_rows=True)
+    docs = FX.read_table(spark, d, "documents", ["doc_id", "text"])
     return docs.select("doc_id", TX.normalize_text(F.col("text")).alias("norm"))
 
 
@@ -377,11 +377,30 @@ def q_audit_other_top(spark, d):
 
 
 def _parsed_sources(spark, d) -> DataFrame:
-    return P.m3u_parse(FX.playlist_lines(spark, d))
+    return P.m3u_parse(FX.landed_lines(spark, d))
 
 
 def q_source_report(spark, d):
-    return RP.source_report(FX.sources(spark, d), _parsed_sources(spark, d))
+    return RP.source_report(FX.sources(spark, d), _parsed_sources(spark, d), FX.fetch_log(spark, d))
+
+
+def q_source_attributes(spark, d):
+    df = P.with_source_attributes(_parsed_sources(spark, d), FX.sources(spark, d).where("enabled"))
+    return df.select("source_name", "entry_id", "url", "source_weight", _join("source_tags").alias("source_tags"))
+
+
+def q_selection_order(spark, d):
+    sel = _selected(spark, d)
+    return T.with_rank(sel, D.output_order(sel), "position").select("position", "country", "url")
+
+
+def q_audit_totals(spark, d):
+    return RP.audit_totals(_checked(spark, d, PROFILE_R1).checked, PROFILE_R1)
+
+
+def q_publish_ranked(spark, d):
+    relaxed = T.assign_group_title(_tiers(spark, d)["relaxed"], PROFILE)
+    return T.published(T.with_rank(relaxed), extra=("rank",)).select("rank", "name", "url", "group_title", "tier", "score")
 
 
 def q_enabled_sources(spark, d):
@@ -392,7 +411,7 @@ def q_enabled_sources(spark, d):
 def q_build_stats(spark, d):
     prof = PROFILE_R1
     srcs = FX.sources(spark, d)
-    report = RP.source_report(srcs, _parsed_sources(spark, d))
+    report = RP.source_report(srcs, _parsed_sources(spark, d), FX.fetch_log(spark, d))
     fetched = B.prepared_entries(FX.entries(spark, d), prof)
     ck = B.health_stage(B.selected_channels(fetched, prof), FX.url_attempts(spark, d), prof)
     return RP.build_stats(srcs, report, fetched, ck.selected, ck.checked, prof)
@@ -471,7 +490,11 @@ QUERIES: dict[str, Query] = {
     "report_category_counts": q_report_category_counts,
     "audit_country_list": q_audit_country_list,
     "audit_other_top": q_audit_other_top,
+    "audit_totals": q_audit_totals,
     "source_report": q_source_report,
+    "source_attributes": q_source_attributes,
+    "selection_order": q_selection_order,
+    "publish_ranked": q_publish_ranked,
     "enabled_sources": q_enabled_sources,
     "build_stats": q_build_stats,
     "catalogue_search": q_catalogue_search,

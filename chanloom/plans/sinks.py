@@ -19,15 +19,18 @@ from pyspark.sql import functions as F
 
 from ..config import Profile
 from ..functions.text import title_case
+from ..operators import dedupe as D
 from ..operators import render as R
 from ..operators import reports as RP
 from ..operators import tiers as T
+from ..session import materialize
 
 
-def _write_ordered(lines: DataFrame, path: str, partitions: int, by: str | None = None) -> None:
-    """``lines``: (pos, value[, by]); writes text parts in ``pos`` order."""
+def _write_ordered(lines: DataFrame, path: str, by: str | None = None) -> None:
+    """``lines``: (pos, value[, by]); writes text parts in ``pos`` order, as
+    many as the session's shuffle settings give."""
     keys = ([by] if by else []) + ["pos"]
-    df = lines.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+    df = lines.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.select(*(([by] if by else []) + ["value"])).write.mode("overwrite")
     if by:
         w = w.partitionBy(by)
@@ -47,8 +50,7 @@ def _title_column(titles: Mapping[str, str], key: str) -> Column:
     return T.title_lookup(titles, F.col(key), title_case(F.col(key)))
 
 
-def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_title: str,
-                    partitions: int = 8) -> None:
+def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_title: str) -> None:
     """all.m3u (+ by-category/all.m3u), per-country and per-category
     playlists, and by-country/all.m3u.  ``ranked`` has ``rank`` and the
     entry columns (attrs, name, url, group_title, country, categories)."""
@@ -62,9 +64,9 @@ def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_
     # all.m3u: entries in rank order with their assigned group title.
     body = R.render_rows(ranked).select(F.col("rank").alias("pos"),
                                         F.concat_ws("\n", "extinf", "url").alias("value"))
-    all_lines = with_header(body, R.header(playlist_title))
-    _write_ordered(all_lines, f"{out_dir}/all.m3u.parts", partitions)
-    _write_ordered(all_lines, f"{out_dir}/by-category/all.m3u.parts", partitions)
+    all_lines = materialize(with_header(body, R.header(playlist_title)))  # written twice
+    _write_ordered(all_lines, f"{out_dir}/all.m3u.parts")
+    _write_ordered(all_lines, f"{out_dir}/by-category/all.m3u.parts")
 
     # by-country/<country>: group title = country title.
     ctitle = _title_column(country_titles, "country")
@@ -74,14 +76,14 @@ def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_
         "country", F.lit(0).cast("long").alias("pos"),
         F.concat(F.lit(f'#EXTM3U x-tvg-url="" x-playlist-name="{playlist_title} - '), ctitle,
                  F.lit('"')).alias("value"))
-    _write_ordered(heads.unionByName(per_country), f"{out_dir}/by-country", partitions, by="country")
+    _write_ordered(heads.unionByName(per_country), f"{out_dir}/by-country", by="country")
 
     # by-country/all.m3u: country ascending, rank order inside.
     by_country = R.render_country_rows(ranked, country_titles)
     bc = T.with_rank(by_country, [F.col("country")] + T.rank_order(), "pos").select(
         "pos", F.concat_ws("\n", "extinf", "url").alias("value"))
     _write_ordered(with_header(bc, R.header(f"{playlist_title} - All Countries")),
-                   f"{out_dir}/by-country-all.m3u.parts", partitions)
+                   f"{out_dir}/by-country-all.m3u.parts")
 
     # by-category/<category>: one entry per category (empty -> general).
     cats = F.when(F.size("categories") > 0, F.col("categories")).otherwise(F.array(F.lit("general")))
@@ -93,15 +95,15 @@ def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_
         "category", F.lit(0).cast("long").alias("pos"),
         F.concat(F.lit(f'#EXTM3U x-tvg-url="" x-playlist-name="{playlist_title} - '), cat_title,
                  F.lit('"')).alias("value"))
-    _write_ordered(cheads.unionByName(per_cat), f"{out_dir}/by-category", partitions, by="category")
+    _write_ordered(cheads.unionByName(per_cat), f"{out_dir}/by-category", by="category")
 
 
-def write_catalogue(ranked: DataFrame, out_dir: str, partitions: int = 8) -> None:
+def write_catalogue(ranked: DataFrame, out_dir: str) -> None:
     """channels: Parquet partitioned by country (searchable; the country
     filter prunes partitions) and JSON lines in rank order."""
     table = T.published(ranked, extra=("rank",))
     table.write.mode("overwrite").partitionBy("country").parquet(f"{out_dir}/channels.parquet")
-    (table.repartitionByRange(partitions, "rank").sortWithinPartitions("rank")
+    (table.repartitionByRange("rank").sortWithinPartitions("rank")
      .write.mode("overwrite").json(f"{out_dir}/channels.json"))
 
 
@@ -112,12 +114,15 @@ def write_reports(out_dir: str, checked: DataFrame, tiers: dict[str, DataFrame],
     failed-channel list is written distributed."""
     rdir = f"{out_dir}/reports"
     relaxed = T.assign_group_title(tiers["relaxed"], profile)
-    RP.verification_totals(checked, profile).write.mode("overwrite").json(f"{rdir}/verification-totals")
+    RP.stamped(RP.verification_totals(checked, profile)).write.mode("overwrite").json(f"{rdir}/verification-totals")
     RP.failure_reasons(tiers["dead"]).coalesce(1).write.mode("overwrite").json(f"{rdir}/failure-reasons")
-    T.published(tiers["dead"]).write.mode("overwrite").json(f"{rdir}/failed-channels")
+    order = D.output_order(tiers["dead"])
+    failed = tiers["dead"].repartitionByRange(*order).sortWithinPartitions(*order)
+    T.published(failed).write.mode("overwrite").json(f"{rdir}/failed-channels")
+    RP.stamped(RP.audit_totals(checked, profile)).write.mode("overwrite").json(f"{rdir}/audit-totals")
     RP.country_counts(relaxed).coalesce(1).write.mode("overwrite").json(f"{rdir}/country-counts")
     RP.category_counts(relaxed).coalesce(1).write.mode("overwrite").json(f"{rdir}/category-counts")
-    RP.country_list(relaxed, "az").write.mode("overwrite").json(f"{rdir}/az-channels")
+    RP.country_list(relaxed.repartitionByRange(*T.rank_order()).sortWithinPartitions(*T.rank_order()), "az").write.mode("overwrite").json(f"{rdir}/az-channels")
     RP.other_examples(relaxed, 120).coalesce(1).write.mode("overwrite").json(f"{rdir}/other-examples")
     if stats is not None:
         stats.coalesce(1).write.mode("overwrite").json(f"{rdir}/build-stats")

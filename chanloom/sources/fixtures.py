@@ -55,8 +55,9 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: entry_id, source_name, source_weight, source_tags, name, url,
     group_title, attrs (tvg-id / tvg-name / tvg-logo), probe_key.
     """
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-                    spread_rows=True)
+    # A file of one row group is one task: deal the narrow rows to all cores.
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]).repartition(
+        spark.sparkContext.defaultParallelism)
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand", "p_type")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     j = li.join(pa, li.l_partkey == pa.p_partkey).join(su, li.l_suppkey == su.s_suppkey)
@@ -73,6 +74,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     tvg_name = F.when(pk % 5 == 0, F.col("p_brand")).otherwise("")
     tvg_logo = F.when(sk % 2 == 0, F.concat(F.lit("http://logo.example.org/"), _s(pk), F.lit(".png"))
                       ).otherwise("")
+    users = read_table(spark, sf_dir, "events", ["user_id"]).agg(F.count_distinct("user_id").alias("n")).scalar()
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("entry_id"),
         F.col("s_name").alias("source_name"),
@@ -83,7 +85,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("group_title"),
         F.create_map(F.lit("tvg-id"), tvg_id, F.lit("tvg-name"), tvg_name,
                      F.lit("tvg-logo"), tvg_logo).alias("attrs"),
-        ((pk * 31 + s10) % 150).cast("int").alias("probe_key"),
+        F.pmod(pk * 31 + s10, F.greatest(users, F.lit(1))).cast("int").alias("probe_key"),
     )
 
 
@@ -99,6 +101,24 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-E: the fetch of every source: one in 11 failed, one in 17 was never
+    tried, and one in 13 of the others has an empty playlist."""
+    sk = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").where(sk % 17 != 7)
+    return rows.select(
+        F.col("s_name").alias("source_name"),
+        F.when(sk % 11 == 5, "HTTP Error 404").otherwise("").alias("error"),
+        F.when(sk % 5 != 0, sk * 37 % 900).cast("int").alias("elapsed_ms"),
+        (sk % 13 == 4).alias("empty"))
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-C lines of the playlists that were fetched and are not empty."""
+    landed = fetch_log(spark, sf_dir).where("error = '' and not empty").select("source_name")
+    return playlist_lines(spark, sf_dir).join(landed, "source_name", "left_semi")
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-B: probe attempts per probe key, from ``events``."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -178,11 +198,17 @@ def http_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("o", F.lit("/child/seg"), _s(k), F.lit(".ts")).alias("url"),
         F.when(k % 10 == 9, 500).otherwise(200).alias("status"),
         F.lit("video/mp2t").alias("content_type"), F.lit("data").alias("body")).distinct()
-    out = top.unionByName(child).unionByName(seg)
+    # Two attempts: one URL in 13 times out first, one in 17 is only there at first.
+    out = top.unionByName(child).unionByName(seg).select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"))
+    h = F.length("url") * 7 + F.ascii(F.substring(F.md5("url"), 1, 1))
+    timeout = (h % 13 == 0) & (F.col("attempt") == 1)
+    gone = (h % 17 == 0) & (F.col("attempt") == 2)
     return out.select(
-        "url", F.lit(1).alias("attempt"), F.col("status").cast("int").alias("status"),
-        "content_type", F.encode("body", "UTF-8").alias("body"),
-        F.lit("").alias("error"), F.lit(None).cast("int").alias("elapsed_ms"))
+        "url", "attempt",
+        F.when(timeout, F.lit(None)).when(gone, F.lit(410)).otherwise(F.col("status")).cast("int").alias("status"),
+        "content_type", F.when(~timeout, F.encode("body", "UTF-8")).alias("body"),
+        F.when(timeout, F.lit("timed out")).otherwise(F.lit("")).alias("error"),
+        F.when(h % 19 != 0, h * 3 + F.col("attempt")).cast("int").alias("elapsed_ms"))
 
 
 def overrides_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,23 +1,24 @@
-"""Native inputs: source registry, playlists, overrides, samples, catalogue.
+"""Native inputs: source registry, playlists, overrides, samples, fetch log.
 
 * The source registry and overrides are JSON documents (configuration).
-* Playlists are files in a landing directory, one file per source named
-  ``<source name>.m3u``; every file is read as bytes (capped at 12 MB) and
-  split into lines by Spark, so many sources are read in parallel.
-* Captured HTTP samples (the probe input) and the published catalogue are
-  tables (Parquet).
+* Playlists are text files in a landing directory, named
+  ``<source name>.m3u`` or ``<source name>~<version>.m3u``, in any folder.
+  Files are read in blocks, so a large one is many tasks; lines keep their
+  file and block.  Of several files of a source the newest counts, also when
+  it is empty.
+* Captured HTTP samples (the probe input) and the fetch log are tables.
 """
 
 from __future__ import annotations
 
-from typing import Any
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import load_overrides
 from ..operators.classify import overrides_frame
-from ..operators.parse import playlist_text, text_lines
+from ..functions.text import py_strip, split_lines
 
 SOURCES_SCHEMA = ("sources array<struct<name:string,url:string,enabled:boolean,weight:int,"
                   "tags:array<string>>>")
@@ -35,34 +36,98 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
                 F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"))
 
 
-def sources_frame(spark: SparkSession, sources: list[dict[str, Any]]) -> DataFrame:
-    rows = [(str(s.get("name")), str(s.get("url")), bool(s.get("enabled", True)),
-             int(s.get("weight", 50)), [str(t) for t in s.get("tags", [])])
-            for s in sources if s.get("name") and s.get("url")]
-    return spark.createDataFrame(rows, "name string, url string, enabled boolean, weight int, "
-                                       "tags array<string>")
-
-
 def read_overrides(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(by_name, by_url) tables; a missing file gives empty tables."""
     return overrides_frame(spark, load_overrides(path))
 
 
-def read_playlist_files(spark: SparkSession, landing_dir: str, pattern: str = "*.m3u") -> DataFrame:
-    """``(source_name, text)`` per playlist file of the landing directory."""
+def source_of(path: Column) -> Column:
+    """Source name of a playlist file: its name up to ``~`` or the last dot."""
+    return F.regexp_extract(_decoded(path), r"([^/~]+)(?:~[^/]*)?\.[^./~]+$", 1)
+
+
+def _decoded(path: Column) -> Column:
+    """A file path without its URI escapes (``+`` stands for itself)."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def playlist_files(spark: SparkSession, landing_dir: str, pattern: str = "*.m3u") -> DataFrame:
+    """(source_name, file, modified, length) of every playlist file; contents
+    are not read."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(landing_dir))
-    name = F.regexp_extract(F.col("path"), r"([^/]+)\.[^./]+$", 1)
-    return files.select(name.alias("source_name"), playlist_text(F.col("content")).alias("text"))
+    listed = list_files(files)
+    return listed.unionByName(_empty_files(files, listed))
+
+
+def list_files(files: DataFrame) -> DataFrame:
+    """The listing of a ``binaryFile`` frame, batch or stream."""
+    path = F.col("_metadata.file_path")
+    return files.select(source_of(path).alias("source_name"), path.alias("file"),
+                        F.col("modificationTime").alias("modified"), "length")
+
+
+def _empty_files(files: DataFrame, listed: DataFrame) -> DataFrame:
+    """Files of no bytes: Spark lists them but its sources skip them, so only
+    their names come from the driver's listing, and their times from the
+    file system."""
+    spark = files.sparkSession
+    # written as in the metadata column: an empty authority is left out
+    names = spark.createDataFrame([(re.sub("^file:/+", "file:/", p),) for p in files.inputFiles()], "file string")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def modified(name: str) -> int:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        return path.getFileSystem(conf).getFileStatus(path).getModificationTime()
+
+    empty = [(r.file, modified(r.file)) for r in names.join(listed, "file", "left_anti").collect()]
+    rows = spark.createDataFrame(empty, "file string, ms long")
+    return rows.select(source_of(F.col("file")).alias("source_name"), "file", F.timestamp_millis("ms").alias("modified"), F.lit(0).cast("long").alias("length"))
+
+
+def newest_files(files: DataFrame) -> DataFrame:
+    """One file per source: the last modified, of equals the last by path."""
+    newest = F.max(F.struct("modified", "file", "length")).alias("f")
+    return files.groupBy("source_name").agg(newest).select("source_name", "f.file", "f.modified", "f.length")
+
+
+def file_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Lines of the chosen ``files``: (source_name, chunk, line_no, line).
+
+    ``raw`` has the text source's rows with ``file`` and ``block``.  Numbers
+    grow in reading order inside a block (a block is read by one task)."""
+    pieces = raw.select("file", "block", F.explode(split_lines(F.make_valid_utf8("value"))).alias("piece"))
+    numbered = pieces.select("file", F.col("block").alias("chunk"), F.monotonically_increasing_id().alias("line_no"),
+                             py_strip(F.col("piece")).alias("line"))
+    chosen = files.select("source_name", "file")
+    return numbered.where("line != ''").join(chosen, "file").select("source_name", "chunk", "line_no", "line")
+
+
+def text_rows(spark: SparkSession, paths: str | list[str], pattern: str = "*.m3u") -> DataFrame:
+    raw = (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(paths))
+    return raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def playlist_lines(spark: SparkSession, landing_dir: str, sources: DataFrame,
                    pattern: str = "*.m3u") -> DataFrame:
-    """Lines of the playlists of enabled sources: ``(source_name, line_no, line)``."""
-    files = read_playlist_files(spark, landing_dir, pattern)
+    """Lines of the newest playlist of every enabled source."""
     enabled = sources.where("enabled").select(F.col("name").alias("source_name"))
-    files = files.join(enabled, "source_name", "left_semi")
-    return text_lines(files, "text", ("source_name",))
+    files = newest_files(playlist_files(spark, landing_dir, pattern)).join(enabled, "source_name", "left_semi")
+    return file_lines(text_rows(spark, landing_dir, pattern), files)
+
+
+def fetch_results(spark: SparkSession, landing_dir: str, log_path: str | None = None, pattern: str = "*.m3u") -> DataFrame:
+    """(source_name, error, elapsed_ms): a row per source that was fetched or
+    tried.  Files that landed are fetched; the log (JSON lines ``source,
+    error, elapsed_ms``), if there is one, adds times and failures."""
+    landed = playlist_files(spark, landing_dir, pattern).select("source_name").distinct().withColumn("landed", F.lit(True))
+    if log_path is None:
+        return landed.select("source_name", F.lit("").alias("error"), F.lit(None).cast("int").alias("elapsed_ms"))
+    log = spark.read.schema("source string, error string, elapsed_ms int").json(log_path)
+    log = log.groupBy(F.col("source").alias("source_name")).agg(F.first("error").alias("e"), F.max("elapsed_ms").alias("elapsed_ms"))
+    both = log.join(landed, "source_name", "full")
+    missing = F.when(F.col("landed"), F.lit("")).otherwise(F.lit("not_fetched"))
+    return both.select("source_name", F.coalesce(F.nullif("e", F.lit("")), missing).alias("error"), "elapsed_ms")
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -76,8 +141,3 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
             df = df.withColumn(c, F.lit(None).cast(t))
     return df.select("url", F.col("attempt").cast("int"), F.col("status").cast("int"), "content_type",
                      F.col("body").cast("binary"), "error", F.col("elapsed_ms").cast("int"))
-
-
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """The published catalogue (Parquet, partitioned by country)."""
-    return spark.read.parquet(path)

@@ -5,20 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has
-    cores (a small file with one row group is one task).  A scan of many
-    files is returned untouched, so this costs nothing at scale."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread_rows: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df) if spread_rows else df
+    return df.select(*columns) if columns else df

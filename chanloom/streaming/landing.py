@@ -1,12 +1,14 @@
 """Incremental ingestion of a playlist landing directory.
 
 The original tool rebuilds everything on a schedule.  With Structured
-Streaming the landing directory is a file source: each run picks up only
-the playlist files that arrived since the last run (the stream checkpoint
-remembers them), parses them with the batch operators inside
-``foreachBatch`` and appends the entries to a table partitioned by source.
-The catalogue build then reads that table.  ``Trigger.AvailableNow`` makes
-the scheduled job process everything new and stop.
+Streaming the landing directory is a file source: each run sees only the
+playlist files that arrived since the last run (the stream checkpoint
+remembers them).  The stream carries file names only; ``foreachBatch`` reads
+the newest file of every source of the batch with the batch operators and
+writes its entries and a manifest row per source.  A re-fetched playlist
+must land under a new path (``<source>~<version>.m3u``): Spark's file source
+does not pick up a known path again.  ``latest_entries`` follows the newest
+manifest row of a source, so an emptied playlist has no entries left.
 """
 
 from __future__ import annotations
@@ -15,44 +17,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import parse as P
-
+from ..sources import readers as R
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _entries_writer(entries_path: str, chunk_lines: int):
+def _entries_writer(landing_dir: str, entries_path: str, pattern: str, chunk_lines: int):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        lines = P.text_lines(batch, "text", ("source_name",))
-        parsed = P.m3u_parse(lines, chunk_lines)
+        spark = batch.sparkSession
+        # files of no bytes give the stream no row: they come from the listing
+        emptied = R.playlist_files(spark, landing_dir, pattern).where("length = 0")
+        newest = R.newest_files(batch.unionByName(emptied))
+        manifest = newest.withColumn("batch_id", F.lit(epoch_id).cast("long"))
         # One folder per batch, overwritten on retry: a re-run batch (the
         # sink is at-least-once) never duplicates entries.
-        parsed.write.mode("overwrite").partitionBy("source_name").parquet(
-            f"{entries_path}/batch_id={epoch_id}")
+        manifest.write.mode("overwrite").parquet(f"{entries_path}/manifest/batch={epoch_id}")
+        chosen = spark.read.schema(manifest.schema).parquet(f"{entries_path}/manifest/batch={epoch_id}")
+        # the names of one batch's files, bounded by maxFilesPerTrigger
+        paths = [r.file for r in chosen.where("length > 0").select("file").collect()]
+        if not paths:
+            return
+        raw = spark.read.text(paths).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        parsed = P.m3u_parse(R.file_lines(raw, chosen), chunk_lines)
+        parsed.write.mode("overwrite").partitionBy("source_name").parquet(f"{entries_path}/entries/batch={epoch_id}")
     return write
 
 
 def ingest_playlists(spark: SparkSession, landing_dir: str, entries_path: str, checkpoint_location: str,
                      pattern: str = "*.m3u", chunk_lines: int = P.DEFAULT_CHUNK_LINES,
-                     available_now: bool = True):
+                     available_now: bool = True, files_per_batch: int = 10_000):
     """Start (and with ``available_now`` finish) one incremental ingest run.
 
     Returns the ``StreamingQuery``; call ``awaitTermination()`` on it.
     """
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", pattern)
+             .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
              .option("recursiveFileLookup", "true").load(landing_dir))
-    texts = files.select(
-        F.regexp_extract(F.col("path"), r"([^/]+)\.[^./]+$", 1).alias("source_name"),
-        P.playlist_text(F.col("content")).alias("text"))
-    writer = (texts.writeStream.foreachBatch(_entries_writer(entries_path, chunk_lines))
+    writer = (R.list_files(files).writeStream.foreachBatch(_entries_writer(landing_dir, entries_path, pattern, chunk_lines))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def latest_entries(spark: SparkSession, entries_path: str) -> DataFrame:
-    """Entries of the newest batch of every source (a re-fetched playlist
-    replaces the previous one)."""
-    df = spark.read.parquet(entries_path)
-    newest = df.groupBy("source_name").agg(F.max("batch_id").alias("batch_id"))
-    return df.join(newest, ["source_name", "batch_id"], "left_semi").drop("batch_id")
+    """Entries of the newest file of every source (a re-fetched playlist
+    replaces the previous one, an empty one removes it)."""
+    manifest = spark.read.parquet(f"{entries_path}/manifest")
+    newest = manifest.groupBy("source_name").agg(F.max(F.struct("modified", "batch_id")).alias("m"))
+    newest = newest.select("source_name", F.col("m.batch_id").alias("batch"))
+    return spark.read.parquet(f"{entries_path}/entries").join(newest, ["source_name", "batch"], "left_semi").drop("batch")

@@ -1,6 +1,7 @@
 """Every registered query against its SQL oracle (DuckDB) on sf0.001."""
 
 import os
+import re
 from pathlib import Path
 
 import duckdb
@@ -10,7 +11,9 @@ import __spark_entry__ as entry
 from scripts.oracle_check import TABLES, digest
 
 SF = os.environ.get("CHANLOOM_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
+# the training-data operators have tests of their own
+OPTIONAL = re.compile(r"op\d+_.*|pipeline")
+QUERIES = {k: f for k, f in entry.queries().items() if not OPTIONAL.fullmatch(k)}
 ORACLE = entry.oracle_sql()
 
 
@@ -24,18 +27,14 @@ def con():
     return c
 
 
-def test_every_query_has_oracle_or_is_listed():
-    rows_only = {"normalize_text"}
-    assert set(QUERIES) - set(ORACLE) == rows_only
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE) & set(QUERIES)
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    if key not in ORACLE:
-        assert df.columns
-        return
     rel = con.sql(ORACLE[key])
     sc, _, sh = digest(df.columns, rows)
     dc, _, dh = digest(rel.columns, rel.fetchall())
@@ -45,5 +44,5 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0
-    assert df.columns
+    assert df.count() == 167
+    assert "fallback_urls" in df.columns

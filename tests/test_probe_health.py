@@ -71,20 +71,14 @@ def test_unsupported_scheme(spark):
     assert got["rtmp://a/x"] == (0, None, "unsupported_scheme", 0)
 
 
-def _loop(levels, retries):
-    """Sequential restatement: keep the better result, stop at level >= 2."""
-    best = (0, None, None, "unknown")
-    for i, lv in enumerate(levels[: max(1, retries)]):
-        res = (lv, 200 + i, 10 * (i + 1), f"e{i}")
-        if res[0] > best[0]:
-            best = res
-        if best[0] >= 2:
-            break
-    return best
+def _expected(levels):
+    """The first strict attempt, else the first that connects, else none."""
+    order = [i for wanted in ({2, 3}, {1}) for i, lv in enumerate(levels) if lv in wanted]
+    return (levels[order[0]], 200 + order[0], 10 * (order[0] + 1), f"e{order[0]}") if order else (0, None, None, "unknown")
 
 
 @pytest.mark.parametrize("retries", [1, 2, 3])
-def test_best_attempt_matches_loop(spark, retries):
+def test_best_attempt_of_every_sequence(spark, retries):
     seqs = [s for n in range(1, 4) for s in itertools.product(range(4), repeat=n)]
     rows = [(f"u{j}", i + 1, lv, 200 + i, 10 * (i + 1), f"e{i}")
             for j, seq in enumerate(seqs) for i, lv in enumerate(seq)]
@@ -92,9 +86,30 @@ def test_best_attempt_matches_loop(spark, retries):
                                      "latency_ms int, error string")
     got = {r.url: (r.check_level, r.status_code, r.latency_ms, r.error)
            for r in H.best_attempt(df, retries).collect()}
-    for j, seq in enumerate(seqs):
-        exp = _loop(list(seq), retries)
-        assert got[f"u{j}"] == exp, (seq, retries)
+    assert got == {f"u{j}": _expected(seq[:retries]) for j, seq in enumerate(seqs)}
+
+
+def test_media_line_after_long_comments(spark):
+    body = b"#EXTM3U\n" + b"# padding\n" * 2000 + b"/c.m3u8\n"
+    rows = [("http://a/1", 1, 200, PL, body, "", 5), ("http://a/c.m3u8", 1, 200, "video/mp2t", b"x", "", 7)]
+    assert _levels(spark, rows, ["http://a/1"])["http://a/1"] == (3, 200, "", 12)
+
+
+def test_second_attempt_follows_its_own_samples(spark):
+    rows = [("http://a/1", 1, None, "", None, "timed out", 5), ("http://a/1", 2, 200, PL, b"#EXTM3U\nc", "", 6),
+            ("http://a/c", 1, 200, "video/mp2t", b"x", "", 7), ("http://a/c", 2, 410, "", b"", "", None)]
+    s = spark.createDataFrame(rows, SAMPLE_SCHEMA)
+    got = {r.attempt: (r.check_level, r.status_code, r.error, r.latency_ms)
+           for r in PR.probe_levels(s, s.select("url").where("url like '%1'")).collect()}
+    assert got == {1: (0, None, "entry:timed out", 5), 2: (1, 200, "child:410", 6)}
+
+
+def test_no_body_is_shuffled(spark):
+    s = spark.createDataFrame([("http://a/1", 1, 200, PL, b"", "", 5)], SAMPLE_SCHEMA)
+    plan = PR.probe_levels(s, s.select("url"))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange"):]
+    assert "Python" not in plan
+    assert not any("body" in line for line in below.splitlines() if "Exchange" in line)
 
 
 def _selected(spark, rows):
