@@ -105,3 +105,36 @@ def apply_health(entries: DataFrame, report: DataFrame) -> DataFrame:
         "check_error": F.when(found, F.coalesce(F.col("_err"), F.lit(""))).otherwise(F.lit("not_checked")),
         "check_level": F.when(found, F.coalesce(F.col("_lvl"), F.lit(0))).otherwise(F.lit(0)).cast("int"),
     }).drop("_u", "_lvl", "_alive", "_st", "_lat", "_err")
+
+
+def settle(selected: DataFrame, report: DataFrame, max_fallbacks: int = 3) -> DataFrame:
+    """``fallback_swap`` and ``apply_health`` in one pass: every entry's URL
+    and the fallbacks that may be tried are exploded together, the report is
+    joined once, and each entry takes its own row or, when that is dead, its
+    first live fallback's."""
+    if max_fallbacks < 0:
+        raise ValueError("max_fallbacks must not be negative")
+    urls = F.concat(F.array("url"), F.slice("fallback_urls", 1, max_fallbacks))
+    tries = selected.select("primary_url", F.struct(*selected.columns).alias("_row"), F.posexplode(urls).alias("_pos", "_url"))
+    # only the entry's own try carries its columns
+    tries = tries.withColumn("_row", F.when(F.col("_pos") == 0, F.col("_row")))
+    facts = F.struct("check_level", "alive", "status_code", "latency_ms", "error")
+    found = report.select(F.col("url").alias("_u"), facts.alias("_rep"))
+    j = tries.join(found, F.col("_url") == F.col("_u"), "left")
+    level = F.coalesce(F.col("_rep.check_level"), F.lit(0))
+    one_try = F.struct("_url", "_rep")
+    per = j.groupBy("primary_url").agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        F.first(F.when(F.col("_pos") == 0, one_try), ignorenulls=True).alias("_own"),
+        F.min_by(one_try, F.when((F.col("_pos") > 0) & (level >= 1), F.col("_pos"))).alias("_live"))
+    dead = F.coalesce(F.col("_own._rep.check_level"), F.lit(0)) < 1
+    per = per.withColumn("_use", F.when(dead & F.col("_live").isNotNull(), F.col("_live")).otherwise(F.col("_own")))
+    known = F.col("_use._rep").isNotNull()
+    rest = [F.col(f"_row.{c}").alias(c) for c in selected.columns if c != "url"]
+    return per.select(
+        *rest, F.col("_use._url").alias("url"),
+        F.coalesce(F.col("_use._rep.alive"), F.lit(False)).alias("alive"),
+        F.col("_use._rep.status_code").cast("int").alias("status_code"),
+        F.col("_use._rep.latency_ms").cast("int").alias("latency_ms"),
+        F.when(known, F.coalesce(F.col("_use._rep.error"), F.lit(""))).otherwise(F.lit("not_checked")).alias("check_error"),
+        F.coalesce(F.col("_use._rep.check_level"), F.lit(0)).cast("int").alias("check_level"))

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Profile
-from ..session import materialize
 from ..operators import classify as C
 from ..operators import dedupe as D
 from ..operators import health as H
@@ -48,7 +47,7 @@ class Checked:
     checked: DataFrame      # all selected entries with health fields and post-score
     report: DataFrame       # url -> check_level, alive, status_code, latency_ms, error
     candidates: DataFrame   # fallback URLs that were probed
-    selected: DataFrame | None = None  # the checkpointed selection
+    selected: DataFrame | None = None
 
 
 def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profile) -> Checked:
@@ -61,18 +60,12 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
             "check_level": F.lit(1)})
         empty = selected.sparkSession.createDataFrame([], H.REPORT_SCHEMA)
         return Checked(S.post_score(checked, profile.prefer_https), empty, empty.select("url"), selected)
-    # ``selected`` and the report are each read by several joins below.
-    selected = materialize(selected)
-    # One pass over the attempts: a report row depends only on its URL, so
-    # the report of primaries and of every fallback that may be tried is
-    # computed together; the swap reads fallback rows of dead entries only.
-    targets = selected.select("url").unionByName(selected.select(
-        F.explode(F.slice("fallback_urls", 1, profile.max_fallbacks)).alias("url")))
-    report = materialize(H.probe_report(attempts, targets, profile.retries, profile.keep_error))
-    primaries = report.join(selected.select("url").distinct(), "url", "left_semi")
+    # A report row depends only on its URL, so primaries and every fallback
+    # that may be tried are reported together; nothing is computed here yet.
+    report = H.best_attempt(attempts, profile.retries, profile.keep_error)
+    checked = H.settle(selected, report, profile.max_fallbacks)
+    primaries = H.probe_report(attempts, selected, profile.retries, profile.keep_error)
     candidates = H.fallback_candidates(selected, primaries, profile.max_fallbacks)
-    swapped = H.fallback_swap(selected, report, profile.max_fallbacks)
-    checked = H.apply_health(swapped, report)
     return Checked(S.post_score(checked, profile.prefer_https), report, candidates, selected)
 
 

@@ -142,3 +142,40 @@ def test_apply_health_missing_report(spark):
     got = {r.url: (r.alive, r.check_level, r.check_error, r.latency_ms)
            for r in H.apply_health(e, rep).collect()}
     assert got == {"a": (True, 2, "", 15), "b": (False, 0, "not_checked", None)}
+
+
+def test_settle_equals_swap_then_apply(spark):
+    sel = _selected(spark, [("p1", "p1", ["f1", "f2", "f3", "f4"]), ("p2", "p2", ["g1"]), ("p3", "p3", ["h1"]),
+                            ("p4", "p4", ["f4"]), ("p5", "p5", []), ("p6", "p6", ["x", "f2"])])
+    rep = spark.createDataFrame([(u, lv, lv > 0, 200 if lv else None, lv, "e" if not lv else "") for u, lv in
+                                 [("p1", 0), ("f1", 0), ("f2", 2), ("f3", 1), ("f4", 3), ("p2", 1), ("g1", 3), ("p3", 0), ("h1", 0), ("p4", 0), ("p5", 0)]],
+                                H.REPORT_SCHEMA)
+    for n in (0, 1, 3):
+        want = H.apply_health(H.fallback_swap(sel, rep, n), rep)
+        got = H.settle(sel, rep, n).select(*want.columns)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_candidates_of_a_checked_build(spark):
+    from chanloom.config import Profile
+    from chanloom.plans import build as B
+
+    sel = spark.createDataFrame([("p1", "p1", ["f1", "f2"], 50), ("p2", "p2", ["f1"], 50)],
+                                "primary_url string, url string, fallback_urls array<string>, source_weight int")
+    sel = sel.selectExpr("*", "map('tvg-id', '') as attrs", "'n' as name")
+    att = spark.createDataFrame([("p1", 1, 0), ("p2", 1, 2), ("f1", 1, 0), ("f2", 1, 1)], "url string, attempt int, check_level int")
+    att = att.selectExpr("*", "200 as status_code", "5 as latency_ms", "'' as error")
+    ck = B.health_stage(sel, att, Profile())
+    assert sorted(r.url for r in ck.candidates.collect()) == ["f1", "f2"]
+    assert {r.primary_url: r.url for r in ck.checked.collect()} == {"p1": "f2", "p2": "p2"}
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from chanloom.session import ensure_checkpoint_dir
+
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    spark = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(spark)
