@@ -4,14 +4,11 @@ A playlist is an ordered text file.  It is written as ordered part files:
 rows are range-partitioned on their position and sorted inside each
 partition, and the header is the row at position 0.  Concatenating the part
 files in name order gives the playlist; no single task or the driver holds
-a whole playlist.  ``merge_parts`` does that concatenation for small local
-outputs (tests, a laptop run).
+a whole playlist.
 """
 
 from __future__ import annotations
 
-import glob
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -37,21 +34,12 @@ def _write_ordered(lines: DataFrame, path: str, by: str | None = None) -> None:
     w.text(path)
 
 
-def merge_parts(path: str, target: str) -> None:
-    """Concatenate ``part-*`` files of a local text output in name order."""
-    with open(target, "wb") as out:
-        for part in sorted(glob.glob(os.path.join(path, "part-*"))):
-            with open(part, "rb") as f:
-                while chunk := f.read(1 << 20):
-                    out.write(chunk)
-
-
 def _title_column(titles: Mapping[str, str], key: str) -> Column:
     return T.title_lookup(titles, F.col(key), title_case(F.col(key)))
 
 
 def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_title: str) -> None:
-    """all.m3u (+ by-category/all.m3u), per-country and per-category
+    """all.m3u (and the same as by-category-all.m3u), per-country and per-category
     playlists, and by-country/all.m3u.  ``ranked`` has ``rank`` and the
     entry columns (attrs, name, url, group_title, country, categories)."""
     spark = ranked.sparkSession
@@ -66,7 +54,7 @@ def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_
                                         F.concat_ws("\n", "extinf", "url").alias("value"))
     all_lines = materialize(with_header(body, R.header(playlist_title)))  # written twice
     _write_ordered(all_lines, f"{out_dir}/all.m3u.parts")
-    _write_ordered(all_lines, f"{out_dir}/by-category/all.m3u.parts")
+    _write_ordered(all_lines, f"{out_dir}/by-category-all.m3u.parts")
 
     # by-country/<country>: group title = country title.
     ctitle = _title_column(country_titles, "country")

@@ -1,11 +1,11 @@
 """End-to-end build from a landing directory, JSON configuration and samples."""
 
+import glob
 import json
 import os
 import tempfile
 
 from chanloom.plans import job as J
-from chanloom.plans import sinks as K
 
 PL = "application/vnd.apple.mpegurl"
 
@@ -31,6 +31,16 @@ def _samples(spark, path):
                                 "error string, elapsed_ms int").write.mode("overwrite").parquet(path)
 
 
+def _joined(out, name):
+    """The text of an ordered output: its parts in name order."""
+    parts = sorted(glob.glob(os.path.join(out, name, "part-*")))
+    return "".join(open(p, encoding="utf-8").read() for p in parts)
+
+
+def _folders(out, name):
+    return sorted(os.path.basename(d) for d in glob.glob(os.path.join(out, name, "*=*")))
+
+
 def test_end_to_end(spark):
     root = tempfile.mkdtemp(prefix="chanloom-e2e-", dir="/tmp")
     land = os.path.join(root, "landing")
@@ -61,8 +71,7 @@ def test_end_to_end(spark):
     assert stats["entries_after_dedupe"] == 3         # two AzTV copies share a channel
     assert stats["entries_relaxed"] == 2 and stats["entries_dead"] == 1
 
-    K.merge_parts(os.path.join(out, "all.m3u.parts"), os.path.join(out, "all.m3u"))
-    text = open(os.path.join(out, "all.m3u"), encoding="utf-8").read()
+    text = _joined(out, "all.m3u.parts")
     lines = text.splitlines()
     assert lines[0] == '#EXTM3U x-tvg-url="" x-playlist-name="Custom Auto IPTV"'
     # AzTV: level 3, https fallback not needed; Eurosport level 1
@@ -72,6 +81,25 @@ def test_end_to_end(spark):
     assert lines[3].startswith('#EXTINF:-1 group-title="Azerbaijan | Sport"') and lines[3].endswith(",Eurosport HD")
     assert len(lines) == 5 and text.endswith("\n")
 
+    assert _joined(out, "by-category-all.m3u.parts") == text
+    az = ('#EXTM3U x-tvg-url="" x-playlist-name="Custom Auto IPTV - Azerbaijan"',
+          '#EXTINF:-1 group-title="Azerbaijan" tvg-id="AzTV.az" tvg-logo="l" tvg-name="AzTV",AzTV', "http://a.example.az/1.m3u8",
+          '#EXTINF:-1 group-title="Azerbaijan" tvg-name="Eurosport HD",Eurosport HD', "https://b.example.com/2.m3u8")
+    assert tuple(_joined(out, "by-country/country=az").splitlines()) == az
+    assert _folders(out, "by-country") == ["country=az"]
+    # one entry per category: Eurosport HD was overridden to two
+    assert _folders(out, "by-category") == ["category=cinema", "category=general", "category=sport"]
+    for category, title in (("cinema", "Cinema"), ("sport", "Sport")):
+        got = _joined(out, f"by-category/category={category}").splitlines()
+        assert got[0] == f'#EXTM3U x-tvg-url="" x-playlist-name="Custom Auto IPTV - {title}"'
+        assert got[1].startswith(f'#EXTINF:-1 group-title="{title}"') and got[2:] == ["https://b.example.com/2.m3u8"]
+    strict = _joined(out, "strict/all.m3u.parts").splitlines()
+    assert strict[0] == '#EXTM3U x-tvg-url="" x-playlist-name="Custom Auto IPTV (Strict)"'
+    assert strict[2:] == ["http://a.example.az/1.m3u8"]
+    report = spark.read.json(os.path.join(out, "reports", "audit-totals")).first()
+    assert (report.relaxed_total, report.strict_total, report.az_channels_total, report.other_country_total) == (2, 1, 2, 0)
+    assert report.generated_at_utc.endswith("+00:00")
+
     chans = spark.read.parquet(os.path.join(out, "channels.parquet"))
     assert chans.count() == 2
     assert {r.country for r in chans.collect()} == {"az"}
