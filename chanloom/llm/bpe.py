@@ -21,8 +21,8 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 #: Distinct pieces that a worker keeps before it starts anew.
-CACHE_PIECES = 1_000_000
-BATCH_CHARS = 2_000_000
+CACHE_PIECES = 500_000
+BATCH_CHARS = 1_000_000
 
 
 def char_classes() -> np.ndarray:

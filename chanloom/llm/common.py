@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import sys
 import types
 import uuid
@@ -67,6 +68,24 @@ def worker_cache() -> types.ModuleType:
     return sys.modules.setdefault("_chanloom_llm_worker", types.ModuleType("_chanloom_llm_worker"))
 
 
+def tidy(run):
+    """A ``mapInArrow`` function that gives freed memory back to the system
+    at the end of a task: Python workers are reused, and what one task's
+    buffers leave behind would add up beside the executor's heap."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def text_batches(batch: pa.RecordBatch, column: str, max_chars: int) -> Iterator[tuple[int, int, list[str]]]:
     """Runs of rows of at most ``max_chars`` code points (one row at least):
     bounds numpy temporaries whatever the batch holds."""

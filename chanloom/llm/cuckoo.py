@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chanloom.llm.common import WS, groups_of, materialize, text_of
+from chanloom.llm.common import WS, groups_of, materialize, text_of, tidy
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -203,7 +203,7 @@ def _shard(shards: int) -> Column:
 
 def _run(changes: DataFrame, shards: int) -> DataFrame:
     rows = changes.withColumn("shard", _shard(shards)).repartition("shard").sortWithinPartitions("shard", "step", "gone", "digest", "doc_id")
-    return rows.mapInArrow(_changed, "shard int, digest string, keep_id long, group_size long")
+    return rows.mapInArrow(tidy(_changed), "shard int, digest string, keep_id long, group_size long")
 
 
 def shard_count(rows: int) -> int:
@@ -212,7 +212,7 @@ def shard_count(rows: int) -> int:
 
 def build_index(digests: DataFrame, shards: int) -> DataFrame:
     """Index of a (digest, doc_id) table: shard, digest, keep_id, group_size."""
-    rows = digests.select("digest", F.col("doc_id").cast("long")).mapInArrow(_combined, "digest string, doc_id long, copies long")
+    rows = digests.select("digest", F.col("doc_id").cast("long")).mapInArrow(tidy(_combined), "digest string, doc_id long, copies long")
     return _run(rows.withColumn("gone", F.lit(False)).withColumn("step", F.lit(0)), shards)
 
 
@@ -224,7 +224,7 @@ def update_index(index: DataFrame, inserts: DataFrame | None, deletes: DataFrame
     if deletes is not None:
         rows = rows.unionByName(deletes.select("digest", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("copies"), F.lit(True).alias("gone"), F.lit(1).alias("step")))
     if inserts is not None:
-        fresh = inserts.select("digest", F.col("doc_id").cast("long")).mapInArrow(_combined, "digest string, doc_id long, copies long")
+        fresh = inserts.select("digest", F.col("doc_id").cast("long")).mapInArrow(tidy(_combined), "digest string, doc_id long, copies long")
         rows = rows.unionByName(fresh.select(*cols[:3], F.lit(False).alias("gone"), F.lit(2).alias("step")))
     return _run(rows.select(*cols), shards)
 

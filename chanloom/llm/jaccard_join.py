@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chanloom.llm.common import WS, groups_of, materialize, offsets, text_batches, text_of
+from chanloom.llm.common import WS, groups_of, materialize, offsets, text_batches, text_of, tidy
 from chanloom.llm.components import components
 from chanloom.llm.cuckoo import keep_one
 from chanloom.llm.strings import codepoints, is_ws, mix, piece_hashes, word_spans
@@ -41,7 +41,7 @@ BANDS, ROWS = 30, 5
 HASHES = BANDS * ROWS
 STEP = 25
 TOLERANCE = 1e-6
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 #: Members of a block: a task holds two at most.
 BLOCK = 256
 #: Characters of a family's block: long documents make smaller blocks.
@@ -209,7 +209,7 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
     dealt = in_blocks(posted.join(sizes, "band"), "band", "key", F.ceil(F.col("n") / BLOCK)).select("key", "task", "side")
     dealt = dealt.join(reps.select("key", "marks"), "key")
     tasks = dealt.repartition("task").sortWithinPartitions("task")
-    return tasks.select("task", "side", "key", "marks").mapInArrow(pairs, "a binary, b binary")
+    return tasks.select("task", "side", "key", "marks").mapInArrow(tidy(pairs), "a binary, b binary")
 
 
 def verified(families: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -266,7 +266,7 @@ def verified(families: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.least(F.ceil(F.col("total_chars") / BLOCK_CHARS), F.col("members")))
     dealt = in_blocks(families, "family", "key", blocks)
     tasks = dealt.repartition("task").sortWithinPartitions("task")
-    return tasks.select("task", "side", "key", "copies", "marks", "text").mapInArrow(check, "a binary, b binary, links long")
+    return tasks.select("task", "side", "key", "copies", "marks", "text").mapInArrow(tidy(check), "a binary, b binary, links long")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -275,7 +275,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     doc_id, key), both written tables or built from them."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
     rows = rows.withColumn("key", content_key(F.col("text")))
-    signed = materialize(rows.mapInArrow(_signed, "doc_id long, key binary, full boolean, marks binary, bands array<long>, chars long"), "signed")
+    signed = materialize(rows.mapInArrow(tidy(_signed), "doc_id long, key binary, full boolean, marks binary, bands array<long>, chars long"), "signed")
     members = signed.select("doc_id", "key")
     # one scan of narrow rows finds each representative; its signature comes from its own row
     heads = signed.groupBy("key").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanloom.llm.common import groups_of, materialize, text_of
+from chanloom.llm.common import groups_of, materialize, text_of, tidy
 from chanloom.llm.strings import mix
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -125,7 +125,7 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     done = []
     while True:
         tasks = now.withColumn("node", F.xxhash64("source", "place")).repartition("node").sortWithinPartitions("node", "size", "uid", "doc_id")
-        out = materialize(tasks.select("doc_id", "source", "size", "source_size", "target", "base", "fraction", "uid", "place", "node").mapInArrow(_rounded(level, seed), schema), f"level{level}")
+        out = materialize(tasks.select("doc_id", "source", "size", "source_size", "target", "base", "fraction", "uid", "place", "node").mapInArrow(tidy(_rounded(level, seed)), schema), f"level{level}")
         is_open = (F.col("fraction") > 0) & (F.col("fraction") < 1)
         done.append(out.where(~is_open))
         if leaves == 1:

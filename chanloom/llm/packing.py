@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanloom.llm.bpe import BATCH_CHARS, encode_texts
-from chanloom.llm.common import groups_of, materialize, offsets, ranges, text_batches, text_of
+from chanloom.llm.common import groups_of, materialize, offsets, ranges, text_batches, text_of, tidy
 
 WINDOW = 2048
 END = 1
@@ -162,16 +162,16 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str = "doc_
     sequence_id, offset."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(docs, text).alias("text")).withColumn("uid", F.xxhash64("doc_id", "text"))
-    pieces = rows.mapInArrow(_encoded(tokenizer, window), "doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+    pieces = rows.mapInArrow(tidy(_encoded(tokenizer, window)), "doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
     pieces = materialize(pieces, "pieces")
     rests = pieces.where("ids is not null")
     count, mean = rests.agg(F.count(F.lit(1)), F.avg("length")).first()
     shards = max(1, -(-count // SHARD_DOCS))
-    df = rests.select("ids", "length").mapInArrow(_frequencies, "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
+    df = rests.select("ids", "length").mapInArrow(tidy(_frequencies), "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
     # at most one row per token id of the vocabulary, whatever the corpus
     idf = {r.token: float(np.log1p((count - r.df + 0.5) / (r.df + 0.5))) for r in df.collect()}
     sent = spark.sparkContext.broadcast(idf)
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("uid", F.lit(7)), F.lit(shards)).cast("long"))
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "uid", "doc_id", "start")
     out = dealt.select("shard", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")
-    return out.mapInArrow(_filled(window, lambda: sent.value, mean or 1.0), PIECE + ", sequence_id long, offset long")
+    return out.mapInArrow(tidy(_filled(window, lambda: sent.value, mean or 1.0)), PIECE + ", sequence_id long, offset long")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chanloom.llm.common import materialize, offsets, ranges, text_batches
+from chanloom.llm.common import materialize, offsets, ranges, text_batches, tidy
 from chanloom.llm.strings import codepoints, is_ws, mix, piece_hashes, word_spans
 
 ORDER = 5
@@ -132,7 +132,7 @@ def count_grams(texts: DataFrame, limit: int = 500_000) -> DataFrame:
         if len(held.hashes):
             yield held.flush()
 
-    return texts.select("text").mapInArrow(count, "g string, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(tidy(count), "g string, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def _pack(batch: pa.RecordBatch) -> bytes:
@@ -306,13 +306,13 @@ def score(docs: DataFrame, trusted: DataFrame, columns: list[str], text: str = "
     rows = with_trust(docs.select(*columns, *[c for c in (key,) if c not in columns], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text__")), trusted, F.col(key))
     rows = rows.withColumn("fold__", F.when(F.col("trusted__"), F.when(side, 0).otherwise(1))).drop("trusted__")
     counts = materialize(count_grams(rows.where("fold__ = 1").select(F.col("text__").alias("text"))), "grams")
-    asked = materialize(rows.select("text__").mapInArrow(_asked, "chunk long, g string"), "asked")
+    asked = materialize(rows.select("text__").mapInArrow(tidy(_asked), "chunk long, g string"), "asked")
     answers = asked.join(gram_log_probabilities(counts, asked), "g")
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("g", F.col("logp").cast("float").alias("logp"))).alias("a")).select("chunk", F.col("a.g").alias("gs"), F.col("a.logp").alias("ls"))
-    packed = rows.mapInArrow(_packed, "chunk long, rows array<binary>")
+    packed = rows.mapInArrow(tidy(_packed), "chunk long, rows array<binary>")
     both = packed.join(answers, "chunk", "left").select("rows", F.coalesce("gs", F.array().cast("array<string>")).alias("gs"), F.coalesce("ls", F.array().cast("array<float>")).alias("ls"))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "text__"] + [T.StructField("logp__", T.DoubleType()), T.StructField("symbols__", T.LongType())])
-    return both.mapInArrow(_scored, schema)
+    return both.mapInArrow(tidy(_scored), schema)
 
 
 def classify(scored: DataFrame, lang: str = "lang", quantile: float = 0.995, margin: float = 1.1,
