@@ -4,10 +4,12 @@
    (fewer tokens than a window) is stored with its ids.
 2. Document frequencies of token ids (a table bounded by the vocabulary) and
    the mean length are computed over all rests.
-3. Rests are dealt to shards of a bounded number of documents.  A shard
-   builds its inverted index with the corpus-wide BM25 weights.  A seed asks
-   for its unused neighbours, best first; they fill the window, the last one
-   is cut to fit, and what remains of it seeds the next window.
+3. Lexically close rests are placed together (``placed``): a group above the
+   bound is split by the BM25 score of its rests against pivots drawn from
+   it, level by level; close groups then share a shard.
+4. A shard builds its inverted index with the corpus-wide BM25 weights.  A
+   seed asks for its unused neighbours, best first; they fill the window, the
+   last one is cut to fit, and what remains of it seeds the next window.
 
 So a shard pads its last window only.  Cut pieces keep their document's
 order; every id lies in exactly one piece.
@@ -32,8 +34,13 @@ from chanloom.llm.common import groups_of, materialize, offsets, ranges, text_ba
 WINDOW = 2048
 END = 1
 K1, B = 1.2, 0.75
-#: Documents of one shard: the reach of a seed, and the bound on a task.
+#: Documents of a group: a larger one is split.  A shard holds less than two.
 SHARD_DOCS = 1_500
+#: Pivots of one group (at most), and for each SHARD_DOCS of its documents.
+PIVOTS, PIVOTS_EACH = 256, 4
+#: Highest-weight tokens of a pivot.
+PIVOT_TERMS = 128
+LEVELS = 5
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -136,6 +143,114 @@ def fill_windows(docs: list[np.ndarray], index: Shard, window: int) -> list[tupl
         sequence += 1
 
 
+class Pivots:
+    """Weights of a group's pivots by token.  Children are numbered along a
+    chain of close pivots, so that neighbouring numbers are close too."""
+
+    def __init__(self, docs: list[np.ndarray], idf: dict[int, float], mean: float):
+        shard = Shard(docs, idf, mean)
+        order = np.lexsort((-shard.weight, shard.owner))
+        rank = np.arange(len(order)) - offsets(np.bincount(shard.owner, minlength=len(docs)))[shard.owner[order]]
+        keep = np.zeros(len(order), bool)
+        keep[order[rank < PIVOT_TERMS]] = True
+        at = np.repeat(np.arange(len(shard.tokens)), np.diff(shard.begin))[keep]
+        self.n, self.tokens, self.weight = len(docs), shard.tokens, shard.weight[keep]
+        self.begin = offsets(np.bincount(at, minlength=len(self.tokens)))
+        self.owner = shard.owner[keep]
+        close = self.scores(docs)
+        chain, left = [0], np.ones(self.n, bool)
+        left[0] = False
+        while left.any():
+            chain.append(int(np.argmax(np.where(left, close[chain[-1]], -1.0))))
+            left[chain[-1]] = False
+        number = np.empty(self.n, np.int64)
+        number[chain] = np.arange(self.n)
+        self.owner = number[self.owner]
+
+    def scores(self, docs: list[np.ndarray]) -> np.ndarray:
+        token = np.concatenate(docs).astype(np.int64)
+        doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        at = np.minimum(np.searchsorted(self.tokens, token), len(self.tokens) - 1)
+        known = self.tokens[at] == token
+        pairs = np.unique(doc[known] * len(self.tokens) + at[known])
+        doc, at = pairs // len(self.tokens), pairs % len(self.tokens)
+        n = self.begin[at + 1] - self.begin[at]
+        posts = ranges(self.begin[at], n)
+        cell = np.repeat(doc, n) * self.n + self.owner[posts]
+        return np.bincount(cell, weights=self.weight[posts], minlength=len(docs) * self.n).reshape(len(docs), self.n)
+
+
+def _routed(pivots_of, idf_of, mean: float):
+    """Rows of a group that has pivots move to the child of the best one."""
+
+    def run(batches):
+        pivots, idf, made = pivots_of(), idf_of(), {}
+        for batch in batches:
+            path = batch.column("path").to_numpy().copy()
+            ids = batch.column("ids").to_pylist()
+            length = batch.column("length").to_numpy()
+            for group in np.unique(path).tolist():
+                if group not in pivots:
+                    continue
+                if group not in made:
+                    if len(made) > 64:
+                        made.clear()
+                    made[group] = Pivots([_ids(*p) for p in pivots[group]], idf, mean)
+                mine = np.flatnonzero(path == group)
+                for a in range(0, len(mine), 1_000):
+                    rows = mine[a: a + 1_000]
+                    path[rows] = group * 512 + 1 + made[group].scores([_ids(ids[i], int(length[i])) for i in rows]).argmax(axis=1)
+            yield batch.set_column(batch.schema.get_field_index("path"), "path", pa.array(path))
+
+    return run
+
+
+def placed(rests: DataFrame, idf_of, mean: float) -> tuple[DataFrame, int]:
+    """``rests`` with a column ``shard``, and the number of shards.  A child's
+    ``path`` is its group's times 512 plus its number.  A group that cannot be
+    split (equal rests) is cut by hash."""
+    spark = rests.sparkSession
+    rows = rests.withColumn("path", F.lit(1).cast("long"))
+    stuck: set[int] = set()
+    for level in range(LEVELS):
+        large = rows.groupBy("path").count().where(F.col("count") > SHARD_DOCS).collect()
+        large = {r.path: r["count"] for r in large if r.path not in stuck}
+        if not large:
+            break
+        # in all about 4 pivots for 1,500 documents
+        wanted = {g: min(PIVOTS, PIVOTS_EACH * -(-n // SHARD_DOCS)) for g, n in large.items()}
+        chance = spark.createDataFrame([(g, int((1 << 30) * min(1.0, 2 * wanted[g] / n))) for g, n in large.items()], "path long, chance long")
+        drawn = rows.join(F.broadcast(chance), "path").withColumn("h", F.xxhash64("uid", F.lit(100 + level)))
+        drawn = drawn.where(F.pmod("h", F.lit(1 << 30)) < F.col("chance")).select("path", "h", "length", "ids").orderBy("path", "h")
+        pivots: dict[int, list[tuple[bytes, int]]] = {}
+        for r in drawn.toLocalIterator():
+            own = pivots.setdefault(r.path, [])
+            if len(own) < wanted[r.path] and (r.ids, r.length) not in own:
+                own.append((r.ids, r.length))
+        stuck |= {g for g in large if len(pivots.get(g, ())) < 2}
+        sent = spark.sparkContext.broadcast({g: p for g, p in pivots.items() if len(p) > 1})
+        if sent.value:
+            rows = materialize(rows.mapInArrow(tidy(_routed(lambda sent=sent: sent.value, idf_of, mean)), rows.schema), "placed")
+    # a row for some hundred rests; close groups follow each other in path order
+    sizes = rows.groupBy("path").count().toArrow()
+    path, n = (sizes.column(c).to_numpy().astype(np.int64) for c in ("path", "count"))
+    deep = path.copy()
+    for _ in range(LEVELS):
+        deep = np.where(deep < 512 ** LEVELS, deep * 512, deep)
+    order = np.argsort(deep)
+    path, n = path[order], n[order]
+    small = n <= SHARD_DOCS
+    before = np.cumsum(np.where(small, n, 0)) - np.where(small, n, 0)
+    first = before // SHARD_DOCS
+    parts = np.where(small, 1, -(-n // SHARD_DOCS))
+    own = np.where(small, 0, parts)
+    first = np.where(small, first, int(first.max(initial=0)) + 1 + np.cumsum(own) - own)
+    shards = max(1, int((first + parts).max(initial=1)))
+    numbers = spark.createDataFrame(pa.table({"path": path, "first": first, "parts": parts}))
+    part = F.pmod(F.xxhash64("uid", "doc_id", "start", F.lit(7)), F.col("parts"))
+    return rows.join(numbers, "path").withColumn("shard", F.col("first") + part).drop("path", "first", "parts"), shards
+
+
 def _filled(window: int, idf_of, mean: float):
     def run(batches):
         idf = idf_of()
@@ -166,12 +281,13 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str = "doc_
     pieces = materialize(pieces, "pieces")
     rests = pieces.where("ids is not null")
     count, mean = rests.agg(F.count(F.lit(1)), F.avg("length")).first()
-    shards = max(1, -(-count // SHARD_DOCS))
     df = rests.select("ids", "length").mapInArrow(tidy(_frequencies), "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
     # at most one row per token id of the vocabulary, whatever the corpus
     idf = {r.token: float(np.log1p((count - r.df + 0.5) / (r.df + 0.5))) for r in df.collect()}
     sent = spark.sparkContext.broadcast(idf)
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("uid", F.lit(7)), F.lit(shards)).cast("long"))
+    near, shards = placed(rests, lambda: sent.value, mean or 1.0)
+    whole = pieces.where("ids is null").withColumn("shard", F.pmod(F.xxhash64("uid", F.lit(7)), F.lit(shards)).cast("long"))
+    dealt = near.unionByName(whole)
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "uid", "doc_id", "start")
     out = dealt.select("shard", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")
     return out.mapInArrow(tidy(_filled(window, lambda: sent.value, mean or 1.0)), PIECE + ", sequence_id long, offset long")

@@ -187,6 +187,32 @@ def test_bm25_scores_and_windows():
     assert sorted(fill.values()) == [3, 4, 4]
 
 
+def _rests(spark, rows):
+    rows = [(i, i, 0, len(r), np.array(r, "<u2").tobytes()) for i, r in enumerate(rows)]
+    return spark.createDataFrame(rows, "doc_id long, uid long, start long, length long, ids binary")
+
+
+def test_close_rests_share_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 30)
+    rng = np.random.default_rng(6)
+    topics = np.arange(600) % 60
+    rests = _rests(spark, [[*rng.integers(1000 + 40 * t, 1040 + 40 * t, 25).tolist(), *rng.integers(10, 40, 25).tolist()] for t in topics])
+    idf = {i: 3.0 if i >= 1000 else 0.1 for i in range(4000)}
+    rows, shards = packing.placed(rests, lambda: idf, 50.0)
+    shard = {r.doc_id: r.shard for r in rows.collect()}
+    assert len(shard) == 600 and set(shard.values()) <= set(range(shards)) and shards <= 40
+    assert max(collections.Counter(shard.values()).values()) < 60
+    found = [shard[i] == shard[j] for i in range(600) for j in range(i) if topics[i] == topics[j]]
+    assert np.mean(found) > 0.6  # by chance: 1/20
+
+
+def test_equal_rests_are_cut_to_bounded_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 30)
+    rows, shards = packing.placed(_rests(spark, [[5, 6, 7]] * 300), lambda: {5: 1.0, 6: 1.0, 7: 1.0}, 3.0)
+    sizes = collections.Counter(r.shard for r in rows.collect())
+    assert sum(sizes.values()) == 300 and max(sizes.values()) < 60 and max(sizes) < shards
+
+
 def test_noisy_or_learns_from_document_labels():
     rng = np.random.default_rng(4)
     bags, label = [], []
