@@ -1,8 +1,10 @@
 """Quality classifier: interpolated modified Kneser-Ney model of trusted text.
 
-The model predicts the symbols of a word (characters, an end mark, or one
-REPEAT symbol for a word that equals its predecessor) from the four symbols
-before it.  Steps, all distributed:
+The model predicts a document's symbols (characters and an end mark of each
+word) from the four symbols before them, which may lie in earlier words.  A
+word that equals its predecessor, or ends a phrase of PHRASE words that its
+document has had before, is one REPEAT symbol; any other is marked NEW.
+Steps, all distributed:
 
 1. ``count_grams``: 5-gram counts of trusted text, pre-aggregated per task.
 2. ``Documents`` are packed into chunks of a fixed size; every chunk asks
@@ -38,7 +40,9 @@ from chanloom.llm.common import materialize, offsets, ranges, text_batches, tidy
 from chanloom.llm.strings import codepoints, is_ws, mix, piece_hashes, word_spans
 
 ORDER = 5
-START, END, REPEAT, REPLACED = 2, 3, 4, 0xFFFD
+START, END, REPEAT, NEW, REPLACED = 2, 3, 4, 5, 0xFFFD
+#: Words of a phrase whose return in a document counts as a repeat.
+PHRASE = 4
 #: Code points of one chunk (a longer document is a chunk of its own).
 CHUNK_CHARS = 32_000_000
 #: Code points that numpy handles at once.
@@ -64,35 +68,68 @@ def _as_grams(strings) -> np.ndarray:
 
 
 def word_grams(texts: list[str]):
-    """Distinct words of a batch as grams.
+    """Distinct words of a batch, each behind its context, as grams.
 
     Returns (grams, gram offsets of each distinct word, word number of each
-    token, document number of each token)."""
+    token, document number of each token).  A word's context is the end of
+    the words before it; a document's first word has START symbols.  A word
+    that repeats is the gram of REPEAT; any other one but a document's first
+    begins with the gram of NEW."""
+    nothing = np.zeros((0, ORDER), np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     codes, docs = codepoints(texts)
     if not len(codes):
-        return np.zeros((0, ORDER), np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return nothing
     blank = is_ws(codes)
-    codes = np.where((codes <= REPEAT) & ~blank, REPLACED, codes).astype(np.uint32)
+    codes = np.where((codes <= NEW) & ~blank, REPLACED, codes).astype(np.uint32)
     starts, ends, doc = word_spans(blank, docs)
     if not len(starts):
-        return np.zeros((0, ORDER), np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = piece_hashes(codes, starts, ends)
-    again = np.zeros(len(keys), dtype=bool)
-    again[1:] = (keys[1:] == keys[:-1]) & (doc[1:] == doc[:-1])
-    keys[again] = 0
-    distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    repeat = again[first]
-    s, n = starts[first], (ends - starts)[first]
-    n = np.where(repeat, 0, n)
+        return nothing
     pad = ORDER - 1
-    width = n + pad + 1
-    at = offsets(width)
-    symbols = np.full(at[-1], START, dtype=np.uint32)
-    symbols[ranges(at[:-1] + pad, n)] = codes[ranges(s, n)]
-    symbols[at[1:] - 1] = np.where(repeat, REPEAT, END)
-    heads = ranges(at[:-1], n + 1)
-    grams = np.stack([symbols[heads + k] for k in range(ORDER)], axis=1)
-    return grams, offsets(n + 1), which.ravel(), doc
+    words = piece_hashes(codes, starts, ends)
+    again = repeats(words, doc)
+    inside = np.zeros(len(words), dtype=bool)
+    inside[1:] = doc[1:] == doc[:-1]
+    # the document as one stream: START symbols, then words with an END each
+    n = ends - starts
+    lead = np.where(inside, 0, pad)
+    at = offsets(lead + n + 1)
+    stream = np.full(at[-1], START, dtype=np.uint32)
+    begin = at[:-1] + lead
+    stream[ranges(begin, n)] = codes[ranges(starts, n)]
+    stream[at[1:] - 1] = END
+    before = np.stack([stream[begin - pad + k] for k in range(pad)], axis=1)
+    keys = words.copy()
+    for k in range(pad):
+        keys = mix(keys ^ (before[:, k].astype(np.uint64) << np.uint64(1)))
+    keys = mix(keys ^ inside.astype(np.uint64))
+    keys[again] = 0
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    repeat, fresh = again[first], inside[first] & ~again[first]
+    own = np.where(repeat, 0, n[first] + 1)
+    out = offsets(own + (repeat | fresh))
+    grams = np.full((out[-1], ORDER), START, dtype=np.uint32)
+    marks = out[:-1][repeat | fresh]
+    grams[marks, pad] = np.where(repeat[repeat | fresh], REPEAT, NEW)
+    heads, rows = ranges(begin[first] - pad, own), ranges(out[:-1] + fresh, own)
+    grams[rows] = np.stack([stream[heads + k] for k in range(ORDER)], axis=1)
+    return grams, out, which.ravel(), doc
+
+
+def repeats(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a word equals its predecessor, or ends PHRASE words that its
+    document has had before."""
+    again = np.zeros(len(words), dtype=bool)
+    again[1:] = (words[1:] == words[:-1]) & (doc[1:] == doc[:-1])
+    m = len(words) - PHRASE + 1
+    if m > 0:
+        phrase = mix(doc[:m].astype(np.uint64))
+        for k in range(PHRASE):
+            phrase = mix(phrase ^ words[k: k + m])
+        _, first = np.unique(phrase, return_index=True)
+        seen = np.ones(m, dtype=bool)
+        seen[first] = False
+        again[PHRASE - 1:] |= seen & (doc[:m] == doc[PHRASE - 1:])
+    return again
 
 
 class _Counter:
@@ -232,7 +269,9 @@ def score_texts(texts: list[str], hashes: np.ndarray, logs: np.ndarray) -> tuple
     found = logs[at_hash]
     word = np.add.reduceat(found, at[:-1])
     total = np.bincount(doc, weights=word[which], minlength=len(texts))
-    symbols = np.bincount(doc, weights=np.diff(at)[which], minlength=len(texts)).astype(np.int64)
+    # whether a word is NEW costs something, but is no symbol of the text
+    size = np.diff(at) - (grams[at[:-1], -1] == NEW)
+    symbols = np.bincount(doc, weights=size[which], minlength=len(texts)).astype(np.int64)
     return total, symbols
 
 

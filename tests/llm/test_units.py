@@ -164,6 +164,25 @@ def test_word_grams_with_repeats():
     assert tokens[3] == ["\x02\x02\x02\x02�", "\x02\x02\x02�\x03"]
 
 
+def test_quality_sees_word_order_and_returning_phrases(spark, tmp_path):
+    rng = random.Random(8)
+    nouns, verbs = (["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(80)] for _ in range(2))
+    prose = lambda: " ".join(f"The {rng.choice(nouns)} will {rng.choice(verbs)} a {rng.choice(nouns)}." for _ in range(40))
+    texts = [prose() for _ in range(400)]
+    junk = []
+    for _ in range(20):
+        words = prose().split()
+        mixed = rng.sample(words, len(words))
+        junk += [" ".join(mixed), " ".join(words[:2] * 100), " ".join(words[:9] * 25)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts + junk)], "doc_id long, text string, lang string").write.parquet(path)
+    labels = spark.createDataFrame([(i, 1) for i in range(380)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in quality_kn.quality(spark.read.parquet(path), labels).collect()}
+    assert sum(kept[i] for i in range(400)) >= 390
+    for kind in range(3):
+        assert sum(kept[i] for i in range(400 + kind, 460, 3)) <= 2
+
+
 def test_bm25_scores_and_windows():
     docs = [np.array(x, np.uint32) for x in ([5, 5, 6], [5, 9], [7, 7, 7, 7], [6, 9])]
     idf = {5: 0.7, 6: 0.7, 7: 1.2, 9: 0.7}
