@@ -7,9 +7,10 @@ offending sentences (``sentence_scores``).
 
 A token's features are the lower-case word and its first 4, 5 and 6
 letters.  Document frequencies by label of all features are counted over all
-labelled training rows, the ``FEATURES`` most telling ones are kept, and the
-weights are fitted on a sample of at most about ``SAMPLE`` rows of each label
-(chosen by hash, weighted back to all rows).
+labelled training rows, and every telling one is kept.  The weights are fitted
+on a sample of at most about ``SAMPLE`` rows of each label (chosen by hash,
+weighted back to all rows); a feature that no sampled row has takes its weight
+from the counts over all rows.
 
 Defined cases: a null or empty text, or one without letters, is one empty
 sentence; repeated rows score alike; without labels of both kinds every score
@@ -30,11 +31,12 @@ from chanloom.llm.quality_kn import BROADCAST_IDS
 from chanloom.llm.strings import codepoints, mix, piece_hashes, word_spans
 
 PREFIXES = (4, 5, 6)
-FEATURES = 4_096
 SAMPLE = 6_000
 LEAST_POSITIVE = 4
-#: A feature must be this much (log ratio) likelier in label 1.
+#: A feature must be this much (log ratio) likelier in label 1, or have this
+#: G statistic (chance 1 %).
 TELLING = 0.7
+SIGNIFICANT = 6.63
 THRESHOLD = 0.3
 STOPS = ".!?\n"
 BATCH_CHARS = 1_000_000
@@ -192,8 +194,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = rows.join(F.broadcast(marks) if small else marks, F.col("key__") == F.col("id__"))
     counts = rows.select("text", "toxic").mapInArrow(_counted, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ratio = F.log((F.col("pos") + 0.5) / F.lit(n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit(n_neg + 1.0))
-    top = counts.where((F.col("pos") >= LEAST_POSITIVE) & (ratio >= TELLING)).withColumn("tell", F.col("pos") * ratio).orderBy(F.desc("tell"), "h").limit(FEATURES)
-    hashes = np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
+    of = lambda seen, n: F.when(seen > 0, seen * F.log(seen * (n_pos + n_neg) / ((F.col("pos") + F.col("neg")) * n))).otherwise(0.0)
+    missing = lambda seen, n: F.when(seen < n, (n - seen) * F.log((n - seen) * (n_pos + n_neg) / ((n_pos + n_neg - F.col("pos") - F.col("neg")) * n))).otherwise(0.0)
+    g = 2 * (of(F.col("pos"), n_pos) + of(F.col("neg"), n_neg) + missing(F.col("pos"), n_pos) + missing(F.col("neg"), n_neg))
+    telling = ((F.col("pos") >= LEAST_POSITIVE) & (ratio >= TELLING)) | ((ratio > 0) & (g >= SIGNIFICANT))
+    top = counts.withColumn("ratio", ratio).where(telling).select("h", "ratio").toArrow()
+    hashes = top.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, ratios = hashes[order], top.column("ratio").to_numpy()[order]
     if not len(hashes):
         return *nothing, float(share)
     chance = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / n_pos)).otherwise(min(1.0, SAMPLE / n_neg))
@@ -203,7 +211,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     bags = [np.frombuffer(x, np.int32) for x in sample.column("bag").to_pylist()]
     weight = np.where(label == 1, n_pos / max(1, (label == 1).sum()), n_neg / max(1, (label != 1).sum()))
     w, b = fit_noisy_or(bags, sample.column("empty").to_numpy().astype(float), label, weight, len(hashes))
-    return hashes, w, b
+    unseen = np.ones(len(hashes), bool)
+    for bag in bags:
+        unseen[bag[bag >= 0]] = False
+    # a word's own feature and its prefixes share its weight
+    return hashes, np.where(unseen, ratios / (1 + len(PREFIXES)), w), b
 
 
 def _sentence_logits(s: Sentences, hashes: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
@@ -227,8 +239,7 @@ def document_scores(texts: list[str], hashes: np.ndarray, w: np.ndarray, b: floa
 
 
 def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the noisy-or score of every document.  The model is at most
-    ``FEATURES`` hashes and weights."""
+    """doc_id and the noisy-or score of every document."""
     hashes, w, b = model
 
     def run(batches):

@@ -232,6 +232,18 @@ def test_equal_rests_are_cut_to_bounded_shards(spark, monkeypatch):
     assert sum(sizes.values()) == 300 and max(sizes.values()) < 60 and max(sizes) < shards
 
 
+def test_rare_offensive_words_are_features(spark):
+    rng = random.Random(3)
+    common = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(1_500)]
+    rare = ["zzqkv", "wwxqz", "yyvkq"]
+    rows = [(i, " ".join(rng.sample(common, 700 if i < 60 else 200)) + (f". {rare[i // 2 % 3]}" if i < 24 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(400)], "doc_id long, toxic int")
+    hashes, w, _ = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(hashes) > 4_096
+    for word in rare:
+        assert w[hashes == toxicity.Sentences([word]).features[0]] > 0
+
+
 def test_noisy_or_learns_from_document_labels():
     rng = np.random.default_rng(4)
     bags, label = [], []
