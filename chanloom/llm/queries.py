@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, revisits, toxicity, weighted_sampling
+from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, revisits, token_alignment, toxicity, weighted_sampling
 from chanloom.llm.common import documents, table
-from chanloom.llm.tokenizer_files import byte_bpe
+from chanloom.llm.tokenizer_files import byte_bpe, piece_bpe
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), byte_bpe())
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned_documents(documents(spark, sf_dir), byte_bpe(), piece_bpe())
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_weighted_sampling": op2_weighted_sampling,
@@ -61,6 +65,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
