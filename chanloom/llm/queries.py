@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, revisits, token_alignment, toxicity, weighted_sampling
+from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, revisits, token_alignment, toxicity, vertical_scan, weighted_sampling
 from chanloom.llm.common import documents, table
 from chanloom.llm.tokenizer_files import byte_bpe, piece_bpe
 
@@ -54,6 +54,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.aligned_documents(documents(spark, sf_dir), byte_bpe(), piece_bpe())
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vertical_scan.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_weighted_sampling": op2_weighted_sampling,
@@ -66,10 +70,12 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_token_alignment": op11_token_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
     "op4_revisits": revisits.ORACLE_SQL,
+    "op13_hard_negatives": vertical_scan.ORACLE_SQL,
     "op5_exact_dedup": """
         WITH d AS (
           SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
