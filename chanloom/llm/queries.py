@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanloom.llm import cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, revisits, token_alignment, toxicity, vertical_scan, weighted_sampling
+from chanloom.llm import (cuckoo, jaccard_join, mixing, packing, pii, prefix_tokens, quality_kn, quality_rules, revisits, token_alignment, toxicity,
+                          vertical_scan, weighted_sampling)
 from chanloom.llm.common import documents, table
 from chanloom.llm.tokenizer_files import byte_bpe, piece_bpe
 
@@ -54,6 +55,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.aligned_documents(documents(spark, sf_dir), byte_bpe(), piece_bpe())
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertical_scan.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_token_alignment": op11_token_alignment,
+    "op12_quality_rules": op12_quality_rules,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
