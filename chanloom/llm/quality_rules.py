@@ -1,13 +1,13 @@
 """Quality rules by weak supervision.
 
-Ten rules vote good (1) or bad (0) on every document, or abstain (-1).
+Eleven rules vote good (1) or bad (0) on every document, or abstain (-1).
 Expectation-maximisation over the vote patterns estimates how often each rule
 is right about good and about bad documents, and a document is kept by its
 posterior probability of being good instead of having to pass every rule.
 
 One pass over the texts (no shuffle) measures the documents and takes the
 votes; what is written is one narrow row a document.  The pattern counts are
-one row a pattern, at most 3^10 = 59,049 whatever the corpus, so the
+one row a pattern, at most 3^11 = 177,147 whatever the corpus, so the
 expectation-maximisation runs on the driver.  The posterior is a Column.
 
 Windows, lines and words are compared by 64-bit hashes inside one document.
@@ -30,6 +30,8 @@ from chanloom.llm.strings import codepoints, is_ws, mix, piece_hashes, word_span
 
 BATCH_CHARS = 500_000
 WINDOW = 8
+#: Words of a run in which different words are counted.
+RUN = 50
 SYMBOLS = "#*$%&|<>"
 #: Frequent small words of four languages, as fixed values.
 SMALL_WORDS = """the of and to in is that it was for on are as with his they
@@ -37,7 +39,7 @@ der die das und in den von zu mit sich des auf ist im dem nicht ein eine
 le la les de des et en un une du que est pour dans par sur
 el los las y en un una que del por con se para""".split()
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-RULES = ["v_size", "v_word_size", "v_symbols", "v_lines", "v_windows", "v_capitals", "v_stutter", "v_top_word", "v_letters", "v_marks"]
+RULES = ["v_size", "v_word_size", "v_symbols", "v_lines", "v_windows", "v_capitals", "v_stutter", "v_top_word", "v_variety", "v_letters", "v_marks"]
 ROUNDS = 50
 #: A rule is taken to be right more often than not.
 LEAST, MOST = 0.55, 0.9995
@@ -134,6 +136,10 @@ def measured(texts: list[str]) -> dict[str, np.ndarray]:
     key, first, times = np.unique(mix(words ^ own), return_index=True, return_counts=True)
     m["top_word"] = np.zeros(n_docs, np.int64)
     np.maximum.at(m["top_word"], doc[first], times)
+    first_word = np.searchsorted(doc, np.arange(n_docs))
+    runs = (np.arange(len(doc)) - first_word[doc]) // RUN
+    first = np.unique(mix(words ^ mix(own + runs.astype(np.uint64))), return_index=True)[1]
+    m["run_words"] = count(doc[first])  # different words of each run
     letters = offsets(_marked(r"[\p{L}\p{M}]", "letters")[codes])
     m["with_letter"] = count(doc[letters[ends] > letters[starts]])
     m["small_words"] = count(doc[np.isin(words, _small_words())])
@@ -156,6 +162,7 @@ def votes(m: dict[str, np.ndarray]) -> np.ndarray:
     size = m["word_chars"] / n
     symbols, lines, windows = m["n_symbols"] / n, m["n_dup_lines"] / np.maximum(m["n_lines"], 1), m["n_repeat_words"] / n
     capitals, stutter, top = m["upper"] / np.maximum(m["cased"], 1), m["stutters"] / n, m["top_word"] / n
+    variety = m["run_words"] / n
     letters, marks, small = m["with_letter"] / n, m["with_marks"] / n, m["small_words"] / n
     return np.stack([
         rule((m["n_words"] >= 50) & (small >= 0.01), m["n_words"] < 20, some),
@@ -166,6 +173,7 @@ def votes(m: dict[str, np.ndarray]) -> np.ndarray:
         rule(capitals <= 0.2, capitals > 0.5, m["cased"] >= 20),
         rule(stutter <= 0.02, stutter > 0.2, m["n_words"] >= 5),
         rule(top <= 0.15, top > 0.3, m["n_words"] >= 20),
+        rule(variety >= 0.5, variety < 0.3, m["n_words"] >= 20),
         rule(letters >= 0.8, letters < 0.6, some),
         rule(marks <= 0.1, marks > 0.3, some),
     ], axis=1)
@@ -229,7 +237,7 @@ def voted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 def trained(rows: DataFrame) -> tuple[float, np.ndarray]:
     """Reliabilities from the vote patterns of all documents."""
-    found = rows.groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")).orderBy(*RULES).collect()  # at most 3^10 rows
+    found = rows.groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")).orderBy(*RULES).collect()  # at most 3^11 rows
     table = np.array([[r[c] for c in [*RULES, "n"]] for r in found], np.int64).reshape(len(found), len(RULES) + 1)
     return reliabilities(table[:, :-1], table[:, -1].astype(np.float64))
 

@@ -30,7 +30,7 @@ def base(text):
 
 
 def cast(text):
-    """The ten votes of one text."""
+    """The votes of one text."""
     w, b = words(text), base(text)
     n = max(1, len(w))
     lines = [x for x in text.split("\n") if words(x)]
@@ -41,11 +41,13 @@ def cast(text):
     capitals, stutter = upper / max(1, cased), share(x == y for x, y in zip(w, w[1:]))
     top = max(collections.Counter(w).values(), default=0) / n
     letters, marks = share(bool(regex.search(r"[\p{L}\p{M}]", x)) for x in w), share(bool(regex.search(r"[\p{P}\p{S}]{2}", x)) for x in w)
+    variety = sum(len(set(w[i: i + 50])) for i in range(0, len(w), 50)) / n
     small = share(x in rules.SMALL_WORDS for x in w)
     some = bool(w)
     return [vote(len(w) >= 50 and small >= 0.01, len(w) < 20, some), vote(3 <= size <= 10, size < 2 or size > 20, some), vote(symbols <= 0.02, symbols > 0.1, some),
             vote(dup <= 0.1, dup > 0.3, len(lines) >= 4), vote(window <= 0.1, window > 0.3, len(w) >= 16), vote(capitals <= 0.2, capitals > 0.5, cased >= 20),
-            vote(stutter <= 0.02, stutter > 0.2, len(w) >= 5), vote(top <= 0.15, top > 0.3, len(w) >= 20), vote(letters >= 0.8, letters < 0.6, some),
+            vote(stutter <= 0.02, stutter > 0.2, len(w) >= 5), vote(top <= 0.15, top > 0.3, len(w) >= 20),
+            vote(variety >= 0.5, variety < 0.3, len(w) >= 20), vote(letters >= 0.8, letters < 0.6, some),
             vote(marks <= 0.1, marks > 0.3, some)]
 
 
@@ -55,7 +57,7 @@ def learn(votes):
     for _ in range(rules.ROUNDS):
         prior = (sum(belief) + 1) / (len(votes) + 2)
         right = []
-        for k in range(10):
+        for k in range(len(rules.RULES)):
             good = sum(p for p, v in zip(belief, votes) if v[k] >= 0)
             bad = sum(1 - p for p, v in zip(belief, votes) if v[k] >= 0)
             yes = sum(p for p, v in zip(belief, votes) if v[k] == 1)
@@ -126,10 +128,10 @@ def test_verdict_against_labels(spark):
 def test_reliabilities_of_known_rules(wrong):
     """Votes drawn from known accuracies: the estimates come near them."""
     rng = np.random.default_rng(5)
-    right = np.array([(0.97, 0.6)] * 10)
+    right = np.array([(0.97, 0.6)] * len(rules.RULES))
     right[wrong] = (0.7, 0.4)
     good = rng.random(20_000) < 0.85
-    votes = np.where(good[:, None], rng.random((20_000, 10)) < right[:, 0], rng.random((20_000, 10)) >= right[:, 1]).astype(int)
+    votes = np.where(good[:, None], rng.random((20_000, len(right))) < right[:, 0], rng.random((20_000, len(right))) >= right[:, 1]).astype(int)
     votes[rng.random(votes.shape) < 0.1] = -1
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
     prior, found = rules.reliabilities(patterns, counts.astype(float))
