@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PLAYLIST_TITLE, STRICT_PLAYLIST_TITLE, Profile, load_profile
+from ..config import PLAYLIST_TITLE, STRICT_PLAYLIST_TITLE, Profile
 from ..operators import parse as P
 from ..operators import probe as PR
 from ..operators import reports as RP
@@ -70,7 +70,7 @@ def run_build(spark: SparkSession, landing_dir: str, sources_path: str, profile_
               profile: Profile | None = None, fetch_log_path: str | None = None) -> BuildResult:
     apply_required_conf(spark)
     ensure_checkpoint_dir(spark)
-    profile = profile or (load_profile(profile_path) if profile_path else Profile())
+    profile = profile or (RD.read_profile(spark, profile_path) if profile_path else Profile())
     sources = RD.read_sources(spark, sources_path)
     lines = RD.playlist_lines(spark, landing_dir, sources)
     by_name = by_url = None

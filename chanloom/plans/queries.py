@@ -24,11 +24,13 @@ from ..operators import parse as P
 from ..operators import probe as PR
 from ..operators import render as R
 from ..operators import reports as RP
+from ..operators import rule_tables as RT
 from ..operators import search as SR
 from ..operators import score as S
 from ..operators import tiers as T
 from ..session import materialize
 from ..sources import fixtures as FX
+from ..sources import readers as RD
 from . import build as B
 
 PROFILE = FX.FIXTURE_PROFILE
@@ -123,11 +125,41 @@ def q_override_by_url(spark, d):
                      _join("categories").alias("categories"))
 
 
+def q_override_documents(spark, d):
+    by_name, by_url = C.override_tables(FX.override_documents(spark, d), keep=("p_partkey",))
+    rows = by_name.withColumn("section", F.lit("by_name")).unionByName(by_url.withColumnRenamed("url", "key").withColumn("section", F.lit("by_url")))
+    return rows.select("p_partkey", "section", "position", "key", "country", _join("categories").alias("categories"), "name", "is_object")
+
+
+def q_source_registry(spark, d):
+    rows = RD.registry_rows(FX.registry_documents(spark, d), keep=("s_suppkey",))
+    return rows.select("s_suppkey", "name", "url", "enabled", "weight", _join("tags").alias("tags"))
+
+
 def q_content_filter(spark, d):
     df = C.content_filter(_classified(spark, d), PROFILE.unwanted_keywords)
     return df.select("entry_id", "source_name", "url", "name", "group_title")
 
 
+def _normalized(spark: SparkSession, d: str) -> DataFrame:
+    return C.with_normalized(FX.entries(spark, d))
+
+
+def q_classify_country_table(spark, d):
+    df = RT.country_by_tables(_normalized(spark, d), FX.rule_tables(spark, d)["countries"])
+    return df.select("entry_id", "source_name", "url", "country")
+
+
+def q_classify_categories_table(spark, d):
+    df = RT.categories_by_tables(_normalized(spark, d), FX.rule_tables(spark, d)["categories"])
+    return df.select("entry_id", "source_name", "url", _join("categories").alias("categories"))
+
+
+def q_content_filter_table(spark, d):
+    df = RT.content_filter_by_table(_normalized(spark, d), FX.rule_tables(spark, d)["unwanted"])
+    return df.select("entry_id", "source_name", "url", "name", "group_title")
+
+
 def q_identity_keys(spark, d):
     df = _classified(spark, d)
     return df.select(
@@ -453,7 +485,12 @@ QUERIES: dict[str, Query] = {
     "classify_categories": q_classify_categories,
     "override_by_name": q_override_by_name,
     "override_by_url": q_override_by_url,
+    "override_documents": q_override_documents,
+    "source_registry": q_source_registry,
     "content_filter": q_content_filter,
+    "classify_country_table": q_classify_country_table,
+    "classify_categories_table": q_classify_categories_table,
+    "content_filter_table": q_content_filter_table,
     "identity_keys": q_identity_keys,
     "title_case": q_title_case,
     "group_title": q_group_title,

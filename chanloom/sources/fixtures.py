@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import Profile
+from ..operators.rule_tables import keyword_table, rule_table
 from .tables import read_table  # noqa: F401  (re-exported)
 
 # Rule set of the fixtures (FIXTURES.md section 4), in priority order.
@@ -237,3 +238,73 @@ def overrides_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("promo")).alias("categories"),
         F.lit("").alias("name"),
     )
+
+
+def _quoted(text: Column) -> Column:
+    """A JSON string."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def override_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-G: one overrides document (JSON text) per part, with a value that is
+    no object (p_size % 3 = 0) and a repeated key (p_size % 5 = 0)."""
+    pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    size = F.col("p_size")
+    fields = F.concat(F.lit('{"country":'), F.when(size % 2 == 0, F.lit('"tr"')).otherwise(F.lit("null")), F.lit(',"categories":['),
+                      F.when(size % 4 == 0, F.concat(F.lit('"zeta",'), _s(size))).otherwise(F.lit("")), F.lit("]}"))
+    kind = F.when(size % 3 == 0, _s(size)).otherwise(F.lit('{"country": "ru", "name": ""}'))
+    again = F.when(size % 5 == 0, F.concat(F.lit(", "), _quoted(F.col("p_name")), F.lit(': {"name": '), _quoted(F.col("p_brand")), F.lit("}"))).otherwise(F.lit(""))
+    by_url = F.concat(F.lit('"http://u/'), _s(F.col("p_partkey")), F.lit('": {"categories": ["promo"], "extra": {"a": [1, 2]}}'))
+    value = F.concat(F.lit('{"version": 1, "by_name": {'), _quoted(F.col("p_name")), F.lit(": "), fields, F.lit(", "), _quoted(F.col("p_type")), F.lit(": "),
+                     kind, again, F.lit('}, "by_url": {'), by_url, F.lit("}}"))
+    return pa.select("p_partkey", value.alias("value"))
+
+
+def registry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-H: one source registry document (JSON text) per supplier: the source
+    itself, one without a name, and a mirror with defaults."""
+    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    key = _s(F.col("s_suppkey"))
+    own = F.concat(F.lit('{"name": '), _quoted(F.col("s_name")), F.lit(', "url": "https://lists.example.org/'), key, F.lit('.m3u", "enabled": '),
+                   F.when(F.col("s_suppkey") % 7 != 3, F.lit("true")).otherwise(F.lit("false")), F.lit(', "weight": '), _s(F.lit(50) + F.col("s_suppkey") % 51),
+                   F.lit(', "tags": ["NATION_'), _s(F.col("s_nationkey")), F.lit('", "all"]}'))
+    mirror = F.concat(F.lit('{"name": "mirror-'), key, F.lit('", "url": "'), F.when(F.col("s_suppkey") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("http://m/"), key)), F.lit('"}'))
+    value = F.concat(F.lit('{"sources": ['), own, F.lit(', {"name": "", "url": "http://none"}, '), mirror, F.lit("]}"))
+    return su.select("s_suppkey", value.alias("value"))
+
+
+def rule_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """F-I: rule tables (kind, position, value, rule_id) from every part,
+    before the few rules of the fixture profile."""
+    pa = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    key, size = F.col("p_partkey"), F.col("p_size")
+
+    def rules(items: list[tuple[str, int, Column, Column, Column]]) -> DataFrame:
+        rows = [F.when(applies, F.struct(F.lit(kind).alias("kind"), (key * 8 + place).cast("long").alias("position"), value.alias("value"), rule_id.alias("rule_id")))
+                for kind, place, value, rule_id, applies in items]
+        return pa.select(F.explode(F.array_compact(F.array(*rows))).alias("x")).select("x.*")
+
+    def after(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("position", F.col("position") + 10**12)
+
+    always = F.lit(True)
+    title = F.concat(F.upper("p_name"), F.lit("-"), _s(size))
+    country = F.concat(F.lit("c"), _s(key % 97))
+    countries = rules([
+        ("keyword", 0, title, country, size % 4 != 0),
+        ("keyword", 1, F.concat(F.lit("P"), _s(key), F.lit(".ZZ")), F.concat(F.lit("z"), _s(key % 7)), always),
+        ("keyword", 2, F.concat(F.col("p_brand"), F.lit(" p"), _s(key)), F.concat(F.lit("b"), _s(key % 11)), always),
+        ("keyword", 3, F.concat(_s(size), F.lit(" "), F.col("p_type")), F.concat(F.lit("t"), _s(key % 5)), size % 7 == 0),
+        ("keyword", 4, _s(size), F.lit("short"), size == 49),
+        ("suffix", 5, F.concat(F.lit("P"), _s(key), F.lit(".zz")), F.concat(F.lit("s"), _s(key % 3)), size % 10 == 0),
+    ])
+    categories = rules([
+        ("keyword", 0, title, F.concat(F.lit("k"), _s(key % 13)), size % 3 != 0),
+        ("keyword", 1, F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand")), F.concat(F.lit("m"), _s(key % 9)), key % 5 == 0),
+        ("tag", 2, F.concat(F.lit("nation_"), _s(key % 25)), F.concat(F.lit("n"), _s(key % 4)), size == 1),
+    ])
+    unwanted = rules([("keyword", 0, F.concat(F.col("p_name"), F.lit(" "), _s(size)), F.lit(""), size % 6 == 0)])
+    return {"countries": countries.unionByName(after(rule_table(spark, FIXTURE_COUNTRIES, "other"))),
+            "categories": categories.unionByName(after(rule_table(spark, FIXTURE_CATEGORIES, "general"))),
+            "unwanted": unwanted.unionByName(after(keyword_table(spark, FIXTURE_UNWANTED)))}

@@ -11,34 +11,60 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import load_overrides
-from ..operators.classify import overrides_frame
+from ..config import Profile, profile_of
+from ..operators.classify import override_tables
 from ..functions.text import py_strip, split_lines
 
-SOURCES_SCHEMA = ("sources array<struct<name:string,url:string,enabled:boolean,weight:int,"
+SOURCES_SCHEMA = ("sources array<struct<name:string,url:string,enabled:string,weight:string,"
                   "tags:array<string>>>")
 
 
-def read_sources(spark: SparkSession, path: str) -> DataFrame:
-    """Registry rows with a name and a URL; defaults enabled=true, weight=50,
-    tags=[]."""
-    doc = spark.read.schema(SOURCES_SCHEMA).option("multiLine", True).json(path)
-    s = doc.select(F.explode(F.coalesce(F.col("sources"), F.array())).alias("s")).select("s.*")
+def document(spark: SparkSession, path: str) -> DataFrame:
+    """A configuration document as one row ``value``, from any file system
+    that Spark reads."""
+    return spark.read.text(path, wholetext=True)
+
+
+def registry_rows(documents: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Sources with a name and a URL of registry documents (JSON texts);
+    defaults enabled=true, weight=50, tags=[]."""
+    listed = F.from_json(value, SOURCES_SCHEMA, {"mode": "FAILFAST"})["sources"]
+    s = documents.select(*keep, F.explode(F.coalesce(listed, F.array())).alias("s")).select(*keep, "s.*")
     return s.where((F.coalesce(F.col("name"), F.lit("")) != "") & (F.coalesce(F.col("url"), F.lit("")) != "")) \
-        .select("name", "url",
-                F.coalesce(F.col("enabled"), F.lit(True)).alias("enabled"),
-                F.coalesce(F.col("weight"), F.lit(50)).cast("int").alias("weight"),
+        .select(*keep, "name", "url",
+                (~F.coalesce(F.col("enabled"), F.lit("true")).isin("false", "0", "")).alias("enabled"),
+                F.coalesce(F.col("weight").cast("double"), F.lit(50)).cast("int").alias("weight"),
                 F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"))
 
 
+def read_sources(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a registry document."""
+    return registry_rows(document(spark, path))
+
+
+def read_profile(spark: SparkSession, path: str) -> Profile:
+    """A profile document.  Its rules are compiled on the driver, so this one
+    document comes there; rule tables of any size are DataFrames
+    (``operators.rule_tables``)."""
+    return profile_of(json.loads(document(spark, path).first()["value"]))
+
+
 def read_overrides(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(by_name, by_url) tables; a missing file gives empty tables."""
-    return overrides_frame(spark, load_overrides(path))
+    try:
+        found = document(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([("{}",)], "value string")
+    return override_tables(found)
 
 
 def source_of(path: Column) -> Column:

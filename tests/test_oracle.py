@@ -2,6 +2,7 @@
 
 import os
 import re
+import threading
 from pathlib import Path
 
 import duckdb
@@ -42,6 +43,20 @@ def test_query_matches_oracle(spark, con, key):
     assert sh == dh
 
 
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_oracle_ends_under_a_limit(key):
+    """A plan for one row must not lose the statement's join order."""
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"create view {t} as select * from read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    stop = threading.Timer(30, c.interrupt)
+    stop.start()
+    try:
+        c.execute(f"select * from ({ORACLE[key]}) limit 1").fetchall()
+    finally:
+        stop.cancel()
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 167

@@ -1,5 +1,6 @@
 """Classification rules, overrides, content filter, scores, dedupe, render."""
 
+import json
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -49,12 +50,16 @@ def test_categories(spark):
     assert got == {1: ["sport"], 2: ["cinema", "kids"], 3: ["general"], 4: ["cinema"]}
 
 
+def _overrides(spark, document):
+    return C.override_tables(spark.createDataFrame([(json.dumps(document),)], "value string"))
+
+
 def test_overrides_and_filter(spark):
     prof = Profile()
     rows = [_row("AzTV", eid=1), _row("cbc sport", eid=2), _row("Other", url="http://o/1", eid=3),
             _row("Hot 18+ xxx", eid=4), _row("Adult 18+", eid=5)]
     df = C.classify(_entries(spark, rows), prof)
-    bn, bu = C.overrides_frame(spark, {
+    bn, bu = _overrides(spark, {
         "by_name": {"AzTV": {"country": "tr", "categories": ["zeta", "news"], "name": "Az TV New"},
                     "CBC Sport": {"country": "", "categories": []},
                     "Other": "not-an-object"},

@@ -5,10 +5,11 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from chanloom.config import Profile, load_profile
+from chanloom.config import Profile
 from chanloom.operators import classify as C
 from chanloom.operators import health as H
 from chanloom.plans import build as B
+from chanloom.sources.readers import read_profile
 
 ENTRY = ("source_name string, entry_id long, name string, url string, group_title string, "
          "attrs map<string,string>, source_weight int, source_tags array<string>")
@@ -58,13 +59,13 @@ def test_health_check_disabled(spark):
     assert float(ck.score_dec) == 65.0
 
 
-def test_load_profile_document():
+def test_load_profile_document(spark):
     doc = {"healthcheck": {"retries": 3, "max_fallbacks": 2}, "tiers": {"strict_min_level": 3},
            "channel_selection": {"keep_per_channel": 2, "max_fallback_urls": 5, "prefer_https": False},
            "groups": {"countries": [{"id": "x", "title": "X"}], "categories": []}}
     with tempfile.NamedTemporaryFile("w", suffix=".json", delete=False, dir="/tmp") as f:
         json.dump(doc, f)
-    p = load_profile(f.name)
+    p = read_profile(spark, f.name)
     assert (p.retries, p.max_fallbacks, p.strict_min_level, p.relaxed_min_level) == (3, 2, 3, 1)
     assert (p.keep, p.max_fallback_urls, p.prefer_https) == (2, 5, False)
     assert p.country_titles() == {"x": "X"}
