@@ -11,19 +11,26 @@ with probability sum min(S, T) / sum max(S, T), their generalised Jaccard
 similarity.  Since a is a function of (word, t, k), the least a itself stands
 for the sample.
 
-Everything is DataFrame code.  Texts are shuffled once, by document; words,
-their counts and the samples are made behind that shuffle, without another
-one.  The next document is found on ids alone (a range sort of narrow rows).
+Everything is DataFrame code.  Distinct texts are shuffled once, by document,
+into parts of about ``PART_CHARS`` code points; words, their counts and the
+samples are made behind that shuffle, without another one.  The next document
+is found on ids alone (a range sort of narrow rows), and only the first
+quarter of its text goes to the document before it.  A likeness of ``SAMPLES``
+samples has a standard error of 0.09 at 0.5 and of 0.07 at 0.8.
 
 Defined cases: null is the empty text, whose samples are all 0 (two empty
 texts are alike, an empty and another one are not); rows that repeat doc_id
-and text are one document in the order and get the same results; documents
-with one doc_id and different texts follow by the text's hash; a null doc_id
-comes after all others.
+and text are one document in the order and get the same results (they are
+compared once); documents with one doc_id and different texts follow by the
+text's hash; a null doc_id comes after all others; whole texts are sampled,
+however long; an empty table gives no rows; other columns of the input play
+no part, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +41,8 @@ SAMPLES = 32
 #: expressions stay small enough to be compiled.
 GROUP = 8
 KEY = ["k_none", "k_id", "k_text"]
+#: Code points of documents that a task gets.
+PART_CHARS = 8_000_000
 
 
 def _uniform(bits: Column, shift: int, width: int) -> Column:
@@ -119,20 +128,23 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     rows = docs.select(*_key(F.col(key), whole), whole.alias("text"))
     ids = rows.select(*KEY, F.length("text").alias("n_chars")).groupBy(*KEY).agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("times"))
     pairs = materialize(next_documents(ids), "pairs")
+    chars = pairs.agg(F.sum("n_chars")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / PART_CHARS))
+    # one row of each key; the joins below keep this partitioning and order
+    place = F.count(F.lit(1)).over(Window.partitionBy(*KEY).orderBy(*KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    texts = rows.repartition(parts, *KEY).withColumn("place__", place).where("place__ = 1").drop("place__")
     on_next = [pairs[f"n_{k}"] == F.col(f"d.{k}") for k in KEY]
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    tails = pairs.join(rows.alias("d"), on_next).select(*[pairs[k] for k in KEY], (F.col("times") * F.col("n_times")).alias("meets"), "n_chars", F.left(F.col("d.text"), quarter).alias("tail"))
-    both = rows.join(tails, KEY)
+    tails = pairs.repartition(parts, *[f"n_{k}" for k in KEY]).join(texts.alias("d"), on_next)
+    tails = tails.select(*[pairs[k] for k in KEY], "n_chars", F.left(F.col("d.text"), quarter).alias("tail")).repartition(parts, *KEY)
     edited = F.concat(F.left("text", (F.col("n_chars") - quarter).cast("int")), F.col("tail"))
-    both = both.select(*KEY, "meets", "n_chars", "text", edited.alias("edited"))
-    split = both.select(*KEY, "meets", _words(F.col("text")).alias("a"), _words(F.col("edited")).alias("b"))
-    split = split.select(*KEY, "meets", F.size("a").alias("n"), F.posexplode(F.concat("a", "b")).alias("pos", "w"))
-    # a row that repeats meets each repeat of the next one
-    words = split.where("w != ''").groupBy(*KEY, "meets", F.xxhash64("w").alias("word")).agg(
+    both = texts.join(tails, KEY).select(*KEY, "n_chars", "text", edited.alias("edited"))
+    split = both.select(*KEY, _words(F.col("text")).alias("a"), _words(F.col("edited")).alias("b"))
+    split = split.select(*KEY, F.size("a").alias("n"), F.posexplode(F.concat("a", "b")).alias("pos", "w"))
+    words = split.where("w != ''").groupBy(*KEY, F.xxhash64("w").alias("word")).agg(
         F.sum((F.col("pos") < F.col("n")).cast("long")).alias("own"), F.sum((F.col("pos") >= F.col("n")).cast("long")).alias("changed"))
-    words = words.select(*KEY, "word", *[(F.col(w) / F.col("meets")).alias(w) for w in ("own", "changed")])
     signatures = fingerprints(words, KEY, ["own", "changed"], samples)
-    info = both.groupBy(*KEY).agg(F.max("n_chars").alias("n_chars"), F.max(F.sha2("edited", 256)).alias("edited_sha256"))
+    info = both.select(*KEY, "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
     none = F.array_repeat(F.lit(0).cast("long"), samples)
     found = info.join(signatures, KEY, "left").select(*KEY, "n_chars", "edited_sha256", F.coalesce("own", none).alias("own"), F.coalesce("changed", none).alias("changed"))
     found = materialize(found, "fingerprints")

@@ -187,3 +187,12 @@ def test_revisits(spark):
     assert next(r.headers for r in out if r.record_id == "v1") == 'content-type: t\ndate: d9\netag: W/"1"'
     assert revisits.resolve_revisits(records.limit(0)).collect() == []
     assert revisits.page_records(spark.createDataFrame([(1, None, None)], "page_id long, url string, html string")).count() == 2
+
+
+def test_sampling_of_repeated_neighbours_is_linear(spark):
+    """Two neighbours that repeat 1,500 times each are compared once."""
+    rows = [(k % 2, f"{'left' if k % 2 else 'right'} " + "word other " * 60) for k in range(3_000)]
+    out = weighted_sampling.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 3_000 and out.distinct().count() == 2
+    assert "NestedLoop" not in plan
