@@ -4,10 +4,12 @@ A probe follows up to three hops - the entry URL, the first media URI of a
 playlist (child), the first media URI of the child (segment) - and grades
 the result 0..3.  Every sample ``(url, attempt, status, content_type, body,
 error, elapsed_ms)`` is first reduced to narrow facts (flags and the first
-media line): no body is ever shuffled.  Hops are left joins of the facts on
-(resolved URL, attempt); a row without a next hop gets a key of its own that
-matches nothing, so such rows spread evenly instead of meeting under NULL,
-and AQE splits child URLs that many entries share.
+media line), which are written: bodies are read once and never shuffled.
+Hops are left joins of the facts on (resolved URL, attempt); a row without a
+next hop gets a key of its own that matches nothing, so such rows spread
+evenly instead of meeting under NULL.  A child that many entries share is
+salted (``skew``): its rows are dealt over several tasks and its one fact is
+replicated, whatever the adaptive planner's settings are.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from ..config import DENY_MARKERS
 from ..functions.payload import body_text, denied_payload, first_media_uri, is_playlist
 from ..functions.urls import is_http_url, url_resolve
+from ..session import materialize
+from .skew import TASK_ROWS, salted_left_join
 
 # Outcome of one probe: (stage, level, status source, error), first match wins.
 # Levels and error labels are fixed values.
@@ -55,12 +59,12 @@ def sample_facts(samples: DataFrame, deny_markers: Sequence[str] = DENY_MARKERS,
         first_media_uri(body_text(body)).alias("first")).alias("fact"))
 
 
-def _next(rows: DataFrame, facts: DataFrame, target: Column, name: str) -> DataFrame:
+def _next(rows: DataFrame, facts: DataFrame, target: Column, name: str, task_rows: int) -> DataFrame:
     """Left join of the facts of ``target`` (null: no next hop) as ``name``."""
     nowhere = F.concat(F.lit("\x00"), F.xxhash64("url", "attempt").cast("string"))
-    hop = facts.select(F.col("url").alias("_to"), F.col("attempt").alias("_at"), F.col("fact").alias(name))
+    hop = facts.select(F.col("url").alias("_key"), "attempt", F.col("fact").alias(name))
     keyed = rows.withColumn("_key", F.coalesce(target, nowhere))
-    return keyed.join(hop, (F.col("_key") == F.col("_to")) & (F.col("attempt") == F.col("_at")), "left").drop("_key", "_to", "_at")
+    return salted_left_join(keyed, hop, ["_key", "attempt"], [F.col("url")], task_rows).drop("_key")
 
 
 def _failed(fact: str) -> Column:
@@ -78,13 +82,14 @@ def _first_true(conditions: dict[str, Column]) -> Column:
 
 
 def probe_levels(samples: DataFrame, targets: DataFrame | None = None,
-                 deny_markers: Sequence[str] = DENY_MARKERS, head_bytes: int | None = None) -> DataFrame:
+                 deny_markers: Sequence[str] = DENY_MARKERS, head_bytes: int | None = None,
+                 task_rows: int = TASK_ROWS) -> DataFrame:
     """One graded result per (target URL, attempt).
 
     Output: ``url, attempt, check_level, status_code, latency_ms, error``
     (``latency_ms`` = elapsed time of the hops actually taken).
     """
-    facts = sample_facts(samples, deny_markers, head_bytes)
+    facts = materialize(sample_facts(samples, deny_markers, head_bytes))
     e = facts.withColumnRenamed("fact", "e")
     if targets is not None:
         e = e.join(targets.select("url").distinct(), "url", "left_semi")
@@ -97,7 +102,7 @@ def probe_levels(samples: DataFrame, targets: DataFrame | None = None,
         "entry_empty": F.col("e.first") == "",
         "child_unsupported": ~is_http_url(F.col("child_url")),
     }))
-    c = _next(e, facts, F.when(F.col("stage").isNull(), F.col("child_url")), "c")
+    c = _next(e, facts, F.when(F.col("stage").isNull(), F.col("child_url")), "c", task_rows)
     c = c.withColumn("seg_url", F.when(F.col("stage").isNull(), url_resolve(F.col("child_url"), F.col("c.first"))))
     c = c.withColumn("stage", F.coalesce("stage", _first_true({
         "child_failed": _failed("c"),
@@ -106,7 +111,8 @@ def probe_levels(samples: DataFrame, targets: DataFrame | None = None,
         "child_empty": F.col("c.first") == "",
         "segment_unsupported": ~is_http_url(F.col("seg_url")),
     })))
-    j = _next(c, facts, F.when(F.col("stage").isNull(), F.col("seg_url")), "s")
+    c = materialize(c)  # its keys are counted before they are joined
+    j = _next(c, facts, F.when(F.col("stage").isNull(), F.col("seg_url")), "s", task_rows)
     j = j.withColumn("stage", F.coalesce("stage", _first_true({
         "segment_failed": _failed("s"),
         "segment_denied": F.col("s.denied_by_tag"),

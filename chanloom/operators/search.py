@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def haystack() -> Column:
+    """What a text is searched in."""
+    return F.lower(F.concat_ws(" ", F.coalesce(F.col("name"), F.lit("")),
+                               F.coalesce(F.col("group_title"), F.lit("")),
+                               F.coalesce(F.col("source_name"), F.lit(""))))
+
+
 def search_predicate(text: str | None = None, country: str | None = None,
                      category: str | None = None, tier: str | None = None) -> Column:
     cond = F.lit(True)
     q = (text or "").strip().lower()
     if q:
-        hay = F.lower(F.concat_ws(" ", F.coalesce(F.col("name"), F.lit("")),
-                                  F.coalesce(F.col("group_title"), F.lit("")),
-                                  F.coalesce(F.col("source_name"), F.lit(""))))
-        cond = cond & hay.contains(q)
+        cond = cond & haystack().contains(q)
     if country:
         cond = cond & (F.col("country") == country)
     if category:

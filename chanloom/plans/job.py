@@ -21,8 +21,10 @@ from ..operators import probe as PR
 from ..operators import reports as RP
 from ..operators import tiers as T
 from ..session import apply_required_conf, ensure_checkpoint_dir, materialize
+from ..sources import manifest as MF
 from ..sources import readers as RD
 from . import build as B
+from . import publish as PB
 from . import sinks as K
 
 
@@ -67,22 +69,28 @@ def build_catalogue(spark: SparkSession, lines: DataFrame, sources: DataFrame, s
 
 def run_build(spark: SparkSession, landing_dir: str, sources_path: str, profile_path: str | None,
               overrides_path: str | None, samples_path: str | None, output_dir: str,
-              profile: Profile | None = None, fetch_log_path: str | None = None) -> BuildResult:
+              profile: Profile | None = None, fetch_log_path: str | None = None, manifest_dir: str | None = None) -> BuildResult:
+    """``manifest_dir``: where the log of landed files is kept from build to
+    build; without one the landing folder is listed whole."""
     apply_required_conf(spark)
     ensure_checkpoint_dir(spark)
     profile = profile or (RD.read_profile(spark, profile_path) if profile_path else Profile())
     sources = RD.read_sources(spark, sources_path)
-    lines = RD.playlist_lines(spark, landing_dir, sources)
+    files = MF.refresh(spark, manifest_dir, landing_dir) if manifest_dir else None
+    lines = RD.playlist_lines(spark, landing_dir, sources, files=files)
     by_name = by_url = None
     if overrides_path:
         by_name, by_url = RD.read_overrides(spark, overrides_path)
     samples = RD.read_samples(spark, samples_path) if samples_path else None
-    fetch_log = RD.fetch_results(spark, landing_dir, fetch_log_path)
+    fetch_log = RD.fetch_results(spark, landing_dir, fetch_log_path, files=files)
     res = build_catalogue(spark, lines, sources, samples, profile, by_name, by_url, fetch_log=fetch_log)
-    K.write_playlists(res.relaxed, output_dir, profile, PLAYLIST_TITLE)
-    K.write_catalogue(res.relaxed, output_dir)
-    K.write_playlists(res.strict, f"{output_dir}/strict", profile, STRICT_PLAYLIST_TITLE)
-    K.write_catalogue(res.strict, f"{output_dir}/strict")
-    K.write_reports(output_dir, res.checked, {"relaxed": res.relaxed, "strict": res.strict, "dead": res.dead},
+    # a version of its own: what is live stays whole until all is written
+    folder = PB.begin(spark, output_dir)
+    K.write_playlists(res.relaxed, folder, profile, PLAYLIST_TITLE)
+    K.write_catalogue(res.relaxed, folder)
+    K.write_playlists(res.strict, f"{folder}/strict", profile, STRICT_PLAYLIST_TITLE)
+    K.write_catalogue(res.strict, f"{folder}/strict")
+    K.write_reports(folder, res.checked, {"relaxed": res.relaxed, "strict": res.strict, "dead": res.dead},
                     profile, res.stats, res.source_report)
+    PB.commit(spark, folder)
     return res

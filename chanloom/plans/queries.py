@@ -8,12 +8,13 @@ comma-joined text so both engines hash them the same way.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Profile
+from ..config import PLAYLIST_TITLE, Profile
 from ..operators import classify as C
 from ..operators import dedupe as D
 from ..operators import health as H
@@ -26,12 +27,16 @@ from ..operators import render as R
 from ..operators import reports as RP
 from ..operators import rule_tables as RT
 from ..operators import search as SR
+from ..operators import search_index as SI
 from ..operators import score as S
 from ..operators import tiers as T
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import fixtures as FX
+from ..sources import published as PS
 from ..sources import readers as RD
 from . import build as B
+from . import publish as PB
+from . import sinks as K
 
 PROFILE = FX.FIXTURE_PROFILE
 # One attempt per URL and one fallback tried: leaves a non-empty dead tier.
@@ -467,6 +472,28 @@ def q_catalogue_search_stats(spark, d):
     return SR.search_stats(_channels(spark, d), **SEARCH)
 
 
+def _folder(spark, name: str) -> str:
+    """A fresh folder beside the session's checkpoints."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/chanloom/{name}-{uuid.uuid4().hex}"
+
+
+def q_published_playlists(spark, d):
+    """The relaxed tier's playlists, published as a version and read back."""
+    out = _folder(spark, "playlists")
+    folder = PB.begin(spark, out)
+    K.write_playlists(T.with_rank(_relaxed_titled(spark, d)), folder, PROFILE, PLAYLIST_TITLE)
+    PB.commit(spark, folder)
+    return PS.read_playlists(spark, PB.current(spark, out))
+
+
+def q_catalogue_search_indexed(spark, d):
+    out = _folder(spark, "catalogue")
+    folder = PB.begin(spark, out)
+    K.write_catalogue(T.with_rank(_relaxed_titled(spark, d)), folder)
+    PB.commit(spark, folder)
+    return _flat(SI.catalogue_search(spark, PB.current(spark, out), **SEARCH).select(*T.PUBLISHED_COLUMNS))
+
+
 def q_facet_countries(spark, d):
     return SR.facet_countries(_channels(spark, d))
 
@@ -538,6 +565,8 @@ QUERIES: dict[str, Query] = {
     "build_stats": q_build_stats,
     "catalogue_search": q_catalogue_search,
     "catalogue_search_stats": q_catalogue_search_stats,
+    "published_playlists": q_published_playlists,
+    "catalogue_search_indexed": q_catalogue_search_indexed,
     "facet_countries": q_facet_countries,
     "facet_categories": q_facet_categories,
 }

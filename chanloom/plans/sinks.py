@@ -19,6 +19,7 @@ from ..functions.text import title_case
 from ..operators import dedupe as D
 from ..operators import render as R
 from ..operators import reports as RP
+from ..operators import search_index as SI
 from ..operators import tiers as T
 from ..session import materialize
 
@@ -87,10 +88,12 @@ def write_playlists(ranked: DataFrame, out_dir: str, profile: Profile, playlist_
 
 
 def write_catalogue(ranked: DataFrame, out_dir: str) -> None:
-    """channels: Parquet partitioned by country (searchable; the country
-    filter prunes partitions) and JSON lines in rank order."""
+    """channels: Parquet partitioned by country and tier (filters on them
+    prune partitions), trigram postings beside it, and JSON lines in rank
+    order."""
     table = T.published(ranked, extra=("rank",))
-    table.write.mode("overwrite").partitionBy("country").parquet(f"{out_dir}/channels.parquet")
+    table.write.mode("overwrite").partitionBy("country", "tier").parquet(f"{out_dir}/channels.parquet")
+    SI.write_postings(table, f"{out_dir}/channels.index")
     (table.repartitionByRange("rank").sortWithinPartitions("rank")
      .write.mode("overwrite").json(f"{out_dir}/channels.json"))
 

@@ -56,6 +56,9 @@ def read_profile(spark: SparkSession, path: str) -> Profile:
     return profile_of(json.loads(document(spark, path).first()["value"]))
 
 
+LINES_SCHEMA = "source_name string, chunk long, line_no long, line string"
+
+
 def read_overrides(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(by_name, by_url) tables; a missing file gives empty tables."""
     try:
@@ -77,11 +80,13 @@ def _decoded(path: Column) -> Column:
     return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def playlist_files(spark: SparkSession, landing_dir: str, pattern: str = "*.m3u") -> DataFrame:
-    """(source_name, file, modified, length) of every playlist file; contents
-    are not read."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .option("recursiveFileLookup", "true").load(landing_dir))
+def playlist_files(spark: SparkSession, landing_dir: str, pattern: str = "*.m3u", modified_after: str | None = None) -> DataFrame:
+    """(source_name, file, modified, length) of every playlist file, or of
+    those modified after a time (session time zone); contents are not read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    files = reader.load(landing_dir)
     listed = list_files(files)
     return listed.unionByName(_empty_files(files, listed))
 
@@ -95,8 +100,8 @@ def list_files(files: DataFrame) -> DataFrame:
 
 def _empty_files(files: DataFrame, listed: DataFrame) -> DataFrame:
     """Files of no bytes: Spark lists them but its sources skip them, so only
-    their names come from the driver's listing, and their times from the
-    file system."""
+    their names come from the driver's listing (``manifest`` keeps that to
+    new files), and their times from the file system."""
     spark = files.sparkSession
     # written as in the metadata column: an empty authority is left out
     names = spark.createDataFrame([(re.sub("^file:/+", "file:/", p),) for p in files.inputFiles()], "file string")
@@ -111,10 +116,11 @@ def _empty_files(files: DataFrame, listed: DataFrame) -> DataFrame:
     return rows.select(source_of(F.col("file")).alias("source_name"), "file", F.timestamp_millis("ms").alias("modified"), F.lit(0).cast("long").alias("length"))
 
 
-def newest_files(files: DataFrame) -> DataFrame:
+def newest_files(files: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """One file per source: the last modified, of equals the last by path."""
-    newest = F.max(F.struct("modified", "file", "length")).alias("f")
-    return files.groupBy("source_name").agg(newest).select("source_name", "f.file", "f.modified", "f.length")
+    columns = ("modified", "file", "length", *extra)
+    newest = F.max(F.struct(*columns)).alias("f")
+    return files.groupBy("source_name").agg(newest).select("source_name", *[f"f.{c}" for c in ("file", "modified", "length", *extra)])
 
 
 def file_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
@@ -135,18 +141,34 @@ def text_rows(spark: SparkSession, paths: str | list[str], pattern: str = "*.m3u
 
 
 def playlist_lines(spark: SparkSession, landing_dir: str, sources: DataFrame,
-                   pattern: str = "*.m3u") -> DataFrame:
-    """Lines of the newest playlist of every enabled source."""
+                   pattern: str = "*.m3u", files: DataFrame | None = None) -> DataFrame:
+    """Lines of the newest playlist of every enabled source.  ``files``: the
+    newest files where they are known (``manifest``); then only these are
+    opened, at most one a source, and nothing is listed."""
     enabled = sources.where("enabled").select(F.col("name").alias("source_name"))
-    files = newest_files(playlist_files(spark, landing_dir, pattern)).join(enabled, "source_name", "left_semi")
-    return file_lines(text_rows(spark, landing_dir, pattern), files)
+    if files is None:
+        chosen = newest_files(playlist_files(spark, landing_dir, pattern)).join(enabled, "source_name", "left_semi")
+        return file_lines(text_rows(spark, landing_dir, pattern), chosen)
+    return chosen_lines(files.join(enabled, "source_name", "left_semi"), pattern)
+
+
+def chosen_lines(files: DataFrame, pattern: str = "*.m3u") -> DataFrame:
+    """Lines of exactly these files (one name a source comes to the driver,
+    which plans the scan)."""
+    found = files.where("length > 0").select(_decoded(F.col("file")).alias("path")).collect()
+    if not found:
+        return files.sparkSession.createDataFrame([], LINES_SCHEMA)
+    paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r.path) for r in found]  # no globs
+    return file_lines(text_rows(files.sparkSession, paths, pattern), files)
 
 
-def fetch_results(spark: SparkSession, landing_dir: str, log_path: str | None = None, pattern: str = "*.m3u") -> DataFrame:
+def fetch_results(spark: SparkSession, landing_dir: str, log_path: str | None = None, pattern: str = "*.m3u",
+                  files: DataFrame | None = None) -> DataFrame:
     """(source_name, error, elapsed_ms): a row per source that was fetched or
     tried.  Files that landed are fetched; the log (JSON lines ``source,
     error, elapsed_ms``), if there is one, adds times and failures."""
-    landed = playlist_files(spark, landing_dir, pattern).select("source_name").distinct().withColumn("landed", F.lit(True))
+    listed = playlist_files(spark, landing_dir, pattern) if files is None else files
+    landed = listed.select("source_name").distinct().withColumn("landed", F.lit(True))
     if log_path is None:
         return landed.select("source_name", F.lit("").alias("error"), F.lit(None).cast("int").alias("elapsed_ms"))
     log = spark.read.schema("source string, error string, elapsed_ms int").json(log_path)

@@ -4,8 +4,8 @@ The original tool rebuilds everything on a schedule.  With Structured
 Streaming the landing directory is a file source: each run sees only the
 playlist files that arrived since the last run (the stream checkpoint
 remembers them).  The stream carries file names only; ``foreachBatch`` reads
-the newest file of every source of the batch with the batch operators and
-writes its entries and a manifest row per source.  A re-fetched playlist
+the newest file of every source of the batch with the batch operators, logs it
+in the manifest (``sources.manifest``) and writes its entries.  A re-fetched playlist
 must land under a new path (``<source>~<version>.m3u``): Spark's file source
 does not pick up a known path again.  ``latest_entries`` follows the newest
 manifest row of a source, so an emptied playlist has no entries left.
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import parse as P
+from ..sources import manifest as M
 from ..sources import readers as R
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -24,22 +25,13 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 def _entries_writer(landing_dir: str, entries_path: str, pattern: str, chunk_lines: int):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        # files of no bytes give the stream no row: they come from the listing
-        emptied = R.playlist_files(spark, landing_dir, pattern).where("length = 0")
-        newest = R.newest_files(batch.unionByName(emptied))
-        manifest = newest.withColumn("batch_id", F.lit(epoch_id).cast("long"))
+        spark, root = batch.sparkSession, f"{entries_path}/manifest"
+        # files of no bytes give the stream no row: they come from a listing of what is new
+        emptied = M.found_since(spark, root, landing_dir, pattern, before=epoch_id).where("length = 0")
         # One folder per batch, overwritten on retry: a re-run batch (the
         # sink is at-least-once) never duplicates entries.
-        manifest.write.mode("overwrite").parquet(f"{entries_path}/manifest/batch={epoch_id}")
-        chosen = spark.read.schema(manifest.schema).parquet(f"{entries_path}/manifest/batch={epoch_id}")
-        # the names of one batch's files, bounded by maxFilesPerTrigger
-        paths = [r.file for r in chosen.where("length > 0").select("file").collect()]
-        if not paths:
-            return
-        raw = spark.read.text(paths).select(
-            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-        parsed = P.m3u_parse(R.file_lines(raw, chosen), chunk_lines)
+        chosen = M.append(R.newest_files(batch.unionByName(emptied)), root, epoch_id)
+        parsed = P.m3u_parse(R.chosen_lines(chosen, pattern), chunk_lines)
         parsed.write.mode("overwrite").partitionBy("source_name").parquet(f"{entries_path}/entries/batch={epoch_id}")
     return write
 
@@ -63,7 +55,5 @@ def ingest_playlists(spark: SparkSession, landing_dir: str, entries_path: str, c
 def latest_entries(spark: SparkSession, entries_path: str) -> DataFrame:
     """Entries of the newest file of every source (a re-fetched playlist
     replaces the previous one, an empty one removes it)."""
-    manifest = spark.read.parquet(f"{entries_path}/manifest")
-    newest = manifest.groupBy("source_name").agg(F.max(F.struct("modified", "batch_id")).alias("m"))
-    newest = newest.select("source_name", F.col("m.batch_id").alias("batch"))
+    newest = M.newest(spark, f"{entries_path}/manifest").select("source_name", F.col("batch_id").alias("batch"))
     return spark.read.parquet(f"{entries_path}/entries").join(newest, ["source_name", "batch"], "left_semi").drop("batch")

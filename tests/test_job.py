@@ -5,7 +5,11 @@ import json
 import os
 import tempfile
 
+from chanloom.operators import search as SR
+from chanloom.operators import search_index as SI
 from chanloom.plans import job as J
+from chanloom.plans import publish as PB
+from chanloom.sources import published as PS
 
 PL = "application/vnd.apple.mpegurl"
 
@@ -63,7 +67,8 @@ def test_end_to_end(spark):
     samples = os.path.join(root, "samples")
     _samples(spark, samples)
     out = os.path.join(root, "out")
-    res = J.run_build(spark, land, sp, None, op, samples, out)
+    res = J.run_build(spark, land, sp, None, op, samples, out, manifest_dir=os.path.join(root, "manifest"))
+    out = PB.current(spark, out)
 
     stats = {r.stat: r.value for r in res.stats.collect()}
     assert stats["sources_total"] == 3 and stats["sources_ok"] == 2
@@ -103,6 +108,19 @@ def test_end_to_end(spark):
     chans = spark.read.parquet(os.path.join(out, "channels.parquet"))
     assert chans.count() == 2
     assert {r.country for r in chans.collect()} == {"az"}
+    # the version read back: every playlist in order, and the index beside the channels
+    lists = {}
+    for r in sorted(PS.read_playlists(spark, out).collect(), key=lambda r: (r.playlist, r.line_no)):
+        lists.setdefault(r.playlist, []).append((r.line_no, r.line))
+    assert [line for _, line in lists["all"]] == lines and lists["by-category-all"] == lists["all"]
+    assert [n for n, _ in lists["all"]] == [1, 2, 3, 4, 5]
+    assert tuple(line for _, line in lists["by-country/az"]) == az
+    assert set(lists) == {"all", "by-category-all", "by-country-all", "by-country/az", "by-category/cinema", "by-category/general", "by-category/sport"}
+    for text in ("euro", "EUROSPORT h", "az", "zz top", "", "alpha"):
+        for tier in (None, "strict"):
+            scan = SR.catalogue_search(PS.read_channels(spark, out), text, tier=tier).select("name").collect()
+            assert sorted(SI.catalogue_search(spark, out, text, tier=tier).select("name").collect()) == sorted(scan)
+
     src = {r["source"]: (r["ok"], r["count"]) for r in spark.read.json(os.path.join(out, "reports", "source-report")).collect()}
     assert src == {"alpha": (True, 3), "beta": (True, 2)}
 

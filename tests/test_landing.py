@@ -1,12 +1,14 @@
 """Landing directory: blocks, same names, versions, emptied playlists."""
 
 import os
+import tempfile
 import time
 
 import pytest
 
 from chanloom.operators import parse as P
 from chanloom.operators import reports as RP
+from chanloom.sources import manifest as M
 from chanloom.sources import readers as R
 from chanloom.streaming import landing as L
 
@@ -28,7 +30,13 @@ def _sources(spark, *names):
 
 
 def _parsed(spark, root, *names):
-    got = P.m3u_parse(R.playlist_lines(spark, str(root), _sources(spark, *names))).collect()
+    """The entries, by a whole listing and by a manifest."""
+    sources = _sources(spark, *names)
+    got = P.m3u_parse(R.playlist_lines(spark, str(root), sources)).collect()
+    files = M.refresh(spark, tempfile.mkdtemp(prefix="manifest-", dir="/tmp"), str(root))
+    logged = P.m3u_parse(R.playlist_lines(spark, str(root), sources, files=files)).collect()
+    key = lambda rows: sorted((r.source_name, r.name, r.url) for r in rows)
+    assert key(got) == key(logged)
     return sorted((r.source_name, r.entry_id, r.name, r.url) for r in got)
 
 
@@ -104,3 +112,68 @@ def test_lines_are_scanned_once(spark, tmp_path):
     plan = parsed._jdf.queryExecution().executedPlan().toString()
     final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
     assert final.count("FileScan text") == 1 and "ReusedExchange" in final
+
+
+def _state(df):
+    return {r.source_name: (os.path.basename(r.file), r.length == 0, r.batch_id) for r in df.collect()}
+
+
+def test_manifest_follows_what_lands(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "EPOCH", 2)
+    root, land, now = str(tmp_path / "log"), tmp_path / "land", time.time() - 10_000
+    _write(land / "x~1.m3u", _entry("Old", "http://old"), now)
+    _write(land / "e~1.m3u", _entry("E", "http://e"), now)
+    assert _state(M.refresh(spark, root, str(land))) == {"x": ("x~1.m3u", False, 0), "e": ("e~1.m3u", False, 0)}
+    assert _state(M.refresh(spark, root, str(land)))["x"][2] == 0  # nothing new, no batch
+    for i in range(2, 8):  # over several epochs; one source is emptied and filled again
+        _write(land / f"d{i}/x~{i}.m3u", _entry(f"v{i}", "http://x"), now + i)
+        _write(land / f"d{i}/e~{i}.m3u", "" if i % 2 else _entry("E", "http://e"), now + i)
+        got = _state(M.refresh(spark, root, str(land)))
+        assert got == {"x": (f"x~{i}.m3u", False, i - 1), "e": (f"e~{i}.m3u", bool(i % 2), i - 1)}
+    assert sorted(os.listdir(f"{root}/log")) == [f"epoch={k}" for k in range(4)] and len(os.listdir(f"{root}/snapshots")) == 3
+    # an older version that lands late changes nothing
+    _write(land / "late/x~0.m3u", _entry("late", "http://late"), now - 50)
+    assert _state(M.refresh(spark, root, str(land)))["x"] == ("x~7.m3u", False, 6)
+
+
+def test_only_new_files_are_looked_at(spark, tmp_path):
+    root, land, now = str(tmp_path / "log"), tmp_path / "land", time.time()
+    for i in range(20):
+        _write(land / f"s{i}~1.m3u", "" if i % 2 else _entry("a", "http://a"), now - 30 * 86_400 - i)
+    _write(land / "new~1.m3u", "", now)
+    M.refresh(spark, root, str(land))
+    _write(land / "new~2.m3u", "", now + 5)
+    seen = []
+    listing = R.playlist_files
+
+    def watched(*args, **kwargs):
+        seen.append(listing(*args, **kwargs))
+        return seen[-1]
+
+    M.playlist_files, before = watched, M.playlist_files
+    try:
+        assert [r.source_name for r in M.found_since(spark, root, str(land)).collect()] == ["new"]
+    finally:
+        M.playlist_files = before
+    assert sorted(os.path.basename(r.file) for r in seen[0].collect()) == ["new~1.m3u", "new~2.m3u"]
+
+
+def test_a_batch_that_runs_again(spark, tmp_path, monkeypatch):
+    """The log of a failed batch is written again, with its empty files."""
+    monkeypatch.setattr(M, "EPOCH", 1)
+    root, land, now = str(tmp_path / "log"), tmp_path / "land", time.time() - 100
+    rows = lambda before: R.newest_files(M.found_since(spark, root, str(land), before=before))
+    _write(land / "x~1.m3u", _entry("A", "http://a"), now)
+    M.append(rows(0), root, 0)
+    _write(land / "x~2.m3u", "", now + 1)
+    _write(land / "y~1.m3u", _entry("B", "http://b"), now + 1)
+    for _ in range(2):
+        M.append(rows(1), root, 1)
+        assert _state(M.newest(spark, root)) == {"x": ("x~2.m3u", True, 1), "y": ("y~1.m3u", False, 1)}
+
+
+def test_names_that_look_like_globs(spark, tmp_path):
+    names = ["a[1]", "b{x,y}", "c d+e", "f*", "ü%20", "q?"]
+    for n in names:
+        _write(tmp_path / f"{n}.m3u", _entry(f"in {n}", "http://u"))
+    assert [g[2] for g in _parsed(spark, tmp_path, *names)] == sorted(f"in {n}" for n in names)
