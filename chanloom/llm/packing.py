@@ -1,35 +1,42 @@
 """Lexical retrieval packing: BM25 neighbours fill a seed's window.
 
-1. Every document is encoded once; its whole windows leave at once, the rest
-   (fewer tokens than a window) is stored with its ids.
+1. Every document is encoded once; its whole windows are sequences of their
+   own, the rest (fewer tokens than a window) is stored with its ids.
 2. Document frequencies of token ids (a table bounded by the vocabulary) and
    the mean length are computed over all rests.
-3. Lexically close rests are placed together (``placed``): a group above the
-   bound is split by the BM25 score of its rests against pivots drawn from
-   it, level by level; close groups then share a shard.
-4. A shard builds its inverted index with the corpus-wide BM25 weights.  A
-   seed asks for its unused neighbours, best first; they fill the window, the
-   last one is cut to fit, and what remains of it seeds the next window.
+3. Lexically close rests are placed together (``placed``) on narrow rows: a
+   rest's heaviest terms.  A group above the bound is split by the score of
+   its rests against pivots drawn from it, level by level, in cells of
+   bounded size; close groups then share a shard.  Pivots, groups and shards
+   stay in Spark.
+4. A shard builds its inverted index with the corpus-wide BM25 weights
+   (frequent terms as a matrix, the others as postings).  A seed document
+   asks for its unused neighbours, best first; they fill the window, the last
+   one is cut to fit, and what remains of it seeds the next window.
 
 So a shard pads its last window only.  Cut pieces keep their document's
 order; every id lies in exactly one piece.
 
-Defined cases: a null or empty text is the one id END; repeated rows are
-documents of their own; ties in score go to the earlier row of the shard
-(by document hash); an empty table gives an empty result.
+Defined cases: a null or empty text is the one id END; texts are packed
+whole, however long; repeated rows are documents of their own and spread over
+shards like any others; ties in score go to the earlier row of the shard (by
+document hash); an empty table gives an empty result; other columns of the
+input play no part, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanloom.llm.bpe import BATCH_CHARS, encode_texts
 from chanloom.llm.common import groups_of, materialize, offsets, ranges, text_batches, text_of, tidy
+from chanloom.operators.skew import salted_left_join
 
 WINDOW = 2048
 END = 1
@@ -38,14 +45,23 @@ K1, B = 1.2, 0.75
 SHARD_DOCS = 1_500
 #: Pivots of one group (at most), and for each SHARD_DOCS of its documents.
 PIVOTS, PIVOTS_EACH = 256, 4
-#: Highest-weight tokens of a pivot.
-PIVOT_TERMS = 128
+#: Highest-weight tokens that stand for a rest when it is placed.
+TERMS = 96
 LEVELS = 5
+#: Rests of a group that one task compares with its pivots.
+CELL_DOCS = 8_192
+#: Rests whose numpy temporaries are held at once.
+BATCH_RESTS = 2_000
+#: A term in more than 1 / FREQUENT of a shard's documents is a matrix column.
+FREQUENT = 8
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def _encoded(path: str, window: int):
     def run(batches):
+        from pyspark import TaskContext
+
+        rid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b, part in text_batches(batch, "text", BATCH_CHARS):
                 ids, at = encode_texts(part, path)
@@ -56,108 +72,93 @@ def _encoded(path: str, window: int):
                     own = np.append(ids[at[i]: at[i + 1]], END).astype("<u4")
                     n = len(own)
                     for s in range(0, n - n % window, window):
-                        rows.append((doc, uid, s, window, zlib.crc32(own[s: s + window].tobytes()), n, None))
+                        rows.append((rid + len(rows), doc, uid, s, window, zlib.crc32(own[s: s + window].tobytes()), n, None))
                     if n % window:
                         rest = own[n - n % window:]
-                        rows.append((doc, uid, n - len(rest), len(rest), 0, n, rest.tobytes() if rest.max() > 0xFFFF else rest.astype("<u2").tobytes()))
+                        rows.append((rid + len(rows), doc, uid, n - len(rest), len(rest), 0, n, rest.tobytes() if rest.max() > 0xFFFF else rest.astype("<u2").tobytes()))
+                rid += len(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                    ["doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(),) * 7 + (pa.binary(),))],
+                    ["rid", "doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
     return run
 
 
 def _ids(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.uint32)
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int64)
 
 
-def _frequencies(batches):
-    total: dict | None = None
+def _term_counts(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, token, count) of every distinct token of each document."""
+    owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    pairs, tf = np.unique(owner << 32 | np.concatenate(docs), return_counts=True)
+    return pairs >> 32, pairs & 0xFFFFFFFF, tf
+
+
+def _rests(batches):
+    """Runs of rows of bounded size with their ids."""
     for batch in batches:
-        found = [np.unique(_ids(raw, n)) for raw, n in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist())]
-        if not found:
-            continue
-        token, n = np.unique(np.concatenate(found), return_counts=True)
-        if total is None:
-            total = {}
-        for t, c in zip(token.tolist(), n.tolist()):
-            total[t] = total.get(t, 0) + c
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["token", "df"])
+        for a in range(0, batch.num_rows, BATCH_RESTS):
+            part = batch.slice(a, BATCH_RESTS)
+            yield part, [_ids(raw, n) for raw, n in zip(part.column("ids").to_pylist(), part.column("length").to_pylist())]
 
 
-class Shard:
-    """Inverted index of a shard's documents under given token weights."""
+def _frequencies(batches):
+    total = np.zeros(0, np.int64)
+    for _, docs in _rests(batches):
+        n = np.bincount(_term_counts(docs)[1])
+        if len(n) > len(total):
+            total = np.append(total, np.zeros(len(n) - len(total), np.int64))
+        total[: len(n)] += n
+    found = np.flatnonzero(total)
+    if len(found):
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["token", "df"])
 
-    def __init__(self, docs: list[np.ndarray], idf: dict[int, float], mean: float):
-        self.docs = docs
-        sizes = np.array([len(d) for d in docs], np.int64)
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        tokens = np.concatenate(docs).astype(np.int64)
-        pairs, tf = np.unique(tokens * len(docs) + owner, return_counts=True)
-        token, self.owner = pairs // len(docs), pairs % len(docs)
-        norm = K1 * (1 - B + B * sizes[self.owner] / mean)
-        self.tokens, first = np.unique(token, return_index=True)
-        weight = np.array([idf[t] for t in self.tokens.tolist()])
-        self.begin = offsets(np.diff(np.append(first, len(token))))
-        self.weight = np.repeat(weight, np.diff(self.begin)) * tf * (K1 + 1) / (tf + norm)
-
-    def scores(self, query: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.tokens, np.unique(query))
-        posts = ranges(self.begin[at], self.begin[at + 1] - self.begin[at])
-        return np.bincount(self.owner[posts], weights=self.weight[posts], minlength=len(self.docs))
 
+def _weights(token: np.ndarray, tf: np.ndarray, size: np.ndarray, idf: np.ndarray, mean: float) -> np.ndarray:
+    """BM25 weights of terms in documents of given sizes."""
+    return idf[token] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
 
-def fill_windows(docs: list[np.ndarray], index: Shard, window: int) -> list[tuple[int, int, int, int, int]]:
-    """(document, begin, length, sequence, offset) of every piece of the
-    shard's documents.  Seeds go in row order; a cut document's rest seeds
-    the next window."""
-    used = np.zeros(len(docs), bool)
-    out, sequence, at, nxt = [], 0, 0, 0
-    seed = None  # (document, begin)
-    while True:
-        if seed is None:
-            while nxt < len(docs) and used[nxt]:
-                nxt += 1
-            if nxt == len(docs):
-                return out
-            seed = (nxt, 0)
-            used[nxt] = True
-        d, begin = seed
-        seed = None
-        out.append((d, begin, len(docs[d]) - begin, sequence, 0))
-        at = len(docs[d]) - begin
-        if at < window:
-            score = np.where(used, -1.0, index.scores(docs[d][begin:]))
-            for n in np.argsort(-score, kind="stable").tolist():
-                if used[n]:
-                    break  # all unused ones are taken
-                used[n] = True
-                take = min(len(docs[n]), window - at)
-                out.append((n, 0, take, sequence, at))
-                at += take
-                if take < len(docs[n]):
-                    seed = (n, take)
-                if at == window:
-                    break
-        sequence += 1
+
+def _leading(idf_of, mean: float):
+    """(rid, path, terms): the heaviest terms of every rest."""
+
+    def run(batches):
+        idf = idf_of()
+        for part, docs in _rests(batches):
+            doc, token, tf = _term_counts(docs)
+            sizes = np.array([len(d) for d in docs])
+            order = np.lexsort((token, -_weights(token, tf, sizes[doc], idf, mean), doc))
+            first = offsets(np.bincount(doc, minlength=len(docs)))
+            place = np.arange(len(doc)) - first[doc]
+            kept = order[place < TERMS]
+            ends = offsets(np.bincount(doc[kept], minlength=len(docs)))
+            raw = token[kept].astype("<u4").tobytes()
+            terms = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer((4 * ends).astype("<i4").tobytes()), pa.py_buffer(raw)])
+            yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array(np.ones(len(docs), np.int64)), terms], ["rid", "path", "terms"])
+
+    return run
+
+
+def _terms(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, token) of the terms of many rests."""
+    raws = column.to_pylist()
+    return np.repeat(np.arange(len(raws)), [len(r) // 4 for r in raws]), np.frombuffer(b"".join(raws), "<u4").astype(np.int64)
 
 
 class Pivots:
-    """Weights of a group's pivots by token.  Children are numbered along a
-    chain of close pivots, so that neighbouring numbers are close too."""
-
-    def __init__(self, docs: list[np.ndarray], idf: dict[int, float], mean: float):
-        shard = Shard(docs, idf, mean)
-        order = np.lexsort((-shard.weight, shard.owner))
-        rank = np.arange(len(order)) - offsets(np.bincount(shard.owner, minlength=len(docs)))[shard.owner[order]]
-        keep = np.zeros(len(order), bool)
-        keep[order[rank < PIVOT_TERMS]] = True
-        at = np.repeat(np.arange(len(shard.tokens)), np.diff(shard.begin))[keep]
-        self.n, self.tokens, self.weight = len(docs), shard.tokens, shard.weight[keep]
-        self.begin = offsets(np.bincount(at, minlength=len(self.tokens)))
-        self.owner = shard.owner[keep]
-        close = self.scores(docs)
+    """Terms of a group's pivots.  Children are numbered along a chain of
+    close pivots, so that neighbouring numbers are close too."""
+
+    def __init__(self, column: pa.ChunkedArray, idf: np.ndarray):
+        self.n = len(column)
+        owner, token = _terms(column)
+        order = np.argsort(token, kind="stable")
+        self.owner = owner[order]
+        self.tokens, first = np.unique(token[order], return_index=True)
+        self.begin = np.append(first, len(token))
+        self.idf = idf
+        close = self.scores(column)
         chain, left = [0], np.ones(self.n, bool)
         left[0] = False
         while left.any():
@@ -167,127 +168,194 @@ class Pivots:
         number[chain] = np.arange(self.n)
         self.owner = number[self.owner]
 
-    def scores(self, docs: list[np.ndarray]) -> np.ndarray:
-        token = np.concatenate(docs).astype(np.int64)
-        doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    def scores(self, column: pa.ChunkedArray) -> np.ndarray:
+        doc, token = _terms(column)
         at = np.minimum(np.searchsorted(self.tokens, token), len(self.tokens) - 1)
         known = self.tokens[at] == token
-        pairs = np.unique(doc[known] * len(self.tokens) + at[known])
-        doc, at = pairs // len(self.tokens), pairs % len(self.tokens)
+        doc, at = doc[known], at[known]
         n = self.begin[at + 1] - self.begin[at]
-        posts = ranges(self.begin[at], n)
-        cell = np.repeat(doc, n) * self.n + self.owner[posts]
-        return np.bincount(cell, weights=self.weight[posts], minlength=len(docs) * self.n).reshape(len(docs), self.n)
+        cell = np.repeat(doc, n) * self.n + self.owner[ranges(self.begin[at], n)]
+        return np.bincount(cell, weights=np.repeat(self.idf[self.tokens[at]], n), minlength=len(column) * self.n).reshape(len(column), self.n)
 
 
-def _routed(pivots_of, idf_of, mean: float):
-    """Rows of a group that has pivots move to the child of the best one."""
+def _routed(idf_of):
+    """The rests of a cell move to the child of their best pivot."""
 
-    def run(batches):
-        pivots, idf, made = pivots_of(), idf_of(), {}
-        for batch in batches:
-            path = batch.column("path").to_numpy().copy()
-            ids = batch.column("ids").to_pylist()
-            length = batch.column("length").to_numpy()
-            for group in np.unique(path).tolist():
-                if group not in pivots:
-                    continue
-                if group not in made:
-                    if len(made) > 64:
-                        made.clear()
-                    made[group] = Pivots([_ids(*p) for p in pivots[group]], idf, mean)
-                mine = np.flatnonzero(path == group)
-                for a in range(0, len(mine), 1_000):
-                    rows = mine[a: a + 1_000]
-                    path[rows] = group * 512 + 1 + made[group].scores([_ids(ids[i], int(length[i])) for i in rows]).argmax(axis=1)
-            yield batch.set_column(batch.schema.get_field_index("path"), "path", pa.array(path))
+    def run(rests: pa.Table, drawn: pa.Table) -> pa.Table:
+        out = rests.select(["rid", "path", "terms"])
+        if out.num_rows == 0 or drawn.num_rows < 2:
+            return out
+        pivots = Pivots(drawn.sort_by("p_h").column("p_terms"), idf_of())
+        child = np.concatenate([pivots.scores(out.column("terms").slice(a, BATCH_RESTS)).argmax(axis=1) for a in range(0, out.num_rows, BATCH_RESTS)])
+        path = out.column("path").to_numpy() * 512 + 1 + child
+        return out.set_column(1, "path", pa.array(path, pa.int64()))
 
     return run
 
 
-def placed(rests: DataFrame, idf_of, mean: float) -> tuple[DataFrame, int]:
-    """``rests`` with a column ``shard``, and the number of shards.  A child's
-    ``path`` is its group's times 512 plus its number.  A group that cannot be
-    split (equal rests) is cut by hash."""
-    spark = rests.sparkSession
-    rows = rests.withColumn("path", F.lit(1).cast("long"))
-    stuck: set[int] = set()
+def _split(rows: DataFrame, large: DataFrame, level: int, idf_of) -> DataFrame:
+    """``rows`` of the ``large`` groups (path, n) moved one level down.  A
+    child's ``path`` is its group's times 512 plus its number."""
+    hashed = F.xxhash64("rid", F.lit(100 + level))
+    # in all about 4 pivots for 1,500 documents; equal rests are one pivot
+    wanted = F.least(F.lit(PIVOTS), PIVOTS_EACH * F.ceil(F.col("n") / SHARD_DOCS))
+    cells = F.ceil(F.col("n") / CELL_DOCS).cast("int")
+    own = rows.join(large, "path").withColumns({"h": hashed, "wanted": wanted, "cells": cells})
+    drawn = own.where(F.pmod("h", F.lit(1 << 30)) < (1 << 30) * F.least(F.lit(1.0), 2.0 * F.col("wanted") / F.col("n")))
+    drawn = drawn.groupBy("path", "terms").agg(F.min("h").alias("h"), F.first("wanted").alias("wanted"), F.first("cells").alias("cells"))
+    place = F.row_number().over(Window.partitionBy("path").orderBy("h"))
+    drawn = drawn.withColumn("place", place).where(F.col("place") <= F.col("wanted"))
+    pivots = drawn.select(F.col("path").alias("p_path"), F.col("terms").alias("p_terms"), F.col("h").alias("p_h"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("p_cell"))
+    dealt = own.select("rid", "path", "terms", F.pmod(F.xxhash64("rid"), F.col("cells")).cast("int").alias("cell"))
+    moved = dealt.groupBy("path", "cell").cogroup(pivots.groupBy("p_path", "p_cell")).applyInArrow(_routed(idf_of), "rid long, path long, terms binary")
+    return rows.join(large, "path", "left_anti").unionByName(moved)
+
+
+def _numbered(groups: DataFrame) -> DataFrame:
+    """(path, first, parts) of groups (path, n): close groups follow each
+    other in path order and share shards of SHARD_DOCS rests or a little
+    more; a group that could not be split has ``parts`` shards of its own."""
+    deep = F.col("path")
+    for _ in range(LEVELS):
+        deep = F.when(deep < 512 ** LEVELS, deep * 512).otherwise(deep)
+    line = materialize(groups.withColumn("deep", deep).repartitionByRange("deep").withColumn("part__", F.spark_partition_id()), "groups")
+    small = F.when(F.col("n") <= SHARD_DOCS, F.col("n")).otherwise(0)
+    parts = F.when(F.col("n") <= SHARD_DOCS, 0).otherwise(F.ceil(F.col("n") / SHARD_DOCS))
+    within = Window.partitionBy("part__").orderBy("deep").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition
+    before = Window.orderBy("p__").rowsBetween(Window.unboundedPreceding, -1)
+    sums = line.groupBy(F.col("part__").alias("p__")).agg(F.sum(small).alias("s"), F.sum(parts).alias("o"))
+    sums = sums.select("p__", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("s", "o")])
+    rows = line.join(sums, F.col("part__") == F.col("p__"))
+    ahead = lambda c: F.coalesce(F.sum(c).over(within), F.lit(0))
+    # shards of whole groups are even, those of cut groups odd
+    shared = F.floor((F.col("s") + ahead(small)) / SHARD_DOCS) * 2
+    alone = (F.col("o") + ahead(parts)) * 2 + 1
+    return rows.select("path", F.when(parts > 0, alone).otherwise(shared).cast("long").alias("first"), F.greatest(parts, F.lit(1)).cast("long").alias("parts"))
+
+
+def placed(rests: DataFrame, idf_of, mean: float) -> DataFrame:
+    """(rid, shard) of every rest."""
+    rows = materialize(rests.select("rid", "length", "ids").mapInArrow(tidy(_leading(idf_of, mean)), "rid long, path long, terms binary"), "leading")
     for level in range(LEVELS):
-        large = rows.groupBy("path").count().where(F.col("count") > SHARD_DOCS).collect()
-        large = {r.path: r["count"] for r in large if r.path not in stuck}
-        if not large:
+        large = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_DOCS)
+        if large.isEmpty():
             break
-        # in all about 4 pivots for 1,500 documents
-        wanted = {g: min(PIVOTS, PIVOTS_EACH * -(-n // SHARD_DOCS)) for g, n in large.items()}
-        chance = spark.createDataFrame([(g, int((1 << 30) * min(1.0, 2 * wanted[g] / n))) for g, n in large.items()], "path long, chance long")
-        drawn = rows.join(F.broadcast(chance), "path").withColumn("h", F.xxhash64("uid", F.lit(100 + level)))
-        drawn = drawn.where(F.pmod("h", F.lit(1 << 30)) < F.col("chance")).select("path", "h", "length", "ids").orderBy("path", "h")
-        pivots: dict[int, list[tuple[bytes, int]]] = {}
-        for r in drawn.toLocalIterator():
-            own = pivots.setdefault(r.path, [])
-            if len(own) < wanted[r.path] and (r.ids, r.length) not in own:
-                own.append((r.ids, r.length))
-        stuck |= {g for g in large if len(pivots.get(g, ())) < 2}
-        sent = spark.sparkContext.broadcast({g: p for g, p in pivots.items() if len(p) > 1})
-        if sent.value:
-            rows = materialize(rows.mapInArrow(tidy(_routed(lambda sent=sent: sent.value, idf_of, mean)), rows.schema), "placed")
-    # a row for some hundred rests; close groups follow each other in path order
-    sizes = rows.groupBy("path").count().toArrow()
-    path, n = (sizes.column(c).to_numpy().astype(np.int64) for c in ("path", "count"))
-    deep = path.copy()
-    for _ in range(LEVELS):
-        deep = np.where(deep < 512 ** LEVELS, deep * 512, deep)
-    order = np.argsort(deep)
-    path, n = path[order], n[order]
-    small = n <= SHARD_DOCS
-    before = np.cumsum(np.where(small, n, 0)) - np.where(small, n, 0)
-    first = before // SHARD_DOCS
-    parts = np.where(small, 1, -(-n // SHARD_DOCS))
-    own = np.where(small, 0, parts)
-    first = np.where(small, first, int(first.max(initial=0)) + 1 + np.cumsum(own) - own)
-    shards = max(1, int((first + parts).max(initial=1)))
-    numbers = spark.createDataFrame(pa.table({"path": path, "first": first, "parts": parts}))
-    part = F.pmod(F.xxhash64("uid", "doc_id", "start", F.lit(7)), F.col("parts"))
-    return rows.join(numbers, "path").withColumn("shard", F.col("first") + part).drop("path", "first", "parts"), shards
+        rows = materialize(_split(rows, large, level, idf_of), "placed")
+    groups = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    where = salted_left_join(rows.select("rid", "path"), _numbered(groups), ["path"], [F.col("rid")])
+    return where.select("rid", (F.col("first") + 2 * F.pmod(F.xxhash64("rid", F.lit(7)), F.col("parts"))).alias("shard"))
+
+
+class Shard:
+    """Inverted index of a shard's documents under the corpus-wide weights:
+    frequent terms as the product of two matrices, the others as postings."""
+
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
+        n = len(docs)
+        sizes = np.array([len(d) for d in docs], np.int64)
+        owner, token, tf = _term_counts(docs)
+        weight = _weights(token, tf, sizes[owner], idf, mean).astype(np.float32)
+        tokens, at, held = np.unique(token, return_inverse=True, return_counts=True)
+        at = at.ravel()
+        often = np.flatnonzero(held > max(2, n // FREQUENT))
+        column = np.full(len(tokens), -1)
+        column[often] = np.arange(len(often))
+        mine = column[at] >= 0
+        matrix = np.zeros((n, len(often)), np.float32)
+        matrix[owner[mine], column[at[mine]]] = weight[mine]
+        self.close = (matrix > 0).astype(np.float32) @ matrix.T
+        # postings of the others that two documents share
+        mine = ~mine & (held[at] > 1)
+        owner, at, weight = owner[mine], at[mine], weight[mine]
+        self.begin = offsets(np.bincount(at, minlength=len(tokens)))
+        order = np.argsort(at, kind="stable")
+        self.owner, self.weight = owner[order], weight[order]
+        self.first = offsets(np.bincount(owner, minlength=n))
+        self.terms = at  # by document
+        self.n = n
+
+    def scores(self, doc: int) -> np.ndarray:
+        """BM25 of all documents for a document's distinct terms."""
+        at = self.terms[self.first[doc]: self.first[doc + 1]]
+        posts = ranges(self.begin[at], self.begin[at + 1] - self.begin[at])
+        return self.close[doc] + np.bincount(self.owner[posts], weights=self.weight[posts], minlength=self.n)
+
+
+def fill_windows(docs: list[np.ndarray], index: Shard, window: int) -> list[tuple[int, int, int, int, int]]:
+    """(document, begin, length, sequence, offset) of every piece of the
+    shard's documents.  Seeds go in row order; a cut document's rest seeds
+    the next window."""
+    sizes = [len(d) for d in docs]
+    used = np.zeros(len(docs), bool)
+    out, sequence, nxt = [], 0, 0
+    seed = None  # (document, begin)
+    while True:
+        if seed is None:
+            while nxt < len(docs) and used[nxt]:
+                nxt += 1
+            if nxt == len(docs):
+                return out
+            seed = (nxt, 0)
+            used[nxt] = True
+        d, begin = seed
+        seed = None
+        at = sizes[d] - begin
+        out.append((d, begin, at, sequence, 0))
+        score = np.where(used, -1.0, index.scores(d)) if at < window else None
+        while at < window:
+            n = int(score.argmax())
+            if used[n]:
+                break  # all are taken
+            used[n], score[n] = True, -1.0
+            take = min(sizes[n], window - at)
+            out.append((n, 0, take, sequence, at))
+            at += take
+            if take < sizes[n]:
+                seed = (n, take)
+        sequence += 1
 
 
 def _filled(window: int, idf_of, mean: float):
     def run(batches):
         idf = idf_of()
         for group in groups_of(batches, "shard"):
-            rows = group.select(["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]).to_pylist()
-            open_rows = [r for r in rows if r["ids"] is not None]
-            whole = [r for r in rows if r["ids"] is None]
-            docs = [_ids(r["ids"], r["length"]) for r in open_rows]
+            rows = group.select(["doc_id", "start", "length", "doc_tokens", "ids"]).to_pylist()
+            docs = [_ids(r["ids"], r["length"]) for r in rows]
             base = group.column("shard")[0].as_py() << 32
             out = []
-            if docs:
-                for d, begin, n, sequence, at in fill_windows(docs, Shard(docs, idf, mean), window):
-                    r = open_rows[d]
-                    out.append((r["doc_id"], r["start"] + begin, n, zlib.crc32(docs[d][begin: begin + n].astype("<u4").tobytes()), r["doc_tokens"], base + sequence, at))
-            first = base + 1 + max((o[5] - base for o in out), default=-1)
-            out += [(r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"], first + i, 0) for i, r in enumerate(whole)]
+            for d, begin, n, sequence, at in fill_windows(docs, Shard(docs, idf, mean), window):
+                r = rows[d]
+                out.append((r["doc_id"], r["start"] + begin, n, zlib.crc32(docs[d][begin: begin + n].astype("<u4").tobytes()), r["doc_tokens"], base + sequence, at))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     return run
 
 
+def inverse_frequencies(rests: DataFrame) -> tuple[np.ndarray, float]:
+    """BM25's idf by token id and the mean length, over all rests."""
+    count, mean = rests.agg(F.count(F.lit(1)), F.avg("length")).first()
+    df = rests.select("ids", "length").mapInArrow(tidy(_frequencies), "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
+    # at most one row per token id of the vocabulary, whatever the corpus
+    found = df.collect()
+    idf = np.zeros(max((r.token for r in found), default=0) + 1)
+    for r in found:
+        idf[r.token] = math.log1p((count - r.df + 0.5) / (r.df + 0.5))
+    return idf, mean or 1.0
+
+
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(docs, text).alias("text")).withColumn("uid", F.xxhash64("doc_id", "text"))
-    pieces = rows.mapInArrow(tidy(_encoded(tokenizer, window)), "doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+    pieces = rows.mapInArrow(tidy(_encoded(tokenizer, window)), "rid long, doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
     pieces = materialize(pieces, "pieces")
     rests = pieces.where("ids is not null")
-    count, mean = rests.agg(F.count(F.lit(1)), F.avg("length")).first()
-    df = rests.select("ids", "length").mapInArrow(tidy(_frequencies), "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
-    # at most one row per token id of the vocabulary, whatever the corpus
-    idf = {r.token: float(np.log1p((count - r.df + 0.5) / (r.df + 0.5))) for r in df.collect()}
-    sent = spark.sparkContext.broadcast(idf)
-    near, shards = placed(rests, lambda: sent.value, mean or 1.0)
-    whole = pieces.where("ids is null").withColumn("shard", F.pmod(F.xxhash64("uid", F.lit(7)), F.lit(shards)).cast("long"))
-    dealt = near.unionByName(whole)
-    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "uid", "doc_id", "start")
-    out = dealt.select("shard", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")
-    return out.mapInArrow(tidy(_filled(window, lambda: sent.value, mean or 1.0)), PIECE + ", sequence_id long, offset long")
+    idf, mean = inverse_frequencies(rests)
+    sent = docs.sparkSession.sparkContext.broadcast(idf)
+    dealt = rests.join(placed(rests, lambda: sent.value, mean), "rid")
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "uid", "doc_id", "start", "rid").select("shard", "doc_id", "start", "length", "doc_tokens", "ids")
+    filled = dealt.mapInArrow(tidy(_filled(window, lambda: sent.value, mean)), PIECE + ", sequence_id long, offset long")
+    # a whole window is a sequence; its number is above those of all shards
+    whole = pieces.where("ids is null").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("rid") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return filled.unionByName(whole)

@@ -183,15 +183,18 @@ def test_quality_sees_word_order_and_returning_phrases(spark, tmp_path):
         assert sum(kept[i] for i in range(400 + kind, 460, 3)) <= 2
 
 
+def _bm25(query, doc, idf, mean):
+    return sum(idf[t] * f * (packing.K1 + 1) / (f + packing.K1 * (1 - packing.B + packing.B * len(doc) / mean))
+               for t, f in collections.Counter(doc.tolist()).items() if t in set(query.tolist()))
+
+
 def test_bm25_scores_and_windows():
-    docs = [np.array(x, np.uint32) for x in ([5, 5, 6], [5, 9], [7, 7, 7, 7], [6, 9])]
-    idf = {5: 0.7, 6: 0.7, 7: 1.2, 9: 0.7}
+    docs = [np.array(x, np.int64) for x in ([5, 5, 6], [5, 9], [7, 7, 7, 7], [6, 9])]
+    idf = np.array([0, 0, 0, 0, 0, 0.7, 0.7, 1.2, 0, 0.7])
     index = packing.Shard(docs, idf, 2.75)
-    got = index.scores(docs[0])
+    got = index.scores(0)
     for d, own in enumerate(docs):
-        want = sum(idf[t] * f * (packing.K1 + 1) / (f + packing.K1 * (1 - packing.B + packing.B * len(own) / 2.75))
-                   for t, f in collections.Counter(own.tolist()).items() if t in (5, 6))
-        assert math.isclose(got[d], want, abs_tol=1e-12)
+        assert math.isclose(got[d], _bm25(docs[0], own, idf, 2.75), abs_tol=1e-5)
     pieces = packing.fill_windows(docs, index, 4)
     assert pieces[0] == (0, 0, 3, 0, 0) and pieces[1][0] in (1, 3)
     cover = collections.defaultdict(int)
@@ -206,20 +209,44 @@ def test_bm25_scores_and_windows():
     assert sorted(fill.values()) == [3, 4, 4]
 
 
+def test_frequent_and_rare_terms_and_the_greedy_fill():
+    """Scores of both halves of the index, and that a seed takes its best
+    unused neighbours in order."""
+    rng = np.random.default_rng(9)
+    docs = [np.concatenate([rng.integers(0, 12, 30), rng.integers(12, 400, 20)]) for _ in range(80)]
+    idf = np.concatenate([rng.uniform(0.1, 0.3, 12), rng.uniform(2, 4, 388)])
+    index = packing.Shard(docs, idf, 50.0)
+    assert index.close.any() and len(index.owner)
+    scores = np.array([index.scores(i) for i in range(80)])
+    want = np.array([[_bm25(q, d, idf, 50.0) for d in docs] for q in docs])
+    off = ~np.eye(80, dtype=bool)  # a document's own rare terms are left out of its own score
+    assert np.abs(scores - want)[off].max() < 1e-3
+    used, by_sequence = set(), collections.defaultdict(list)
+    for piece in packing.fill_windows(docs, index, 200):
+        by_sequence[piece[3]].append(piece)
+    for sequence in sorted(by_sequence):
+        (seed, *_), *taken = by_sequence[sequence]
+        used.add(seed)
+        for d, begin, *_ in taken:
+            assert begin == 0
+            assert want[seed][d] >= max(want[seed][k] for k in range(80) if k not in used) - 1e-3
+            used.add(d)
+
+
 def _rests(spark, rows):
     rows = [(i, i, 0, len(r), np.array(r, "<u2").tobytes()) for i, r in enumerate(rows)]
-    return spark.createDataFrame(rows, "doc_id long, uid long, start long, length long, ids binary")
+    return spark.createDataFrame(rows, "rid long, uid long, start long, length long, ids binary")
 
 
 def test_close_rests_share_a_shard(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_DOCS", 30)
+    monkeypatch.setattr(packing, "CELL_DOCS", 100)
     rng = np.random.default_rng(6)
     topics = np.arange(600) % 60
     rests = _rests(spark, [[*rng.integers(1000 + 40 * t, 1040 + 40 * t, 25).tolist(), *rng.integers(10, 40, 25).tolist()] for t in topics])
-    idf = {i: 3.0 if i >= 1000 else 0.1 for i in range(4000)}
-    rows, shards = packing.placed(rests, lambda: idf, 50.0)
-    shard = {r.doc_id: r.shard for r in rows.collect()}
-    assert len(shard) == 600 and set(shard.values()) <= set(range(shards)) and shards <= 40
+    idf = np.where(np.arange(4000) >= 1000, 3.0, 0.1)
+    shard = {r.rid: r.shard for r in packing.placed(rests, lambda: idf, 50.0).collect()}
+    assert len(shard) == 600 and len(set(shard.values())) <= 40
     assert max(collections.Counter(shard.values()).values()) < 60
     found = [shard[i] == shard[j] for i in range(600) for j in range(i) if topics[i] == topics[j]]
     assert np.mean(found) > 0.6  # by chance: 1/20
@@ -227,9 +254,22 @@ def test_close_rests_share_a_shard(spark, monkeypatch):
 
 def test_equal_rests_are_cut_to_bounded_shards(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_DOCS", 30)
-    rows, shards = packing.placed(_rests(spark, [[5, 6, 7]] * 300), lambda: {5: 1.0, 6: 1.0, 7: 1.0}, 3.0)
-    sizes = collections.Counter(r.shard for r in rows.collect())
-    assert sum(sizes.values()) == 300 and max(sizes.values()) < 60 and max(sizes) < shards
+    rows = packing.placed(_rests(spark, [[5, 6, 7]] * 300 + [[9, 8]] * 20), lambda: np.ones(10), 3.0).collect()
+    sizes = collections.Counter(r.shard for r in rows)
+    assert len(rows) == 320 and max(sizes.values()) < 60
+
+
+def test_one_row_repeated_is_spread(spark, monkeypatch):
+    """Rows that repeat doc_id and text share no shard beyond its bound."""
+    monkeypatch.setattr(packing, "SHARD_DOCS", 500)
+    df = spark.createDataFrame([(7, "one and the same text"), (None, None)], "doc_id long, text string").crossJoin(spark.range(10_000)).drop("id").repartition(5)
+    out = packing.pack(df, byte_bpe(), window=64).collect()
+    shards = collections.Counter(r.sequence_id >> 32 for r in out)
+    assert sum(r.length for r in out if r.doc_id == 7 and r.start == 0) >= 10_000 and max(shards.values()) < 1_500
+    fill = collections.Counter()
+    for r in out:
+        fill[r.sequence_id] += r.length
+    assert max(fill.values()) <= 64 and sum(n < 64 for n in fill.values()) <= len(shards)
 
 
 def test_rare_offensive_words_are_features(spark):
