@@ -11,8 +11,10 @@ DataFrames (``kind, position, value, rule_id``), so there may be millions:
 
 Texts are matched once per distinct value, and results return to the entries
 by a salted join, so a value that a third of all entries share is not one
-task.  The distinct inputs of the rules, with their counts, are a stage
-boundary: written once, read by every kind of rule.  First-match priority is the least position; results equal those of
+task.  Stage boundaries are written: the rules with their normalised texts,
+the distinct inputs of the rules with their counts, the keyed patterns and
+the matches of each kind.  So every plan stays small, however many kinds of
+rules there are.  First-match priority is the least position; results equal those of
 ``classify``.
 """
 
@@ -69,12 +71,13 @@ def candidates(values: DataFrame, patterns: DataFrame, task_rows: int = TASK_ROW
     keys = patterns.select("text", "rule", F.explode(own).alias("gram"))
     counts = held.join(keys.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))
-    keyed = keys.join(counts, "gram", "left").groupBy("text").agg(rarest.alias("k"), F.first("rule").alias("rule"))
-    keyed = keyed.where("k.n > 0").select("text", "rule", F.col("k.gram").alias("gram"), F.explode(F.sequence(F.lit(0), salts(F.col("k.n"), task_rows) - 1)).alias("salt"))
+    keyed = keys.join(counts, "gram", "left").groupBy("text").agg(rarest.alias("k"), F.first("rule").alias("rule")).where("k.n > 0")
+    keyed = materialize(keyed.select("text", "rule", F.col("k.gram").alias("gram"), F.col("k.n").alias("n")))
     # at most (grams of all values) / task_rows rows
-    hot = F.broadcast(counts.where(F.col("n") > task_rows).select("gram", salts(F.col("n"), task_rows).alias("salts")))
+    hot = F.broadcast(keyed.where(F.col("n") > task_rows).select("gram", salts(F.col("n"), task_rows).alias("salts")).distinct())
+    copies = keyed.select("text", "rule", "gram", F.explode(F.sequence(F.lit(0), salts(F.col("n"), task_rows) - 1)).alias("salt"))
     dealt = held.join(hot, "gram", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("value"), F.col("salts")), F.lit(0)).cast("int"))
-    return dealt.join(keyed, ["gram", "salt"]).select("value", "text", "rule")
+    return dealt.join(copies, ["gram", "salt"]).select("value", "text", "rule")
 
 
 def matching(values: DataFrame, patterns: DataFrame, at_end: bool = False, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -87,9 +90,14 @@ def _first(pairs: DataFrame, name: str) -> DataFrame:
     return pairs.groupBy("value").agg(F.min("rule").alias(name))
 
 
+def normalized_rules(rules: DataFrame) -> DataFrame:
+    """The rules with their normalised texts, written."""
+    return materialize(rules.select(*rules.columns, normalize_text(F.col("value")).alias("text")))
+
+
 def _patterns(rules: DataFrame, kind: str) -> DataFrame:
-    """(position, text, rule_id) of one kind, texts normalised."""
-    return rules.where(F.col("kind") == kind).select("position", normalize_text(F.col("value")).alias("text"), "rule_id")
+    """(position, text, rule_id) of one kind of normalised rules."""
+    return rules.where(F.col("kind") == kind).select("position", "text", "rule_id")
 
 
 def _leading(patterns: DataFrame, owner: str = "first") -> DataFrame:
@@ -118,6 +126,7 @@ def _attach(each: DataFrame, base: DataFrame, found: DataFrame, keys: list[str],
 
 def _back(df: DataFrame, rows: DataFrame, each: DataFrame, base: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
     """Every row with the result of its combination of inputs."""
+    each = materialize(each)
     spread = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]
     hot = base.where(F.col("_n") > task_rows).select(*keys, salts(F.col("_n"), task_rows).alias("_salts"))
     return salted_left_join(rows, each, keys, spread, task_rows, hot).drop(*keys)
@@ -139,6 +148,7 @@ def country_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_ROW
               "_host": F.coalesce("host", F.lit("")), "_tags": F.col("norm_tags")}
     keys = list(inputs)
     rows, base = _inputs(df, inputs)
+    rules = normalized_rules(rules)
     suffixes, keywords, tlds, tags = (_patterns(rules, k) for k in FIELDS)
     locks = rules.where("kind = 'suffix' and value != ''").select(F.lower("value").alias("text"), F.lit(True).alias("rule")).distinct()
     not_blank = F.col("text") != ""
@@ -150,8 +160,8 @@ def country_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_ROW
     }
     each = base
     for name, (hits, column) in found.items():
-        each = _attach(each, base, hits.select(F.col("value").alias(column), name), [column], task_rows)
-    by_tag = _tag_rules(base, _leading(tags), F.min("rule"))
+        each = _attach(each, base, materialize(hits.select(F.col("value").alias(column), name)), [column], task_rows)
+    by_tag = materialize(_tag_rules(base, _leading(tags), F.min("rule")))
     each = _attach(each, base, by_tag.withColumnRenamed("found", "by_tag"), ["_tags"], task_rows)
     # a suffix that normalises to nothing ends every tvg-id
     blank = _leading(suffixes.where(~not_blank), "last").agg(F.min("rule")).scalar()
@@ -166,6 +176,7 @@ def categories_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_
     name, group and tvg-name or one of the tags; ['general'] when none."""
     inputs = {"_text": F.concat_ws(" ", "norm_name", "norm_group", "norm_tvg_name"), "_tags": F.col("norm_tags")}
     rows, base = _inputs(df, inputs)
+    rules = normalized_rules(rules)
 
     def owners(patterns: DataFrame) -> DataFrame:
         return patterns.groupBy("text").agg(F.collect_set("rule_id").alias("rule"))
@@ -173,8 +184,8 @@ def categories_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_
     keywords, tags = _patterns(rules, "keyword"), _patterns(rules, "tag")
     pairs = matching(_distinct(base, F.col("_text")), owners(keywords.where("text != ''")), False, task_rows)
     ids = pairs.select("value", F.explode("rule").alias("id")).distinct()
-    by_text = ids.groupBy(F.col("value").alias("_text")).agg(F.collect_list("id").alias("by_text"))
-    by_tag = _tag_rules(base, owners(tags.where("text != ''")), F.flatten(F.collect_set("rule"))).withColumnRenamed("found", "by_tag")
+    by_text = materialize(ids.groupBy(F.col("value").alias("_text")).agg(F.collect_list("id").alias("by_text")))
+    by_tag = materialize(_tag_rules(base, owners(tags.where("text != ''")), F.flatten(F.collect_set("rule")))).withColumnRenamed("found", "by_tag")
     each = _attach(_attach(base, base, by_text, ["_text"], task_rows), base, by_tag, ["_tags"], task_rows)
     none = _no_grams()
     found = F.array_sort(F.array_distinct(F.concat(F.coalesce("by_text", none), F.coalesce("by_tag", none))))
@@ -195,7 +206,7 @@ def content_filter_by_table(df: DataFrame, keywords: DataFrame, task_rows: int =
     rows, base = _inputs(df, {"_name": F.col("norm_name"), "_group": F.col("norm_group")})
     values = base.select(F.explode(F.array("_name", "_group")).alias("value")).where("value != ''").distinct()
     texts = keywords.where("kind = 'keyword'").select(F.col("value").alias("text"), F.lit(True).alias("rule")).distinct()
-    hits = matching(values, texts.where("text != ''"), False, task_rows).select("value").distinct()
+    hits = materialize(matching(values, texts.where("text != ''"), False, task_rows).select("value").distinct())
     each = base
     for column in ("_name", "_group"):
         each = _attach(each, base, hits.select(F.col("value").alias(column), F.lit(True).alias(f"hit{column}")), [column], task_rows)

@@ -71,7 +71,7 @@ def test_hundred_thousand_rules(spark):
             want[t] = best
     rules = spark.createDataFrame([("keyword", i, k, f"r{i}") for i, k in enumerate(keywords)], RT.SCHEMA)
     values = spark.createDataFrame([(t,) for t in set(texts)], "value string")
-    pairs = RT.matching(values, RT._leading(RT._patterns(rules, "keyword")), task_rows=50)
+    pairs = RT.matching(values, RT._leading(RT._patterns(RT.normalized_rules(rules), "keyword")), task_rows=50)
     assert {r.value: r.best.p for r in RT._first(pairs, "best").collect()} == want
 
 
