@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from chanloom.llm.bpe import LETTER, char_classes
 from chanloom.llm.common import materialize, offsets, ranges, text_batches, text_of
-from chanloom.llm.quality_kn import BROADCAST_IDS
 from chanloom.llm.strings import codepoints, mix, piece_hashes, word_spans
 
+#: Labelled ids are broadcast up to this number of rows, joined by a shuffle beyond.
+BROADCAST_IDS = 2_000_000
 PREFIXES = (4, 5, 6)
 SAMPLE = 6_000
 LEAST_POSITIVE = 4

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -114,11 +115,16 @@ def test_signatures_estimate_jaccard():
 
 def _kneser_ney(words, order=5):
     """Direct interpolated modified Kneser-Ney over padded words."""
-    counts = [None] * (order + 1)
-    counts[order] = collections.Counter()
+    grams = collections.Counter()
     for w in words:
         s = "\x02" * (order - 1) + w + "\x03"
-        counts[order].update(s[i: i + order] for i in range(len(s) - order + 1))
+        grams.update(s[i: i + order] for i in range(len(s) - order + 1))
+    return grams, _direct(grams, order)
+
+
+def _direct(grams, order=5):
+    counts = [None] * (order + 1)
+    counts[order] = grams
     for k in range(order - 1, 0, -1):
         counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
 
@@ -141,7 +147,7 @@ def _kneser_ney(words, order=5):
         total = sum(row.values())
         return max(c.get(g, 0) - (cut(c[g]) if g in c else 0), 0) / total + sum(map(cut, row.values())) / total * p(g[1:])
 
-    return counts[order], p
+    return p
 
 
 def test_gram_probabilities_equal_a_direct_model(spark):
@@ -155,13 +161,67 @@ def test_gram_probabilities_equal_a_direct_model(spark):
         assert math.isclose(math.exp(r.logp), p(r.g), rel_tol=1e-9), r.g
 
 
-def test_word_grams_with_repeats():
-    grams, at, which, doc = quality_kn.word_grams(["ab ab  c", "", "\x02 ab"])
-    tokens = [["".join(map(chr, g)) for g in grams[at[w]: at[w + 1]]] for w in which]
-    assert doc.tolist() == [0, 0, 0, 2, 2]
-    assert tokens[0] == ["\x02\x02\x02\x02a", "\x02\x02\x02ab", "\x02\x02ab\x03"]
-    assert tokens[1] == ["\x02\x02\x02\x02\x04"]
-    assert tokens[3] == ["\x02\x02\x02\x02�", "\x02\x02\x02�\x03"]
+def test_symbols_with_repeats():
+    stream, places, doc, repeated, fresh = quality_kn.symbol_stream(["ab ab  c", "", "\x02 ab", "漢a"])
+    grams = ["".join(chr(stream[p - 4 + k]) for k in range(5)) for p in places]
+    assert grams[:5] == ["\x02\x02\x02\x02a", "\x02\x02\x02ab", "\x02\x02ab\x03", "\x03ab\x03c", "ab\x03c\x03"]
+    assert doc.tolist() == [0] * 5 + [2] * 5 + [3] * 3 and grams[5] == "\x02\x02\x02\x02\ufffd"
+    assert repeated.tolist() == [1, 0, 0, 0] and fresh.tolist() == [1, 0, 1, 0]
+    keys, wide = quality_kn.gram_keys(quality_kn._columns(stream, places))
+    assert len(set(keys.tolist())) == len(set(grams)) and wide.tolist() == [any(ord(c) >= 4096 for c in g) for g in grams]
+    held = quality_kn._Counter()
+    for _ in range(3):
+        held.add(["ab ab  c", "", "\x02 ab", "漢a"])
+    strings, counts = held.flush()
+    want = collections.Counter({g: 3 * n for g, n in collections.Counter(grams).items()})
+    want.update({"\x02\x02\x02\x02\x04": 3, "\x02\x02\x02\x02\x05": 6})
+    assert dict(zip(strings, counts.tolist())) == want
+
+
+def _symbols(text):
+    """A document's predictions by the definition: (context, symbol) pairs."""
+    words = [w for w in re.split("[\x20\x09-\x0D]+", text) if w]
+    out, before, seen = [], "\x02" * 4, set()
+    for i, w in enumerate(words):
+        w = "".join("\ufffd" if ord(c) <= 5 else c for c in w)
+        phrase = tuple(words[i - 3: i + 1]) if i >= 3 else None
+        repeats = (i > 0 and words[i - 1] == words[i]) or phrase in seen
+        seen |= {phrase} - {None}
+        if repeats:
+            out.append("\x02\x02\x02\x02\x04")
+        elif i:
+            out.append("\x02\x02\x02\x02\x05")
+        for c in w + "\x03":
+            if not repeats:
+                out.append(before[-4:] + c)
+            before += c
+    return out
+
+
+def test_quality_equals_a_direct_model(spark, tmp_path):
+    """Perplexity, threshold and verdict of the whole operator."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdeé漢") for _ in range(rng.randint(1, 4))) for _ in range(25)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 14))), rng.choice(["x", "y", None])) for i in range(90)]
+    rows += [(90 + i, "zz qq " * 9, "x") for i in range(3)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    good = [i for i in range(90) if i % 4]
+    fold = {r.doc_id: r.f for r in docs.selectExpr("doc_id", "pmod(xxhash64(cast(doc_id as string)), 5) f").collect()}
+    grams = collections.Counter(g for i, t, _ in rows if i in good and fold[i] for g in _symbols(t))
+    p = _direct(grams)
+    scored = {i: (sum(math.log(p(g)) for g in _symbols(t)), sum(g[-1] != "\x05" or g[0] != "\x02" for g in _symbols(t))) for i, t, _ in rows}
+    cal = [i for i in good if not fold[i]]
+    spoken = [i for i in cal if scored[i][1]]
+    mu = -sum(scored[i][0] for i in spoken) / sum(scored[i][1] for i in spoken)
+    perplexity = {i: math.exp((-s + 60 * mu) / (n + 60)) for i, (s, n) in scored.items()}
+    limit = sorted(perplexity[i] for i in cal)[max(0, math.ceil(0.995 * len(cal)) - 1)] * 1.1
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    for r in quality_kn.quality(docs, labels).collect():
+        assert r.n_symbols == scored[r.doc_id][1]
+        assert math.isclose(r.perplexity, perplexity[r.doc_id], rel_tol=1e-5)
+        assert math.isclose(r.threshold, limit, rel_tol=1e-5) and r.kept == (r.perplexity <= r.threshold)
 
 
 def test_quality_sees_word_order_and_returning_phrases(spark, tmp_path):
