@@ -133,17 +133,22 @@ def _leading(idf_of, mean: float):
             place = np.arange(len(doc)) - first[doc]
             kept = order[place < TERMS]
             ends = offsets(np.bincount(doc[kept], minlength=len(docs)))
-            raw = token[kept].astype("<u4").tobytes()
-            terms = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer((4 * ends).astype("<i4").tobytes()), pa.py_buffer(raw)])
+            raw = token[kept].astype(_kind(idf)).tobytes()
+            terms = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer((_kind(idf).itemsize * ends).astype("<i4").tobytes()), pa.py_buffer(raw)])
             yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array(np.ones(len(docs), np.int64)), terms], ["rid", "path", "terms"])
 
     return run
 
 
-def _terms(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def _kind(idf: np.ndarray) -> np.dtype:
+    """How terms are stored."""
+    return np.dtype("<u2" if len(idf) <= 1 << 16 else "<u4")
+
+
+def _terms(column: pa.ChunkedArray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """(document, token) of the terms of many rests."""
     raws = column.to_pylist()
-    return np.repeat(np.arange(len(raws)), [len(r) // 4 for r in raws]), np.frombuffer(b"".join(raws), "<u4").astype(np.int64)
+    return np.repeat(np.arange(len(raws)), [len(r) // kind.itemsize for r in raws]), np.frombuffer(b"".join(raws), kind).astype(np.int64)
 
 
 class Pivots:
@@ -151,13 +156,12 @@ class Pivots:
     close pivots, so that neighbouring numbers are close too."""
 
     def __init__(self, column: pa.ChunkedArray, idf: np.ndarray):
-        self.n = len(column)
-        owner, token = _terms(column)
+        self.n, self.idf = len(column), idf
+        owner, token = _terms(column, _kind(idf))
         order = np.argsort(token, kind="stable")
         self.owner = owner[order]
         self.tokens, first = np.unique(token[order], return_index=True)
         self.begin = np.append(first, len(token))
-        self.idf = idf
         close = self.scores(column)
         chain, left = [0], np.ones(self.n, bool)
         left[0] = False
@@ -169,7 +173,7 @@ class Pivots:
         self.owner = number[self.owner]
 
     def scores(self, column: pa.ChunkedArray) -> np.ndarray:
-        doc, token = _terms(column)
+        doc, token = _terms(column, _kind(self.idf))
         at = np.minimum(np.searchsorted(self.tokens, token), len(self.tokens) - 1)
         known = self.tokens[at] == token
         doc, at = doc[known], at[known]
@@ -238,7 +242,8 @@ def placed(rests: DataFrame, idf_of, mean: float) -> DataFrame:
     """(rid, shard) of every rest."""
     rows = materialize(rests.select("rid", "length", "ids").mapInArrow(tidy(_leading(idf_of, mean)), "rid long, path long, terms binary"), "leading")
     for level in range(LEVELS):
-        large = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_DOCS)
+        # written, so that the planner knows how small it is
+        large = materialize(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_DOCS), "large")
         if large.isEmpty():
             break
         rows = materialize(_split(rows, large, level, idf_of), "placed")
