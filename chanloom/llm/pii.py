@@ -17,8 +17,10 @@ are scanned where they are stored and only short spans are shuffled.
 Possessive repeats keep every pattern linear and free of deep recursion on
 long texts.
 
-Defined cases: a null text is empty; rows that repeat doc_id and text get
-the same result each; a table without candidates has no spans.
+Defined cases: a null text is empty; whole texts are searched, however long;
+rows that repeat doc_id and text get the same result each; a table without
+candidates has no spans, an empty one gives no rows; other columns of the
+input play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,8 +51,13 @@ LOOSE_PATTERNS = {
 #: What a text must contain before a pattern is tried.
 TRIGGER = {"email": "@", "ip": ".", "card": None, "phone": None, "secret": None}
 OCTET = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
-#: Gazetteers: common ends of mail domains, issuer digits, calling codes.
-MAIL_ENDS = ["com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "eu", "info"]
+#: Gazetteers, as fixed values: ends of mail domains, issuer prefixes of card
+#: numbers, reserved address blocks, assigned calling codes.
+MAIL_ENDS = """com org net edu gov mil int io co info biz name dev app eu ar at au be bg br by ca ch cl cn cz de dk ee es fi fr gr hk hr hu id ie il in is it
+jp kr lt lu lv mx my nl no nz pe ph pl pt ro rs ru se sg si sk th tr tw ua uk us vn za""".split()
+ISSUERS = r"^(?:4|5[1-5]|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)|3[47]|6(?:011|4[4-9]|5)|35(?:2[89]|[3-8])|3(?:0[0-5]|[689])|62)"
+RESERVED = r"^0*(?:0|10|127|2(?:2[4-9]|[345][0-9])|192\.0*168|169\.0*254|172\.0*(?:1[6-9]|2[0-9]|3[01]))\."
+CALLING = r"^\+(?:1|7|2(?:0|7|[1-689][0-9])|3(?:[0-469]|[578][0-9])|4(?:[013-9]|2[013])|5(?:[1-8]|0[0-9]|9[0-9])|6(?:[0-6]|[7-9][0-9])|8(?:[1246]|5[0-9]|80)|9(?:[0-58]|[679][0-9]))"
 CONTEXT = {
     "email": r"(?i)\b(?:e-?mail|contact|write|reach|correo|courriel|adresse)\b",
     "ip": r"(?i)\b(?:ip|host|server|address|addr|login)\b",
@@ -62,7 +69,9 @@ LABELERS = ["v_pattern", "v_check", "v_gazetteer", "v_context", "v_boundary"]
 FEATURES = ["f_size", "f_digits", "f_first", "f_context", "f_before", "f_after", "f_check"]
 ROUNDS = 12
 ACCEPT = 0.9
-NEAR = 24
+#: Code points of context on each side of a span (up to the match beyond the
+#: nearest one).
+NEAR = 80
 
 
 def _luhn(digits: Column) -> Column:
@@ -92,10 +101,17 @@ def matches(rows: DataFrame) -> DataFrame:
             gaps = F.when(F.size(spans) > 0, F.split("text", pattern, -1))
             found.append(F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), spans.alias("spans"), gaps.alias("gaps")))
     hits = rows.where(F.col("text").rlike("[0-9@]")).select(*KEY, F.explode(F.array(*found)).alias("m")).where(F.size("m.spans") > 0)
-    hits = hits.select(*KEY, "m.kind", "m.base", F.posexplode(F.arrays_zip(F.col("m.spans").alias("span"), F.col("m.gaps").alias("gap"), F.slice("m.gaps", 2, F.size("m.spans")).alias("next"))).alias("pos", "s"))
+    none = F.array(F.lit(""))
+    spans, gaps, n = F.col("m.spans"), F.col("m.gaps"), F.size("m.spans")
+    # each span with the gap on each side, the spans beside those and the gaps beyond
+    hits = hits.select(*KEY, "m.kind", "m.base", F.posexplode(F.arrays_zip(
+        spans.alias("span"), gaps.alias("gap"), F.slice(gaps, 2, n).alias("next"), F.concat(none, spans).alias("span_0"), F.concat(none, gaps).alias("gap_0"),
+        F.concat(F.slice(spans, 2, n), none).alias("span_2"), F.concat(F.slice(gaps, 3, n), none).alias("gap_2"))).alias("pos", "s"))
     hits = hits.where(F.col("s.span").isNotNull())
+    wide = F.lit(NEAR)
     hits = hits.select(*KEY, "kind", "base", "pos", F.col("s.span").alias("span"), F.length("s.gap").cast("long").alias("skip"),
-                       F.right("s.gap", F.lit(NEAR)).alias("before"), F.left("s.next", F.lit(1)).alias("after"))
+                       F.right(F.concat(F.right("s.gap_0", wide), F.right("s.span_0", wide), F.right("s.gap", wide)), wide).alias("before"),
+                       F.left(F.concat(F.left("s.next", wide), F.left("s.span_2", wide), F.left("s.gap_2", wide)), wide).alias("after"))
     hits = hits.dropDuplicates([*KEY, "kind", "base", "pos"])
     run = Window.partitionBy(*KEY, "kind", "base").orderBy("pos")
     size = F.length("span").cast("long")
@@ -110,13 +126,14 @@ def votes(hits: DataFrame) -> DataFrame:
     digits = F.length(F.regexp_replace(span, "[^0-9]", ""))
     context = F.lit(False)
     for k, words in CONTEXT.items():
-        context = F.when(kind == k, F.col("before").rlike(words)).otherwise(context)
+        context = F.when(kind == k, F.col("before").rlike(words) | F.coalesce(F.col("after"), F.lit("")).rlike(words)).otherwise(context)
     listed = (F.when(kind == "email", vote(F.lower(F.substring_index(span, ".", -1)).isin(MAIL_ENDS)))
-              .when(kind == "card", vote(span.rlike("^[3-6]")))
-              .when(kind == "ip", vote(~span.rlike(r"^0*(?:0|127|255)\.")))
-              .when(kind == "phone", vote(span.rlike(r"^\+(?:1|[2-9])")))
+              .when(kind == "card", vote(F.regexp_replace(span, "[^0-9]", "").rlike(ISSUERS)))
+              .when(kind == "ip", vote(~span.rlike(RESERVED)))
+              .when(kind == "phone", vote(span.rlike(CALLING)))
               .otherwise(F.lit(-1)))
-    alone = ~F.right("before", F.lit(1)).rlike("[0-9A-Za-z]") & ~F.coalesce(F.col("after"), F.lit("")).rlike("[0-9A-Za-z]")
+    behind = F.left(F.coalesce(F.col("after"), F.lit("")), F.lit(1))
+    alone = ~F.right("before", F.lit(1)).rlike("[0-9A-Za-z]") & ~behind.rlike("[0-9A-Za-z]")
     rows = hits.withColumn("valid", F.coalesce(_valid(kind, span), F.lit(False)))
     rows = rows.withColumn("is_base", F.col("base") & F.col("valid"))
     rows = rows.withColumns({
@@ -134,7 +151,7 @@ def votes(hits: DataFrame) -> DataFrame:
         "f_first": named(F.when(F.left(span, F.lit(1)).rlike("[0-9]"), "digit").when(F.left(span, F.lit(1)).rlike("[A-Za-z]"), "letter").otherwise("other")),
         "f_context": named(context),
         "f_before": named(edge(F.right("before", F.lit(1)))),
-        "f_after": named(edge(F.coalesce(F.col("after"), F.lit("")))),
+        "f_after": named(edge(behind)),
         "f_check": named(F.col("valid")),
     })
 
