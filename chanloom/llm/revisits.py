@@ -7,14 +7,16 @@ headers as the revisit's permitted ones update them.
 The as-of join runs on narrow rows in two levels: windows inside (URL, time
 bucket), and a window over one summary row per bucket that carries the last
 response into the next buckets.  A URL with a third of all captures is so
-spread over its buckets.  Bodies are never moved; their digests are.
+spread over its buckets: days, or minutes of a day that has too many of them,
+or seconds of such a minute.  Bodies are never moved; their digests are.
 
 Defined cases: a revisit without URL or date, or without an earlier
 response, is ``no_response``; responses of one URL and moment count as the
 one with the greatest record_id; a response at the revisit's own moment is
 not earlier; header names compare in lower case, and null headers are none.
 An empty table gives an empty result.  Revisits keep their rows: repeated
-ones are resolved alike.
+ones are resolved alike.  Other columns of the input play no part, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ PERMITTED = ["age", "cache-control", "content-location", "date", "etag", "expire
 #: fixed values: statuses of a full response
 FULL = [200, 203]
 BUCKET_SECONDS = 86_400
+#: Captures of one URL that one window may sort, and the finer ranges that a
+#: fuller one is cut into.
+BUCKET_ROWS = 100_000
+FINER = (60, 1)
 TRACKING = r"[?&](?:utm_[A-Za-z]+|gclid|fbclid)=[^&]*"
 
 
@@ -55,7 +61,21 @@ def _strong(etag: Column) -> Column:
     return F.regexp_replace(etag, "^W/", "")
 
 
-def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def _bucketed(rows: DataFrame, seconds: int, limit: int) -> DataFrame:
+    """``rows`` with ``bucket``: the first second of their time range.  A
+    range in which a URL has more than ``limit`` rows is cut into minutes,
+    such a minute into seconds.  At most (rows / ``limit``) ranges are
+    broadcast."""
+    rows = rows.withColumn("bucket", F.floor(F.col("ts") / seconds) * seconds)
+    for finer in [w for w in FINER if w < seconds]:
+        placed = rows.where("url_key is not null and ts is not null")
+        full = placed.groupBy("url_key", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("url_key", "bucket", F.lit(True).alias("full__"))
+        rows = rows.join(F.broadcast(full), ["url_key", "bucket"], "left")
+        rows = rows.withColumn("bucket", F.when(F.col("full__"), F.floor(F.col("ts") / finer) * finer).otherwise(F.col("bucket"))).drop("full__")
+    return rows
+
+
+def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """In: record_id, type, url, ts (seconds), status, headers (map),
     payload_digest.  Out, one row per revisit: record_id, url_key, ts, state
     (resolved, mismatch, no_validator or no_response), response_id,
@@ -64,7 +84,8 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
         "record_id", "type", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "status", _entries(F.col("headers")).alias("fields"), "payload_digest")
     full = (F.col("type") == "response") & F.col("status").isin(FULL) & F.col("url_key").isNotNull() & F.col("ts").isNotNull()
     revisit = F.col("type") == "revisit"
-    rows = rows.where(full | revisit).withColumn("bucket", F.floor(F.col("ts") / bucket_seconds))
+    rows = rows.where(full | revisit)
+    rows = _bucketed(rows, bucket_seconds, bucket_rows)
     stored = F.when(~revisit, F.struct("ts", "record_id", "fields", "payload_digest"))
     placed = rows.where("url_key is not null and ts is not null")
     own = Window.partitionBy("url_key", "bucket").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)

@@ -196,3 +196,19 @@ def test_sampling_of_repeated_neighbours_is_linear(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 3_000 and out.distinct().count() == 2
     assert "NestedLoop" not in plan
+
+
+def test_revisits_of_a_hot_url_in_one_hour(spark):
+    """All captures of one URL in an hour: any cut gives the same rows, and no
+    window holds more than a second of them."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"{i:05}", "response" if i % 3 else "revisit", "http://h/x" if i % 4 else "http://h/y", 1_700_000_000 + (i * 37) % 3_600, 200, {"ETag": f"e{i % 5}", "Date": str(i)}, f"d{i % 5}", "clash", 1)
+            for i in range(4_000)]
+    records = spark.createDataFrame(rows, "record_id string, type string, url string, ts long, status int, headers map<string,string>, payload_digest string, bucket string, url_key int")
+    whole = sorted(map(tuple, revisits.resolve_revisits(records).collect()))
+    assert whole == sorted(map(tuple, revisits.resolve_revisits(records, bucket_rows=100).collect()))
+    assert whole == sorted(map(tuple, revisits.resolve_revisits(records, bucket_rows=3).collect()))
+    keyed = records.select(F.col("url").alias("url_key"), "ts")
+    sizes = revisits._bucketed(keyed, 86_400, 100).groupBy("url_key", "bucket").count().agg(F.max("count")).first()[0]
+    assert sizes <= 100
