@@ -401,10 +401,16 @@ def gram_log_probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
     return materialize(below.select(F.col("s").alias("g"), F.log("q").alias("logp")), "logp")
 
 
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The distinct ids that ``labels`` marks with quality 1, written, so that
+    the planner broadcasts them only if they are small."""
+    return materialize(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "trusted")
+
+
 def _trusted(rows: DataFrame, trusted: DataFrame, key: str, held_out: bool, folds: int = 5) -> DataFrame:
-    """The rows whose ``key`` is trusted: those held out from the counts, or
-    those counted."""
-    ids = trusted.select(F.col(trusted.columns[0]).alias("id__")).where("id__ is not null").distinct()
+    """The rows whose ``key`` is in ``trusted`` (distinct ids): those held out
+    from the counts, or those counted."""
+    ids = trusted.select(F.col(trusted.columns[0]).alias("id__"))
     fold = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(folds)) == 0
     return rows.where(fold if held_out else ~fold).join(ids, F.col(key) == F.col("id__"), "left_semi")
 
@@ -451,14 +457,14 @@ def classify(scored: DataFrame, trusted: DataFrame, lang: str = "lang", key: str
 def quality(docs: DataFrame, labels: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, lang, symbols, perplexity, threshold, kept.
     Trusted text: the documents that ``labels`` marks with quality 1."""
-    trusted = labels.where("quality = 1").select(F.col("doc_id"))
+    trusted = trusted_ids(labels)
     scored = materialize(score(docs, trusted, [key, lang], text, key), "scores")
     return classify(scored, trusted, lang, key).select(key, lang, F.col("symbols__").alias("n_symbols"), "perplexity", "threshold", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with their columns."""
-    trusted = labels.where("quality = 1").select("doc_id")
+    trusted = trusted_ids(labels)
     rows = docs.select(F.struct("*").alias("row__"), "doc_id", "lang", "text")
     scored = materialize(score(rows, trusted, ["row__", "doc_id", "lang"]), "scored")
     return classify(scored, trusted).where("kept").select("row__.*")
