@@ -52,7 +52,7 @@ PHRASE = 4
 #: Code points of one chunk (a longer document is a chunk of its own).
 CHUNK_CHARS = 32_000_000
 #: Code points that numpy handles at once.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
 #: Keys that a task holds apart before it merges them.
 MERGE_KEYS = 1_000_000
 #: Bits of a code point in the key of a gram.
@@ -75,18 +75,16 @@ REPEAT_GRAM, NEW_GRAM = [START] * (ORDER - 1) + [REPEAT], [START] * (ORDER - 1)
 
 def gram_keys(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of grams given as one array per place, and which are hashed."""
-    columns = [c.astype(np.uint64) for c in columns]
-    key = columns[0].copy()
-    top = columns[0].copy()
-    for c in columns[1:]:
+    key = np.zeros(len(columns[0]), np.uint64)
+    wide = np.zeros(len(key), bool)
+    for c in columns:
         key <<= np.uint64(NARROW)
-        key |= c
-        top |= c
-    wide = top >= np.uint64(1 << NARROW)
+        key |= c.astype(np.uint64)
+        wide |= c >= 1 << NARROW
     if wide.any():
         h = np.zeros(int(wide.sum()), np.uint64)
         for c in columns:
-            h = mix(h ^ (c[wide] << np.uint64(1)))
+            h = mix(h ^ (c[wide].astype(np.uint64) << np.uint64(1)))
         key[wide] = h | HASHED
     return key, wide
 
