@@ -38,7 +38,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,8 @@ BATCH_CHARS = 500_000
 MERGE_KEYS = 1_000_000
 #: Bits of a code point in the key of a gram.
 NARROW = 12
+#: Digits of a log probability on its way to the chunk that asked.
+DIGITS = 8
 HASHED = np.uint64(1) << np.uint64(63)
 
 
@@ -64,11 +66,6 @@ def _as_strings(grams: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(grams, dtype=np.uint32).view(f"<U{ORDER}").ravel()
 
 
-def _as_grams(strings) -> np.ndarray:
-    wide = np.asarray(strings, dtype=f"<U{ORDER}")
-    return np.frombuffer(wide.tobytes(), dtype=np.uint32).reshape(len(wide), ORDER)
-
-
 #: The grams that mark a word which repeats, and one that does not.
 REPEAT_GRAM, NEW_GRAM = [START] * (ORDER - 1) + [REPEAT], [START] * (ORDER - 1) + [NEW]
 
@@ -238,7 +235,7 @@ def _pack(batch: pa.RecordBatch) -> bytes:
     sink = io.BytesIO()
     with pa.ipc.new_stream(sink, batch.schema) as writer:
         writer.write_batch(batch)
-    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+    return zstandard.ZstdCompressor(level=6).compress(sink.getvalue())
 
 
 def _unpack(payload: bytes) -> pa.Table:
@@ -342,12 +339,26 @@ def score_texts(texts: list[str], keys: np.ndarray, logs: np.ndarray) -> tuple[n
     return total, np.bincount(doc, minlength=len(texts)) + repeated
 
 
+def answer(g: Column, logp: Column) -> Column:
+    """A gram and its log probability as one short text (to 1e-6)."""
+    places = F.least(F.round(-logp * 1_000_000), F.lit(10 ** DIGITS - 1)).cast("long").cast("string")
+    return F.concat(g, F.lpad(places, DIGITS, "0"))
+
+
+def _answers(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and log probabilities of answers."""
+    if not strings:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    wide = np.asarray(strings, dtype=f"<U{ORDER + DIGITS}")
+    codes = np.frombuffer(wide.tobytes(), dtype=np.uint32).reshape(len(wide), ORDER + DIGITS)
+    logs = -1e-6 * (codes[:, ORDER:].astype(np.int64) - 48) @ (10 ** np.arange(DIGITS - 1, -1, -1))
+    return gram_keys(list(codes[:, :ORDER].T))[0], logs
+
+
 def _scored(batches):
     for batch in batches:
         for r in range(batch.num_rows):
-            strings = batch.column("gs")[r].values
-            keys = gram_keys(list(_as_grams(strings.to_pylist()).T))[0] if len(strings) else np.zeros(0, np.uint64)
-            logs = batch.column("ls")[r].values.to_numpy(zero_copy_only=False).astype(np.float64)
+            keys, logs = _answers(batch.column("answers")[r].values.to_pylist())
             order = np.argsort(keys)
             keys, logs = keys[order], logs[order]
             for payload in batch.column("rows")[r].values:
@@ -420,9 +431,9 @@ def score(docs: DataFrame, trusted: DataFrame, columns: list[str], text: str = "
     counts = materialize(count_grams(_trusted(rows, trusted, key, False).select(F.col("text__").alias("text"))), "grams")
     asked = materialize(rows.select("text__").mapInArrow(tidy(_asked), "chunk long, g string"), "asked")
     answers = asked.join(gram_log_probabilities(counts, asked), "g")
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("g", F.col("logp").cast("float").alias("logp"))).alias("a")).select("chunk", F.col("a.g").alias("gs"), F.col("a.logp").alias("ls"))
+    answers = answers.groupBy("chunk").agg(F.collect_list(answer(F.col("g"), F.col("logp"))).alias("answers"))
     packed = rows.mapInArrow(tidy(_packed), "chunk long, rows array<binary>")
-    both = packed.join(answers, "chunk", "left").select("rows", F.coalesce("gs", F.array().cast("array<string>")).alias("gs"), F.coalesce("ls", F.array().cast("array<float>")).alias("ls"))
+    both = packed.join(answers, "chunk", "left").select("rows", F.coalesce("answers", F.array().cast("array<string>")).alias("answers"))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "text__"] + [T.StructField("logp__", T.DoubleType()), T.StructField("symbols__", T.LongType())])
     return both.mapInArrow(tidy(_scored), schema)
 
