@@ -18,7 +18,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--profile", default=None, help="profile JSON (limits, tiers, rules)")
     b.add_argument("--overrides", default=None, help="overrides JSON")
     b.add_argument("--samples", default=None, help="captured HTTP samples (Parquet)")
-    b.add_argument("--output", required=True, help="output folder")
+    b.add_argument("--manifest", default=None, help="folder of the log of landed files, kept from build to build")
+    b.add_argument("--output", required=True, help="output folder (versions; the last commit is live)")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -28,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.getActiveSession() or get_spark()
     res = run_build(spark, args.landing, args.sources, args.profile, args.overrides, args.samples,
-                    args.output)
+                    args.output, manifest_dir=args.manifest)
     print(json.dumps({r["stat"]: r["value"] for r in res.stats.collect()}, indent=2))
     return 0
 

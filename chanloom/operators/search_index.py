@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 from .search import haystack, search_predicate
 
 GRAM = 3
+#: Stated, so that partition values keep their text ("01" is no number).
+CHANNELS = ("rank long, name string, url string, source_name string, source_weight int, source_tags array<string>, group_title string, country string, "
+            "categories array<string>, alive boolean, status_code int, latency_ms int, check_error string, check_level int, tier string, score double, "
+            "tvg_id string, tvg_name string, tvg_logo string")
+POSTINGS = "gram string, rank long, country string, tier string"
+
+
+def read_channels(spark: SparkSession, folder: str) -> DataFrame:
+    """The published table of an output folder."""
+    return spark.read.schema(CHANNELS).parquet(f"{folder}/channels.parquet")
 
 
 def postings(channels: DataFrame) -> DataFrame:
@@ -41,11 +51,11 @@ def _in(df: DataFrame, country: str | None, tier: str | None) -> DataFrame:
 def catalogue_search(spark: SparkSession, folder: str, text: str | None = None, country: str | None = None,
                      category: str | None = None, tier: str | None = None) -> DataFrame:
     """``search.catalogue_search`` over an output folder, by its index."""
-    channels = _in(spark.read.parquet(f"{folder}/channels.parquet"), country, tier)
+    channels = _in(read_channels(spark, folder), country, tier)
     asked = (text or "").strip().lower()
     if len(asked) >= GRAM:
         grams = sorted({asked[i: i + GRAM] for i in range(len(asked) - GRAM + 1)})
-        found = _in(spark.read.parquet(f"{folder}/channels.index"), country, tier).where(F.col("gram").isin(grams))
+        found = _in(spark.read.schema(POSTINGS).parquet(f"{folder}/channels.index"), country, tier).where(F.col("gram").isin(grams))
         whole = found.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(grams)).select("rank")
         channels = channels.join(whole, "rank", "left_semi")
     return channels.where(search_predicate(text, country, category, tier))

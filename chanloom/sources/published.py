@@ -6,17 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import tiers as T
+from ..operators.search_index import read_channels  # noqa: F401  (the published table)
 
 #: Where a playlist's parts are, and the name it has.
 PARTS = r"/(all|by-category-all|by-country-all)\.m3u\.parts/[^/]+$"
 FOLDERS = r"/(by-country|by-category)/(?:country|category)=([^/]*)/[^/]+$"
 
 
-def read_channels(spark: SparkSession, folder: str) -> DataFrame:
-    """The published table (partitioned by country and tier)."""
-    return spark.read.parquet(f"{folder}/channels.parquet")
-
-
 def read_playlists(spark: SparkSession, folder: str) -> DataFrame:
     """(playlist, line_no, line): every line of every playlist of one output
     folder, in order.  Part files are read in blocks and numbered by their
