@@ -246,7 +246,7 @@ def test_oracles(spark):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     for name, sql in queries.ORACLE.items():
         rel = con.sql(sql)
