@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanloom.llm.bpe import BATCH_CHARS, encode_texts
+from chanloom.llm.bpe import encode_texts
 from chanloom.llm.common import groups_of, materialize, offsets, ranges, text_batches, text_of, tidy
 from chanloom.operators.skew import salted_left_join
 
@@ -50,8 +50,9 @@ TERMS = 96
 LEVELS = 5
 #: Rests of a group that one task compares with its pivots.
 CELL_DOCS = 8_192
-#: Rests whose numpy temporaries are held at once.
-BATCH_RESTS = 2_000
+#: Code points and rests whose numpy temporaries are held at once.
+BATCH_CHARS = 400_000
+BATCH_RESTS = 1_000
 #: A term in more than 1 / FREQUENT of a shard's documents is a matrix column.
 FREQUENT = 8
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
