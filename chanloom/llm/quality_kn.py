@@ -235,7 +235,7 @@ def _pack(batch: pa.RecordBatch) -> bytes:
     sink = io.BytesIO()
     with pa.ipc.new_stream(sink, batch.schema) as writer:
         writer.write_batch(batch)
-    return zstandard.ZstdCompressor(level=6).compress(sink.getvalue())
+    return zstandard.ZstdCompressor(level=9).compress(sink.getvalue())
 
 
 def _unpack(payload: bytes) -> pa.Table:
@@ -398,12 +398,12 @@ def gram_log_probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         grams = tables[k].select("g", (F.col("c") - cut).alias("top"))
         contexts = tables[k].groupBy(F.substring("g", 1, k - 1).alias("h")).agg(F.sum("c").alias("total"), F.sum(cut).alias("mass"))
-        want = wanted[k].select("g", F.substring("g", 1, k - 1).alias("h"), F.substring("g", 2, k - 1).alias("s"))
-        joined = want.join(grams, "g", "left").join(contexts, "h", "left")
+        # rows carry the gram only; its context and its end are cut from it where they are joined
+        joined = wanted[k].select("g").join(grams, "g", "left").join(contexts, F.substring("g", 1, k - 1) == F.col("h"), "left").drop("h")
         if below is None:
             joined = joined.withColumn("q", F.lit(1.0 / (symbols + 1)))
         else:
-            joined = joined.join(below, "s", "left")
+            joined = joined.join(below, F.substring("g", 2, k - 1) == F.col("s"), "left").drop("s")
         own = F.coalesce(F.greatest(F.col("top"), F.lit(0.0)), F.lit(0.0)) / F.col("total")
         p = F.when(F.col("total").isNull(), F.col("q")).otherwise(own + F.col("mass") / F.col("total") * F.col("q"))
         below = joined.select(F.col("g").alias("s"), p.alias("q"))
