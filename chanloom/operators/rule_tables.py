@@ -5,11 +5,15 @@ DataFrames (``kind, position, value, rule_id``), so there may be millions:
 
 * Substring and suffix rules: every pattern is keyed by the rarest of its
   q-grams (counted in the texts), texts are keyed by theirs, and an equi-join
-  on the gram gives candidates, which are then verified.  A gram that many
-  texts hold is salted; its patterns are replicated once a salt.
+  on the gram gives candidates, which are then verified.  Grams are as long
+  as the pattern allows (``SIZES``), so that millions of numbered patterns do
+  not meet under the few grams of four digits; they are joined as 64-bit
+  hashes against the numbers of texts.  A gram that many texts hold is
+  salted; its patterns are replicated once a salt.
 * Tag rules: an equi-join.
 
-Texts are matched once per distinct value, and results return to the entries
+Fields are normalised once per distinct combination of their raw values,
+texts are matched once per distinct value, and results return to the entries
 by a salted join, so a value that a third of all entries share is not one
 task.  Stage boundaries are written: the rules with their normalised texts,
 the distinct inputs of the rules with their counts, the keyed patterns and
@@ -21,20 +25,23 @@ rules there are.  First-match priority is the least position; results equal thos
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_text
+from ..functions.text import normalize_array, normalize_text
 from .classify import attr, with_normalized
 from ..session import materialize
 from .skew import TASK_ROWS, hot_keys, salted_left_join, salts
 
-#: Length of the grams; shorter patterns are their own gram.
-Q = 4
+#: Lengths of grams; a pattern has grams of the longest one it reaches.
+SIZES = (1, 2, 3, 4, 8, 16)
 #: Rule kinds, and the field of a rule document that each comes from.
 FIELDS = {"suffix": "tvg_id_suffixes", "keyword": "keywords", "tld": "tlds", "tag": "source_tags"}
+#: The normalised column (``with_normalized``) of each raw field.
+NORMAL = {"name": "norm_name", "group_title": "norm_group", "tvg-name": "norm_tvg_name", "tvg-id": "norm_tvg_id", "source_tags": "norm_tags"}
 SCHEMA = "kind string, position long, value string, rule_id string"
 
 
@@ -48,13 +55,18 @@ def keyword_table(spark: SparkSession, keywords: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([("keyword", i, k, k) for i, k in enumerate(keywords)], SCHEMA)
 
 
-def _grams(text: Column, n: int) -> Column:
-    """Distinct substrings of ``n`` characters (a shorter text has none)."""
-    found = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))
-    return F.when(F.length(text) >= n, F.array_distinct(found))
+def _grams(text: Column, n: Column) -> Column:
+    """Hashes of the substrings of ``n`` characters (a shorter text has none)."""
+    found = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.xxhash64(F.substring(text, i, n)))
+    return F.when(F.length(text) >= n, found).otherwise(F.array().cast("array<long>"))
 
 
-def _no_grams() -> Column:
+def _size(text: Column) -> Column:
+    """Length of the grams that key a pattern."""
+    return reduce(lambda size, n: F.when(F.length(text) >= n, n).otherwise(size), SIZES[1:], F.lit(SIZES[0]))
+
+
+def _no_ids() -> Column:
     return F.array().cast("array<string>")
 
 
@@ -62,13 +74,13 @@ def candidates(values: DataFrame, patterns: DataFrame, task_rows: int = TASK_ROW
     """(value, text, rule): every value with every pattern whose rarest gram
     it holds.  ``values``: (value), distinct; ``patterns``: (text, rule),
     texts distinct and not empty."""
-    lengths = patterns.agg(F.collect_set(F.least(F.length("text"), F.lit(Q)))).scalar()
-    value = F.col("value")
-    by_length = [F.when(F.array_contains(lengths, F.lit(n)), F.coalesce(_grams(value, n), _no_grams())).otherwise(_no_grams()) for n in range(1, Q + 1)]
-    held = values.select("value", F.explode(F.flatten(F.array(*by_length))).alias("gram"))
-    text = F.col("text")
-    own = F.coalesce(_grams(text, Q), F.array(text))
-    keys = patterns.select("text", "rule", F.explode(own).alias("gram"))
+    text, value = F.col("text"), F.col("value")
+    sizes = patterns.agg(F.collect_set(_size(text))).scalar()
+    # numbered and written, so that grams carry a number instead of the text
+    values = materialize(values.select("value", F.monotonically_increasing_id().alias("id")))
+    by_size = [F.when(F.array_contains(sizes, F.lit(n)), _grams(value, F.lit(n))).otherwise(F.array().cast("array<long>")) for n in SIZES]
+    held = values.select("id", F.explode(F.array_distinct(F.flatten(F.array(*by_size)))).alias("gram"))
+    keys = patterns.select("text", "rule", F.explode(F.array_distinct(_grams(text, _size(text)))).alias("gram"))
     counts = held.join(keys.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))
     keyed = keys.join(counts, "gram", "left").groupBy("text").agg(rarest.alias("k"), F.first("rule").alias("rule")).where("k.n > 0")
@@ -76,8 +88,9 @@ def candidates(values: DataFrame, patterns: DataFrame, task_rows: int = TASK_ROW
     # at most (grams of all values) / task_rows rows
     hot = F.broadcast(keyed.where(F.col("n") > task_rows).select("gram", salts(F.col("n"), task_rows).alias("salts")).distinct())
     copies = keyed.select("text", "rule", "gram", F.explode(F.sequence(F.lit(0), salts(F.col("n"), task_rows) - 1)).alias("salt"))
-    dealt = held.join(hot, "gram", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("value"), F.col("salts")), F.lit(0)).cast("int"))
-    return dealt.join(copies, ["gram", "salt"]).select("value", "text", "rule")
+    dealt = held.join(hot, "gram", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id"), F.col("salts")), F.lit(0)).cast("int"))
+    met = dealt.join(copies, ["gram", "salt"]).select("id", "text", "rule")
+    return met.join(values, "id").select("value", "text", "rule")
 
 
 def matching(values: DataFrame, patterns: DataFrame, at_end: bool = False, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -111,11 +124,21 @@ def _distinct(rows: DataFrame, column: Column) -> DataFrame:
     return rows.select(column.alias("value")).where(F.coalesce(F.col("value"), F.lit("")) != "").distinct()
 
 
-def _inputs(df: DataFrame, inputs: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """``df`` with the inputs of its rules, and their distinct combinations
-    with counts (_n), written."""
-    rows = df.withColumns(inputs)
-    return rows, materialize(rows.groupBy(*inputs).agg(F.count(F.lit(1)).alias("_n")))
+def _inputs(df: DataFrame, fields: Sequence[str], inputs: dict[str, Column]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``df`` with the raw values of ``fields``, their distinct combinations
+    with counts (_n) and the ``inputs`` of the rules, written, and the names
+    of the raw values.  ``inputs`` read the columns of ``with_normalized``,
+    which are worked out from the raw values here, once per combination."""
+    none = _no_ids()
+    raw = {"name": F.coalesce("name", F.lit("")), "group_title": F.coalesce("group_title", F.lit("")), "tvg-name": attr("tvg-name"), "tvg-id": attr("tvg-id"),
+           "host": F.coalesce("host", F.lit("")), "source_tags": F.transform(F.coalesce("source_tags", none), lambda x: F.coalesce(x, F.lit("")))}
+    keys = {f: f"_raw_{f.replace('-', '_')}" for f in fields}
+    rows = df.withColumns({keys[f]: raw[f] for f in fields})
+    each = rows.groupBy(*keys.values()).agg(F.count(F.lit(1)).alias("_n"))
+    for f, normal in NORMAL.items():
+        if f in keys:
+            each = each.withColumn(normal, (normalize_array if f == "source_tags" else normalize_text)(F.col(keys[f])))
+    return rows, materialize(each.withColumns(inputs).drop(*NORMAL.values())), list(keys.values())
 
 
 def _attach(each: DataFrame, base: DataFrame, found: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
@@ -127,7 +150,7 @@ def _attach(each: DataFrame, base: DataFrame, found: DataFrame, keys: list[str],
 def _back(df: DataFrame, rows: DataFrame, each: DataFrame, base: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
     """Every row with the result of its combination of inputs."""
     each = materialize(each)
-    spread = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]
+    spread = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map") and c not in NORMAL.values()]
     hot = base.where(F.col("_n") > task_rows).select(*keys, salts(F.col("_n"), task_rows).alias("_salts"))
     return salted_left_join(rows, each, keys, spread, task_rows, hot).drop(*keys)
 
@@ -143,11 +166,10 @@ def country_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_ROW
     """Add ``country``: tvg-id suffix, keyword unless the tvg-id is locked,
     host suffix, source tag; 'other' when nothing matches.  Needs the columns
     of ``with_normalized``."""
-    inputs = {"_id": F.col("norm_tvg_id"), "_raw": F.when(F.col("norm_tvg_id") != "", F.lower(attr("tvg-id"))).otherwise(""),
-              "_text": F.concat_ws(" ", "norm_name", "norm_group", "norm_tvg_name", "norm_tvg_id", normalize_text(F.col("host"))),
-              "_host": F.coalesce("host", F.lit("")), "_tags": F.col("norm_tags")}
-    keys = list(inputs)
-    rows, base = _inputs(df, inputs)
+    inputs = {"_id": F.col("norm_tvg_id"), "_raw": F.when(F.col("norm_tvg_id") != "", F.lower("_raw_tvg_id")).otherwise(""),
+              "_text": F.concat_ws(" ", "norm_name", "norm_group", "norm_tvg_name", "norm_tvg_id", normalize_text(F.col("_raw_host"))),
+              "_host": F.col("_raw_host"), "_tags": F.col("norm_tags")}
+    rows, base, keys = _inputs(df, ("name", "group_title", "tvg-name", "tvg-id", "host", "source_tags"), inputs)
     rules = normalized_rules(rules)
     suffixes, keywords, tlds, tags = (_patterns(rules, k) for k in FIELDS)
     locks = rules.where("kind = 'suffix' and value != ''").select(F.lower("value").alias("text"), F.lit(True).alias("rule")).distinct()
@@ -175,7 +197,7 @@ def categories_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_
     """Add ``categories``: sorted distinct ids of every rule with a keyword in
     name, group and tvg-name or one of the tags; ['general'] when none."""
     inputs = {"_text": F.concat_ws(" ", "norm_name", "norm_group", "norm_tvg_name"), "_tags": F.col("norm_tags")}
-    rows, base = _inputs(df, inputs)
+    rows, base, keys = _inputs(df, ("name", "group_title", "tvg-name", "source_tags"), inputs)
     rules = normalized_rules(rules)
 
     def owners(patterns: DataFrame) -> DataFrame:
@@ -187,10 +209,10 @@ def categories_by_tables(df: DataFrame, rules: DataFrame, task_rows: int = TASK_
     by_text = materialize(ids.groupBy(F.col("value").alias("_text")).agg(F.collect_list("id").alias("by_text")))
     by_tag = materialize(_tag_rules(base, owners(tags.where("text != ''")), F.flatten(F.collect_set("rule")))).withColumnRenamed("found", "by_tag")
     each = _attach(_attach(base, base, by_text, ["_text"], task_rows), base, by_tag, ["_tags"], task_rows)
-    none = _no_grams()
+    none = _no_ids()
     found = F.array_sort(F.array_distinct(F.concat(F.coalesce("by_text", none), F.coalesce("by_tag", none))))
-    each = each.select(*inputs, F.when(F.size(found) == 0, F.array(F.lit("general"))).otherwise(found).alias("categories"))
-    return _back(df, rows, each, base, list(inputs), task_rows)
+    each = each.select(*keys, F.when(F.size(found) == 0, F.array(F.lit("general"))).otherwise(found).alias("categories"))
+    return _back(df, rows, each, base, keys, task_rows)
 
 
 def classify_by_tables(df: DataFrame, countries: DataFrame, categories: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -203,7 +225,7 @@ def classify_by_tables(df: DataFrame, countries: DataFrame, categories: DataFram
 def content_filter_by_table(df: DataFrame, keywords: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Rows without any of the keywords (as given, not normalised) in their
     normalised name or group.  ``keywords``: rows of kind 'keyword'."""
-    rows, base = _inputs(df, {"_name": F.col("norm_name"), "_group": F.col("norm_group")})
+    rows, base, keys = _inputs(df, ("name", "group_title"), {"_name": F.col("norm_name"), "_group": F.col("norm_group")})
     values = base.select(F.explode(F.array("_name", "_group")).alias("value")).where("value != ''").distinct()
     texts = keywords.where("kind = 'keyword'").select(F.col("value").alias("text"), F.lit(True).alias("rule")).distinct()
     hits = materialize(matching(values, texts.where("text != ''"), False, task_rows).select("value").distinct())
@@ -212,5 +234,5 @@ def content_filter_by_table(df: DataFrame, keywords: DataFrame, task_rows: int =
         each = _attach(each, base, hits.select(F.col("value").alias(column), F.lit(True).alias(f"hit{column}")), [column], task_rows)
     # an empty keyword is in every text
     blank = texts.where("text = ''").agg(F.count(F.lit(1))).scalar() > 0
-    each = each.select("_name", "_group", (F.coalesce("hit_name", "hit_group", F.lit(False)) | blank).alias("_unwanted"))
-    return _back(df, rows, each, base, ["_name", "_group"], task_rows).where(~F.col("_unwanted")).drop("_unwanted")
+    each = each.select(*keys, (F.coalesce("hit_name", "hit_group", F.lit(False)) | blank).alias("_unwanted"))
+    return _back(df, rows, each, base, keys, task_rows).where(~F.col("_unwanted")).drop("_unwanted")
