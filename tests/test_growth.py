@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from chanloom.operators import probe as PR
 from chanloom.operators import rule_tables as RT
 
 SF = "/root/testdata/sf0.001"
@@ -38,3 +39,11 @@ def test_fields_are_normalised_once_per_combination(spark):
     for name in ("classify_country_table", "classify_categories_table", "content_filter_table"):
         plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "ArrowEvalPython" not in plan, name
+
+
+def test_references_are_resolved_where_samples_are_scanned(spark):
+    rows = [("http://a/x/1", 1, 200, "", b"#EXTM3U\n../c", "", 5), ("http://a/2", 1, 200, "", b"", "", 5), (None, 1, 200, "", b"c", "", 5)]
+    s = spark.createDataFrame(rows, "url string, attempt int, status int, content_type string, body binary, error string, elapsed_ms int")
+    assert {r.url: r.next for r in PR.sample_facts(s).select("url", "fact.next").collect()} == {"http://a/x/1": "http://a/c", "http://a/2": None, None: None}
+    plan = PR.probe_levels(s, s.select("url"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan
