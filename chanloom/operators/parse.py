@@ -28,9 +28,13 @@ from ..functions.text import PY_SPACE_CLASS, py_strip, split_lines
 # Fixed patterns of the playlist format (written for Java regex: ``\p{Nd}``
 # and the explicit space class match Python's Unicode ``\d`` and ``\s``).
 EXTINF_RE = "^#EXTINF:(-?\\p{Nd}+)" + PY_SPACE_CLASS + "*(.*?),(.*)$"
+# A line that is neither blank nor another comment.
+KEPT_RE = "\\A" + PY_SPACE_CLASS + "*+(?:[^#" + PY_SPACE_CLASS[1:] + "|#EXTINF:|#EXTGRP:)"
 ATTR_RE = '([A-Za-z0-9\\-_]+)="([^"]*)"'
 
 DEFAULT_CHUNK_LINES = 1 << 20
+#: Columns that tell chunks apart (hash, and source with chunk).
+KEY = ["_hash", "_key"]
 
 # ---------------------------------------------------------------------------
 # Lines
@@ -102,25 +106,25 @@ def _dealt_lines(lines: DataFrame, chunk_lines: int) -> DataFrame:
 
     Explicit: an input already hash-partitioned by source alone would also
     satisfy the windows' clustering and keep a hot source in one task."""
-    line = py_strip(F.col("line"))
-    comment = line.startswith("#") & ~line.startswith("#EXTINF:") & ~line.startswith("#EXTGRP:")
     chunk = F.col("chunk") if "chunk" in lines.columns else F.floor(F.col("line_no") / F.lit(chunk_lines))
-    return (lines.select("source_name", chunk.cast("long").alias("chunk"), "line_no", line.alias("line"))
-            .where((F.col("line") != "") & ~comment).repartition("source_name", "chunk"))
+    dealt = lines.select("source_name", chunk.cast("long").alias("chunk"), "line_no", py_strip(F.col("line")).alias("line"), F.col("line").rlike(KEPT_RE).alias("_kept")).where("_kept").drop("_kept")
+    # A key that is never null: no filter on it is pushed into one level only,
+    # so both levels read one exchange.  The hash leads the sorts.
+    return dealt.select(F.xxhash64("source_name", "chunk").alias("_hash"), F.struct("source_name", "chunk").alias("_key"), "line_no", "line").repartition(*KEY)
 
 
 def _typed(dealt: DataFrame) -> DataFrame:
-    """Kind (E, G or U) and parsed fields of every dealt line."""
+    """Kind (E, G or U) and state of every dealt line; the name and attributes
+    of an EXTINF line are parsed where an entry takes them."""
     line = F.col("line")
     kind = F.when(line.startswith("#EXTINF:"), "E").when(line.startswith("#EXTGRP:"), "G").otherwise("U")
     t = dealt.withColumn("kind", kind)
     valid = (F.col("kind") == "E") & extinf_valid(line)
     eu = F.when(F.col("kind") != "G", F.struct(
         F.col("kind").alias("kind"), valid.alias("valid"),
-        F.when(valid, extinf_name(line)).alias("name"),
-        F.when(valid, extinf_blob(line)).alias("blob")))
+        F.when(valid, line).alias("line")))
     gval = F.when(F.col("kind") == "G", py_strip(F.substring(line, 9, 1 << 30)))
-    return t.select("source_name", "chunk", "line_no", "kind", "line", eu.alias("eu"), gval.alias("gval"))
+    return t.select(*KEY, "line_no", "kind", "line", eu.alias("eu"), gval.alias("gval"))
 
 
 def _carry(value: Column) -> Column:
@@ -146,7 +150,7 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
     back.  Only the summary is ordered per source.
     """
     t = _typed(_dealt_lines(lines, chunk_lines))
-    local = Window.partitionBy("source_name", "chunk").orderBy("line_no")
+    local = Window.partitionBy(*KEY).orderBy("line_no")
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     g = F.when(F.col("kind") == "G", F.struct(F.col("line_no").alias("at"), F.col("gval").alias("v")))
 
@@ -159,8 +163,8 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
         (F.col("prev_eu.kind") == "E") & F.col("prev_eu.valid"), F.lit(False))
     t = t.withColumn("emit_local", emit_local)
     if "chunk" in lines.columns:
-        place = F.col("line_no") - F.min("line_no").over(Window.partitionBy("source_name", "chunk"))
-        t = t.withColumn("entry_id", F.col("chunk") + place + (F.col("chunk") > 0).cast("long"))
+        place = F.col("line_no") - F.min("line_no").over(Window.partitionBy(*KEY))
+        t = t.withColumn("entry_id", F.col("_key.chunk") + place + (F.col("_key.chunk") > 0).cast("long"))
     else:
         t = t.withColumn("entry_id", F.col("line_no"))
     t = t.withColumn("last_emit_local",
@@ -168,11 +172,12 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
 
     # Per-chunk summary and the state entering each chunk.
     eu_line = F.when(F.col("eu").isNotNull(), F.col("line_no"))
-    s = t.groupBy("source_name", "chunk").agg(
+    s = t.groupBy(*KEY).agg(
         F.max_by("eu", eu_line).alias("last_eu"),
         F.min_by(F.struct(F.col("line_no").alias("at"), F.col("kind").alias("kind")), eu_line).alias("first_eu"),
         F.max(F.when(F.col("emit_local"), F.col("line_no"))).alias("local_emit"),
         F.max_by(g, F.when(F.col("kind") == "G", F.col("line_no"))).alias("chunk_g"))
+    s = s.select("*", "_key.source_name", "_key.chunk")
     s = s.withColumn("carry_eu", _carry(F.col("last_eu")))
     first_is_emit = ((F.col("first_eu.kind") == "U") & F.coalesce(
         (F.col("carry_eu.kind") == "E") & F.col("carry_eu.valid"), F.lit(False)))
@@ -181,10 +186,12 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
     tail = (F.when(F.col("chunk_g").isNotNull() & (F.col("chunk_g.at") > F.coalesce(chunk_emit, F.lit(-1))),
                    F.col("chunk_g.v"))
             .when(chunk_emit.isNotNull(), F.lit("")))
-    s = s.withColumn("carry_group", _carry(tail)).select(
-        "source_name", "chunk", "carry_eu", "carry_group", "first_emit")
+    s = s.withColumn("carry_group", _carry(tail))
+    # chunks of no known source or place are no parts of one playlist
+    named = F.col("source_name").isNotNull() & F.col("chunk").isNotNull()
+    s = s.select(*KEY, *[F.when(named, F.col(c)).alias(c) for c in ("carry_eu", "carry_group", "first_emit")])
 
-    out = t.where(F.col("kind") == "U").join(s, ["source_name", "chunk"], "left")
+    out = t.where(F.col("kind") == "U").join(s, KEY, "left")
     prev = F.coalesce(F.col("prev_eu"), F.col("carry_eu"))
     out = out.withColumn("src", F.when((prev["kind"] == "E") & prev["valid"], prev)).where(
         F.col("src").isNotNull())
@@ -194,15 +201,16 @@ def m3u_parse(lines: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataF
                           F.col("last_g.v"))
                    .when(last_emit.isNotNull(), F.lit("")))
     pending = F.coalesce(local_group, F.col("carry_group"), F.lit(""))
-    attrs = extinf_attrs(F.col("src.blob"))
+    out = out.withColumn("attrs", extinf_attrs(extinf_blob(F.col("src.line"))))
+    attrs = F.col("attrs")
     group = F.when(F.map_contains_key(attrs, "group-title"), attrs["group-title"]).otherwise(pending)
     return out.select(
-        "source_name",
+        "_key.source_name",
         "entry_id",
-        F.coalesce(F.col("src.name"), F.lit("Unknown")).alias("name"),
+        F.coalesce(extinf_name(F.col("src.line")), F.lit("Unknown")).alias("name"),
         F.col("line").alias("url"),
         group.alias("group_title"),
-        attrs.alias("attrs"),
+        "attrs",
     )
 
 

@@ -5,8 +5,11 @@ import random
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from chanloom.operators import parse as P
 from chanloom.operators import probe as PR
 from chanloom.operators import rule_tables as RT
+from chanloom.plans import build as B
+from chanloom.sources import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +50,18 @@ def test_references_are_resolved_where_samples_are_scanned(spark):
     assert {r.url: r.next for r in PR.sample_facts(s).select("url", "fact.next").collect()} == {"http://a/x/1": "http://a/c", "http://a/2": None, None: None}
     plan = PR.probe_levels(s, s.select("url"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract" not in plan
+
+
+def test_lines_of_a_longer_plan_are_read_once(spark):
+    """Both levels of the parse read one exchange, also when the lines come
+    from joins."""
+    df = P.m3u_parse(FX.playlist_lines(spark, SF))
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_state_is_carried_without_a_source(spark):
+    rows = [(s, n, t) for s in ("s", None) for n, t in ((0, "#EXTGRP:g"), (1, "#EXTINF:-1,A"), (2, "http://a"), (3, " #EXTINF:-1,B"), (4, "#c"), (5, "  "), (6, "http://b "))]
+    lines = spark.createDataFrame(rows, "source_name string, line_no long, line string")
+    got = sorted(((r.source_name, r.entry_id, r.name, r.group_title) for r in P.m3u_parse(lines, 3).collect()), key=str)
+    assert got == [("s", 2, "A", "g"), ("s", 6, "B", ""), (None, 2, "A", "g")]
