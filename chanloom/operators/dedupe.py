@@ -39,7 +39,8 @@ def with_dedupe_key(df: DataFrame) -> DataFrame:
 
 def dedupe_url(df: DataFrame) -> DataFrame:
     """One entry per URL: highest score; ties go to the first source / line."""
-    w = Window.partitionBy("url").orderBy(F.col("score_dec").desc(), "source_name", "entry_id")
+    # the hash only leads the sort: URLs share their first characters
+    w = Window.partitionBy(F.xxhash64("url"), "url").orderBy(F.col("score_dec").desc(), "source_name", "entry_id")
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
@@ -57,10 +58,11 @@ def dedupe_channels(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls:
     keep = max(1, keep_per_channel)
     if "dedupe_key" not in df.columns:
         df = with_dedupe_key(df)
-    w = Window.partitionBy("dedupe_key").orderBy(F.col("score_dec").desc(), F.col("url"))
+    key = [F.xxhash64("dedupe_key"), F.col("dedupe_key")]
+    w = Window.partitionBy(*key).orderBy(F.col("score_dec").desc(), F.col("url"))
     ranked = (df.withColumn("channel_rank", F.row_number().over(w))
               .where(F.col("channel_rank") <= keep + max_fallback_urls))
-    group = Window.partitionBy("dedupe_key")
+    group = Window.partitionBy(*key)
     alternates = F.collect_list(
         F.when(F.col("channel_rank") > keep, F.struct("channel_rank", "url"))).over(group)
     with_fb = ranked.withColumn(

@@ -30,7 +30,8 @@ def best_attempt(attempts: DataFrame, retries: int = 2, keep_error: bool = False
     lvl = F.coalesce(F.col("check_level"), F.lit(0))
     a = attempts.where(F.col("attempt") <= n)
     prio = F.when(lvl >= 2, 0).when(lvl == 1, 1).otherwise(2)
-    w = Window.partitionBy("url").orderBy(prio, F.col("attempt"))
+    # the hash only leads the sort: URLs share their first characters
+    w = Window.partitionBy(F.xxhash64("url"), "url").orderBy(prio, F.col("attempt"))
     top = a.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     live = lvl >= 1
     dead_error = F.coalesce(F.col("error"), F.lit("")) if keep_error else F.lit("unknown")

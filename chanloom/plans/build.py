@@ -22,6 +22,7 @@ from ..operators import dedupe as D
 from ..operators import health as H
 from ..operators import score as S
 from ..operators import tiers as T
+from ..functions.text import normalize_text
 
 
 def prepared_entries(entries: DataFrame, profile: Profile, by_name: DataFrame | None = None,
@@ -40,6 +41,20 @@ def selected_channels(prepared: DataFrame, profile: Profile) -> DataFrame:
     return D.dedupe_channels(keyed, profile.keep, profile.max_fallback_urls)
 
 
+def select_entries(entries: DataFrame, profile: Profile, by_name: DataFrame | None = None,
+                   by_url: DataFrame | None = None) -> DataFrame:
+    """``selected_channels`` of ``prepared_entries``: the same rows, with
+    country and categories worked out for the entries that win their URL and
+    name.  Neither the filter nor the score nor the ranks read them, unless
+    overrides rename entries: then all are classified first."""
+    if by_name is not None or by_url is not None:
+        return selected_channels(prepared_entries(entries, profile, by_name, by_url), profile)
+    df = entries.select("*", normalize_text(F.col("name")).alias("norm_name"), normalize_text(F.col("group_title")).alias("norm_group"))
+    df = C.content_filter(df, profile.unwanted_keywords).drop("norm_group")
+    chosen = selected_channels(S.pre_score(df, profile.prefer_https), profile)
+    return C.classify(chosen.drop("norm_name"), profile)
+
+
 @dataclass
 class Checked:
     """Everything after the health stage."""
@@ -62,7 +77,9 @@ def health_stage(selected: DataFrame, attempts: DataFrame | None, profile: Profi
         return Checked(S.post_score(checked, profile.prefer_https), empty, empty.select("url"), selected)
     # A report row depends only on its URL, so primaries and every fallback
     # that may be tried are reported together; nothing is computed here yet.
-    report = H.best_attempt(attempts, profile.retries, profile.keep_error)
+    # Attempts of other URLs are left out before they are ranked.
+    tried = F.concat(F.array("url"), F.slice("fallback_urls", 1, profile.max_fallbacks))
+    report = H.probe_report(attempts, selected.select(F.explode(tried).alias("url")), profile.retries, profile.keep_error)
     checked = H.settle(selected, report, profile.max_fallbacks)
     primaries = H.probe_report(attempts, selected, profile.retries, profile.keep_error)
     candidates = H.fallback_candidates(selected, primaries, profile.max_fallbacks)

@@ -50,7 +50,7 @@ def build_catalogue(spark: SparkSession, lines: DataFrame, sources: DataFrame, s
     report = RP.source_report(sources, parsed, fetch_log)
     entries = P.with_source_attributes(parsed, sources.where("enabled"))
     fetched = B.prepared_entries(entries, profile, by_name, by_url)
-    selected = B.selected_channels(fetched, profile)
+    selected = B.select_entries(entries, profile, by_name, by_url)
     attempts = None
     if samples is not None and profile.healthcheck_enabled:
         # only what may be probed: selected URLs and their fallbacks

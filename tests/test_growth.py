@@ -65,3 +65,49 @@ def test_no_state_is_carried_without_a_source(spark):
     lines = spark.createDataFrame(rows, "source_name string, line_no long, line string")
     got = sorted(((r.source_name, r.entry_id, r.name, r.group_title) for r in P.m3u_parse(lines, 3).collect()), key=str)
     assert got == [("s", 2, "A", "g"), ("s", 6, "B", ""), (None, 2, "A", "g")]
+
+
+def _entries(spark):
+    names = ["Widget TV", "Hot TV", "Ring", "bolt 1", "Größe", ""]
+    rows = [(f"s{i % 3}", i, names[i % 6], f"http://u{i % 4}.az/{i % 40}", names[i * 5 % 6], {"tvg-id": f"x{i}.tr" if i % 7 == 0 else "", "tvg-name": names[i % 5]} if i % 4 else {}, 50 + i % 9,
+             ["NATION_1"] if i % 6 == 0 else None) for i in range(300)]
+    return spark.createDataFrame(rows, "source_name string, entry_id long, name string, url string, group_title string, attrs map<string,string>, source_weight int, source_tags array<string>")
+
+
+def test_winners_are_classified(spark):
+    """The same channels, and nothing but the winners is classified."""
+    e = _entries(spark)
+    want = B.selected_channels(B.prepared_entries(e, FX.FIXTURE_PROFILE), FX.FIXTURE_PROFILE)
+    got = B.select_entries(e, FX.FIXTURE_PROFILE)
+    assert set(got.columns) == set(want.columns)
+    columns = [c for c in want.columns if c != "attrs"]
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+    tree = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS country" in tree and "AS country" not in tree[tree.index("Window"):]
+    by_name = spark.createDataFrame([("Ring", "tr", ["zeta"], "Hot 2")], "key string, country string, categories array<string>, name string")
+    names = {r.name for r in B.select_entries(e, FX.FIXTURE_PROFILE, by_name).collect()}
+    assert not names & {"Ring", "Hot 2"}
+
+
+def test_only_tried_urls_are_reported(spark):
+    selected = B.select_entries(_entries(spark), FX.FIXTURE_PROFILE).localCheckpoint()
+    tried = {u for r in selected.collect() for u in [r.url, *r.fallback_urls[:FX.FIXTURE_PROFILE.max_fallbacks]]}
+    urls = sorted(tried) + [f"http://other/{i}" for i in range(50)]
+    attempts = spark.createDataFrame([(u, a, a, 200, 9, "") for u in urls for a in (1, 2)], "url string, attempt int, check_level int, status_code int, latency_ms int, error string")
+    report = B.health_stage(selected, attempts, FX.FIXTURE_PROFILE).report
+    assert sorted(r.url for r in report.collect()) == sorted(tried)
+
+
+def test_distinct_urls_of_entries(spark, tmp_path):
+    """Repeated and null keys, parts and suppliers that are missing."""
+    tables = {
+        "lineitem": ([(i, i % 4, None if i % 11 == 0 else i % 9, None if i % 13 == 0 else i % 25) for i in range(300)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"),
+        "part": ([(k, f"n{k}", "B", "T", k) for k in [None, 1, 2, 2, 3, 4, 7]], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        "supplier": ([(k, f"s{k}", 1) for k in [None, 0, 3, 3, 10, 13, 21]], "s_suppkey long, s_name string, s_nationkey int"),
+        "events": ([(i % 17,) for i in range(40)], "user_id long"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = FX.entries(spark, str(tmp_path)).select("url", "probe_key").distinct()
+    got = FX.entry_urls(spark, str(tmp_path))
+    assert want.count() > 10 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
