@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import normalize_text
+from ..functions.text import first_normal, normalize_text
 from .classify import attr
 
 
@@ -32,7 +32,9 @@ def dedupe_key_column(norm_tvg_name: Column | None = None) -> Column:
 
 def with_dedupe_key(df: DataFrame) -> DataFrame:
     if "norm_name" not in df.columns:
-        df = df.withColumn("norm_name", normalize_text(F.col("name")))
+        # from the raw texts at once; ``norm_name`` costs nothing where it is not read
+        return df.withColumns({"norm_name": normalize_text(F.col("name")),
+                               "dedupe_key": first_normal(F.col("name"), attr("tvg-name"), F.col("url"))})
     tvg = F.col("norm_tvg_name") if "norm_tvg_name" in df.columns else None
     return df.withColumn("dedupe_key", dedupe_key_column(tvg))
 

@@ -46,11 +46,15 @@ def select_entries(entries: DataFrame, profile: Profile, by_name: DataFrame | No
     """``selected_channels`` of ``prepared_entries``: the same rows, with
     country and categories worked out for the entries that win their URL and
     name.  Neither the filter nor the score nor the ranks read them, unless
-    overrides rename entries: then all are classified first."""
+    overrides rename entries: then all are classified first.
+
+    The filter keeps its normalised texts to itself, so that the planner can
+    put it where the texts come from; the name is normalised again for the
+    entries that win their URL."""
     if by_name is not None or by_url is not None:
         return selected_channels(prepared_entries(entries, profile, by_name, by_url), profile)
     df = entries.select("*", normalize_text(F.col("name")).alias("norm_name"), normalize_text(F.col("group_title")).alias("norm_group"))
-    df = C.content_filter(df, profile.unwanted_keywords).drop("norm_group")
+    df = C.content_filter(df, profile.unwanted_keywords).drop("norm_name", "norm_group")
     chosen = selected_channels(S.pre_score(df, profile.prefer_https), profile)
     return C.classify(chosen.drop("norm_name"), profile)
 

@@ -5,6 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from chanloom.functions import text as TX
+from chanloom.operators import dedupe as D
 from chanloom.operators import parse as P
 from chanloom.operators import probe as PR
 from chanloom.operators import rule_tables as RT
@@ -111,3 +113,36 @@ def test_distinct_urls_of_entries(spark, tmp_path):
     want = FX.entries(spark, str(tmp_path)).select("url", "probe_key").distinct()
     got = FX.entry_urls(spark, str(tmp_path))
     assert want.count() > 10 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_names_are_normalised_once_per_url(spark):
+    """The filter runs where the texts come from; between the joins and the
+    URL window no row goes through Python."""
+    tree = B.select_entries(FX.entries(spark, SF), FX.FIXTURE_PROFILE)._jdf.queryExecution().optimizedPlan().toString()
+    below = tree[tree.rindex("Window"):]
+    assert "ArrowEvalPython" not in below[:below.index("Join")]
+    assert "ArrowEvalPython" in below
+
+
+def test_a_key_is_one_pass(spark):
+    texts = ["Größe Ⅳ", "ﬁne TV", "plain", "--", "", None, "①", "Σ σς", "∴"]
+    rows = [(i, a, b, c) for i, (a, b, c) in enumerate((a, b, c) for a in texts for b in texts for c in texts)]
+    df = spark.createDataFrame(rows, "i long, name string, tvg string, url string")
+    df = df.select("i", "name", F.when(F.col("i") % 5 != 0, F.create_map(F.lit("tvg-name"), F.col("tvg"))).alias("attrs"), "url")
+    keyed = D.with_dedupe_key(df)
+    want = {i: TX.normalize_py(a) or TX.normalize_py(b if i % 5 else None) or TX.normalize_py(c) for i, a, b, c in rows}
+    assert {r.i: r.dedupe_key for r in keyed.collect()} == want
+    both = D.with_dedupe_key(df.withColumn("norm_name", TX.normalize_text("name")))
+    assert {r.i: r.dedupe_key for r in both.collect()} == want
+    assert keyed.select("dedupe_key")._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_entries_are_dealt_by_rows(spark, monkeypatch):
+    """Parts of a large table follow its rows: an adaptive shuffle makes few,
+    since the rows are narrow until they are joined."""
+    few = FX.entries(spark, SF)
+    columns = [c for c in few.columns if c != "attrs"]
+    monkeypatch.setattr(FX, "TASK_ROWS", 150)
+    many = FX.entries(spark, SF)
+    assert many.rdd.getNumPartitions() == 40
+    assert sorted(map(str, many.select(columns).collect())) == sorted(map(str, few.select(columns).collect()))
