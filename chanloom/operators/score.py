@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import url_scheme
+from ..functions.urls import is_https
 from .classify import attr
 
 SCORE_TYPE = "decimal(12,2)"
@@ -28,7 +28,7 @@ def pre_score_column(prefer_https: bool = True) -> Column:
     """weight, +10 https (if preferred), +5 tvg-id, +3 tvg-logo, +2 tvg-name."""
     score = F.col("source_weight").cast("decimal(12,3)")
     if prefer_https:
-        score = score + _flag(url_scheme(F.col("url")) == "https", 10)
+        score = score + _flag(is_https(F.col("url")), 10)
     score = (score + _flag(attr("tvg-id") != "", 5) + _flag(attr("tvg-logo") != "", 3)
              + _flag(attr("tvg-name") != "", 2))
     return F.round(score, 2).cast(SCORE_TYPE)
@@ -39,7 +39,7 @@ def post_score_column(prefer_https: bool = True) -> Column:
     (NULL or 0 latency counts as 20 s), +5 per level, +5 tvg-id, +3 tvg-logo."""
     score = F.col("source_weight").cast("decimal(12,3)")
     if prefer_https:
-        score = score + _flag(url_scheme(F.col("url")) == "https", 10)
+        score = score + _flag(is_https(F.col("url")), 10)
     alive = F.col("alive")
     score = score + F.when(alive.isNull(), _d(0)).when(alive, _d(30)).otherwise(_d(-25))
     latency = F.coalesce(F.when(F.col("latency_ms") != 0, F.col("latency_ms")), F.lit(20_000))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from chanloom.functions import text as TX
+from chanloom.functions import urls as U
 from chanloom.operators import dedupe as D
 from chanloom.operators import parse as P
 from chanloom.operators import probe as PR
@@ -146,3 +147,42 @@ def test_entries_are_dealt_by_rows(spark, monkeypatch):
     many = FX.entries(spark, SF)
     assert many.rdd.getNumPartitions() == 40
     assert sorted(map(str, many.select(columns).collect())) == sorted(map(str, few.select(columns).collect()))
+
+
+def test_copies_of_a_part_meet_before_the_exchange(spark, tmp_path, monkeypatch):
+    """Parts of a large table hold whole join keys, except keys with more
+    rows than a part and rows without a key, which are dealt out."""
+    rows = [(i, i % 4, 7 if i % 3 == 0 else None if i % 3 == 1 else 100 + i % 300, i % 25) for i in range(6000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    li = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(FX, "TASK_ROWS", 300)
+    dealt = FX._dealt(li, "l_partkey")
+    at = dealt.groupBy("l_partkey", F.spark_partition_id().alias("part")).count().collect()
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(rows, key=str)
+    parts = {}
+    for r in at:
+        parts.setdefault(r.l_partkey, []).append(r["count"])
+    assert len(parts[7]) == len(parts[None]) == 20 and max(parts[7] + parts[None]) < 300
+    assert all(len(n) == 1 for k, n in parts.items() if k not in (7, None))
+    # without such a key the join brings no exchange of its own
+    even = FX._dealt(li.where("l_partkey <> 7 and l_partkey is not null").localCheckpoint(), "l_partkey")
+    assert even.rdd.getNumPartitions() == 6
+    plan = even.join(li.select(F.col("l_partkey").alias("p")).hint("merge"), F.col("l_partkey") == F.col("p"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 1
+
+
+def test_https_is_the_scheme(spark):
+    urls = ["https://a", "http://a", "HTTPS://a", " https://a", "ht\ntps://a", "https", "httpsx://a", "https:", "http:", "ftp://a", "", "\x01https://a", "\u00a0https://a", "https+x://a", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [tuple(r) for r in df.select(U.is_https("url"), U.url_scheme("url") == "https").collect()] == [(w, w) for w in map(lambda r: r[0], df.select(U.url_scheme("url") == "https").collect())]
+
+
+def test_a_key_normalises_one_text(spark):
+    """Every character whose text stays in the JVM, and one pattern pass."""
+    texts = [c for c in map(chr, range(0x530)) if TX._safe(c)]
+    df = spark.createDataFrame([(t, f" {t}-", "x") for t in texts], "a string, b string, c string")
+    want = [TX.normalize_py(t) or "x" for t in texts]
+    assert [r[0] for r in df.select(TX.first_normal(F.col("a"), F.col("b"), F.col("c"))).collect()] == want
+    assert [r[0] for r in df.select(TX.first_normal(F.lit(None).cast("string"), F.col("b"), F.col("c"))).collect()] == want
+    tree = df.select(TX.first_normal(F.col("a"), F.col("b"), F.col("c")).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("regexp_replace") == 1
