@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import first_normal, normalize_text
+from ..functions.text import WORD_RE, first_normal, normalize_text
 from .classify import attr
 
 
@@ -32,9 +32,10 @@ def dedupe_key_column(norm_tvg_name: Column | None = None) -> Column:
 
 def with_dedupe_key(df: DataFrame) -> DataFrame:
     if "norm_name" not in df.columns:
+        tvg_name = F.col("tvg_name") if "tvg_name" in df.columns else attr("tvg-name")
         # from the raw texts at once; ``norm_name`` costs nothing where it is not read
         return df.withColumns({"norm_name": normalize_text(F.col("name")),
-                               "dedupe_key": first_normal(F.col("name"), attr("tvg-name"), F.col("url"))})
+                               "dedupe_key": first_normal(F.col("name"), tvg_name, F.col("url"))})
     tvg = F.col("norm_tvg_name") if "norm_tvg_name" in df.columns else None
     return df.withColumn("dedupe_key", dedupe_key_column(tvg))
 
@@ -46,6 +47,18 @@ def dedupe_url(df: DataFrame) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def best_of_name(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls: int = 4) -> DataFrame:
+    """The URL-unique entries that ``dedupe_channels`` can keep, before names
+    are normalised: equal names have equal keys, so an entry behind as many of
+    its own name as a channel keeps is behind them in its channel as well.
+    Entries whose name may be blank once normalised are all left in."""
+    # a name with a letter or digit is its own key, whatever the other columns hold
+    blank = F.when(F.coalesce(F.col("name").rlike(WORD_RE), F.lit(False)), F.lit(None)).otherwise(F.col("url"))
+    w = Window.partitionBy(F.xxhash64("name", blank), "name", blank).orderBy(F.col("score_dec").desc(), F.col("url"))
+    return (df.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= max(1, keep_per_channel) + max_fallback_urls).drop("_rn"))
+
+
 def dedupe_channels(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls: int = 4) -> DataFrame:
     """Winners per channel with their fallback URL lists.
 

@@ -7,6 +7,9 @@ for readers; ``score_dec`` keeps the exact value for ordering.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +27,15 @@ def _flag(cond: Column, points: float) -> Column:
     return F.when(cond, _d(points)).otherwise(_d(0))
 
 
-def pre_score_column(prefer_https: bool = True) -> Column:
-    """weight, +10 https (if preferred), +5 tvg-id, +3 tvg-logo, +2 tvg-name."""
-    score = F.col("source_weight").cast("decimal(12,3)")
+def pre_score_column(prefer_https: bool = True, of: Callable[[str], Column] = attr) -> Column:
+    """weight, +10 https (if preferred), +5 tvg-id, +3 tvg-logo, +2 tvg-name;
+    ``of`` gives an attribute's value."""
+    # every entry is scored: whole points are added as integers, one decimal sum is left
+    given = [(of("tvg-id") != "", 5), (of("tvg-logo") != "", 3), (of("tvg-name") != "", 2)]
     if prefer_https:
-        score = score + _flag(is_https(F.col("url")), 10)
-    score = (score + _flag(attr("tvg-id") != "", 5) + _flag(attr("tvg-logo") != "", 3)
-             + _flag(attr("tvg-name") != "", 2))
-    return F.round(score, 2).cast(SCORE_TYPE)
+        given.append((is_https(F.col("url")), 10))
+    points = reduce(lambda a, b: a + b, [F.when(cond, F.lit(n)).otherwise(F.lit(0)) for cond, n in given])
+    return F.round(F.col("source_weight").cast("decimal(12,3)") + points.cast("decimal(12,3)"), 2).cast(SCORE_TYPE)
 
 
 def post_score_column(prefer_https: bool = True) -> Column:

@@ -186,3 +186,89 @@ def test_a_key_normalises_one_text(spark):
     assert [r[0] for r in df.select(TX.first_normal(F.lit(None).cast("string"), F.col("b"), F.col("c"))).collect()] == want
     tree = df.select(TX.first_normal(F.col("a"), F.col("b"), F.col("c")).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
     assert tree.count("regexp_replace") == 1
+
+
+def _repeated(spark):
+    """Entries with copies, nulls in every column and names that are blank,
+    wide or shared; copies differ in nothing but their tags."""
+    names = ["Widget TV", "widget-tv", "Ring", "--", "Größe", "", None, "①", "Hot TV", "\u2117"]
+    rows = []
+    for i in range(600):
+        url = None if i % 41 == 0 else f"http{'s' if i % 3 else ''}://u{i % 7}.az/{i % 90}"
+        attrs = None if i % 13 == 0 else {"tvg-id": f"x{i}.tr" if i % 7 == 0 else None, "tvg-name": names[i % 9]} if i % 4 else {}
+        row = (None if i % 29 == 0 else f"s{i % 3}", None if i % 17 == 0 else i % 200, names[i % 10], url, None if i % 23 == 0 else names[i * 5 % 6], attrs, 50 + i % 9)
+        rows += [(*row, ["NATION_1"])] * (1 + i % 2)
+    return spark.createDataFrame(rows, "source_name string, entry_id long, name string, url string, group_title string, attrs map<string,string>, source_weight int, source_tags array<string>")
+
+
+def _texts(df, columns):
+    return sorted(str(tuple(r)) for r in df.select(columns).collect())
+
+
+def test_channels_are_chosen_on_narrow_rows(spark, monkeypatch):
+    """The written selection is the selection, and no tags, maps or source
+    columns of all entries pass its exchanges."""
+    written = []
+    real = B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df: written.append(df) or real(df))
+    e = _repeated(spark).localCheckpoint()
+    for profile in (FX.FIXTURE_PROFILE, FX.FIXTURE_PROFILE.with_(keep_per_channel=2, max_fallback_urls=3)):
+        for limit in (0, 100_000):
+            monkeypatch.setattr(B, "BROADCAST_ROWS", limit)
+            want = B.select_entries(e, profile)
+            got = B.written_selection(e, profile, lambda ids: e.join(ids, e.entry_id.eqNullSafe(ids.entry_id), "left_semi"))
+            assert set(got.columns) == set(want.columns)
+            # entries that tie may differ in what does not decide
+            columns = ["url", "source_name", "entry_id", "score", "dedupe_key", "channel_rank", "fallback_urls", "primary_url"]
+            assert want.count() > 5 and _texts(got, columns) == _texts(want, columns)
+    # only the look-up reads the tags
+    narrow, whole = (df._jdf.queryExecution().optimizedPlan().toString() for df in written[:2])
+    assert "source_tags" in whole and "source_tags" not in narrow[:narrow.rindex("Window")]
+
+
+def test_written_selection_of_the_tables(spark):
+    e = FX.entries(spark, SF)
+    want = B.select_entries(e, FX.FIXTURE_PROFILE)
+    got = B.written_selection(e, FX.FIXTURE_PROFILE, lambda ids: FX.entries(spark, SF, ids))
+    columns = [F.map_entries(c).alias(c) if c == "attrs" else F.col(c) for c in sorted(want.columns)]
+    assert want.count() > 100 and _texts(got, columns) == _texts(want, columns)
+
+
+def test_entries_of_given_ids(spark):
+    e = FX.entries(spark, SF)
+    ids = spark.createDataFrame([(r.entry_id,) for r in e.select("entry_id").limit(20).collect()] + [(None,), (-5,)], "entry_id long")
+    columns = [c for c in e.columns if c != "attrs"]
+    got = FX.entries(spark, SF, ids)
+    assert _texts(got, columns) == _texts(e.join(ids, "entry_id", "left_semi"), columns)
+    tree = got._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.index("Join Inner") < tree.index("Join LeftSemi") and "RepartitionByExpression" not in tree
+
+
+def test_a_name_with_a_word_is_no_blank(spark):
+    """``best_of_name`` takes such names for their own keys."""
+    points = spark.range(0x110000).where("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    assert not [r.c for r in points.where(F.col("c").rlike(TX.WORD_RE)).collect() if not TX.normalize_py(r.c)]
+
+
+def test_names_are_limited_before_they_are_normalised(spark):
+    rows = [(n, {"tvg-name": "--"}, f"http://u/{i}", i % 7) for i in range(200) for n in ("One", "one!", "--", None, "①", "\u2117")]
+    df = spark.createDataFrame(rows, "name string, attrs map<string,string>, url string, w int").withColumn("score_dec", F.col("w").cast("decimal(12,2)"))
+    limited = D.best_of_name(df, 2, 3)
+    assert limited.groupBy("name").count().where("name in ('One', 'one!', '①')").agg(F.max("count")).first()[0] == 5
+    key = ["dedupe_key", "url", "channel_rank", "fallback_urls"]
+    assert _texts(D.dedupe_channels(limited, 2, 3), key) == _texts(D.dedupe_channels(df, 2, 3), key)
+
+
+def test_urls_of_entries_are_made_distinct_once(spark):
+    tree = FX.entry_urls(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("Aggregate [l_partkey") == 1
+
+
+def test_attempts_of_a_small_selection_are_not_exchanged_for_its_urls(spark):
+    selected = B.select_entries(_entries(spark), FX.FIXTURE_PROFILE).localCheckpoint()
+    urls = [f"http://u{i % 4}.az/{i % 40}" for i in range(80)]
+    attempts = spark.createDataFrame([(u, a, a, 200, 9, "") for u in sorted(set(urls)) for a in (1, 2)], "url string, attempt int, check_level int, status_code int, latency_ms int, error string")
+    large, small = (B.health_stage(selected, attempts, FX.FIXTURE_PROFILE, small) for small in (False, True))
+    assert _texts(large.checked, ["primary_url", "url", "score"]) == _texts(small.checked, ["primary_url", "url", "score"])
+    tree = small.report._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in tree
