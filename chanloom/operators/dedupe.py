@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import WORD_RE, first_normal, normalize_text
+from ..functions.text import first_normal, has_plain_word, normalize_text
 from .classify import attr
 
 
@@ -52,8 +52,9 @@ def best_of_name(df: DataFrame, keep_per_channel: int = 1, max_fallback_urls: in
     are normalised: equal names have equal keys, so an entry behind as many of
     its own name as a channel keeps is behind them in its channel as well.
     Entries whose name may be blank once normalised are all left in."""
-    # a name with a letter or digit is its own key, whatever the other columns hold
-    blank = F.when(F.coalesce(F.col("name").rlike(WORD_RE), F.lit(False)), F.lit(None)).otherwise(F.col("url"))
+    # a plain name with a letter or digit is its own key, whatever the other
+    # columns hold (a wide one may be a letter that normalises to nothing)
+    blank = F.when(has_plain_word(F.col("name")), F.lit(None)).otherwise(F.col("url"))
     w = Window.partitionBy(F.xxhash64("name", blank), "name", blank).orderBy(F.col("score_dec").desc(), F.col("url"))
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") <= max(1, keep_per_channel) + max_fallback_urls).drop("_rn"))

@@ -247,14 +247,14 @@ def test_entries_of_given_ids(spark):
 def test_a_name_with_a_word_is_no_blank(spark):
     """``best_of_name`` takes such names for their own keys."""
     points = spark.range(0x110000).where("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
-    assert not [r.c for r in points.where(F.col("c").rlike(TX.WORD_RE)).collect() if not TX.normalize_py(r.c)]
+    assert not [r.c for r in points.where(TX.has_plain_word(F.col("c"))).collect() if not TX.normalize_py(r.c)]
 
 
 def test_names_are_limited_before_they_are_normalised(spark):
     rows = [(n, {"tvg-name": "--"}, f"http://u/{i}", i % 7) for i in range(200) for n in ("One", "one!", "--", None, "①", "\u2117")]
     df = spark.createDataFrame(rows, "name string, attrs map<string,string>, url string, w int").withColumn("score_dec", F.col("w").cast("decimal(12,2)"))
     limited = D.best_of_name(df, 2, 3)
-    assert limited.groupBy("name").count().where("name in ('One', 'one!', '①')").agg(F.max("count")).first()[0] == 5
+    assert limited.groupBy("name").count().where("name in ('One', 'one!')").agg(F.max("count")).first()[0] == 5
     key = ["dedupe_key", "url", "channel_rank", "fallback_urls"]
     assert _texts(D.dedupe_channels(limited, 2, 3), key) == _texts(D.dedupe_channels(df, 2, 3), key)
 
