@@ -1,12 +1,14 @@
 """Steps whose cost must grow no faster than their input."""
 
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from chanloom.functions import text as TX
 from chanloom.functions import urls as U
+from chanloom.operators import classify as CL
 from chanloom.operators import dedupe as D
 from chanloom.operators import parse as P
 from chanloom.operators import probe as PR
@@ -47,6 +49,24 @@ def test_fields_are_normalised_once_per_combination(spark):
         assert "ArrowEvalPython" not in plan, name
 
 
+def test_keywords_meet_fields_not_texts(spark, monkeypatch):
+    """A channel under many hosts and names has as many texts; their grams
+    filled the disk.  Only the distinct fields are taken apart."""
+    seen, candidates = [], RT.candidates
+    monkeypatch.setattr(RT, "candidates", lambda values, *more: seen.append(values.count()) or candidates(values, *more))
+    rows = [("s", i, f"name {i % 20}", f"http://h{i // 400}.az/{i}", "news", {"tvg-id": f"p{i // 20 % 20}.tr", "tvg-name": "b"}, 50, None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "source_name string, entry_id long, name string, url string, group_title string, attrs map<string,string>, source_weight int, source_tags array<string>")
+    rules = spark.createDataFrame([("keyword", i, k, f"r{i}") for i, k in enumerate(["name 7", "b p3", "p11 t", "9 news b", "tr h5"])], RT.SCHEMA)
+    got = RT.country_by_tables(CL.with_normalized(df), rules).groupBy("country").count().collect()
+
+    def rule(i):
+        text = f"name {i % 20} news b p{i // 20 % 20} tr h{i // 400} az"
+        return next((f"r{n}" for n, k in enumerate(["name 7", "b p3", "p11 t", "9 news b", "tr h5"]) if k in text), "other")
+
+    assert {r.country: r["count"] for r in got} == dict(Counter(map(rule, range(4000))))
+    assert seen and max(seen) < 100
+
+
 def test_references_are_resolved_where_samples_are_scanned(spark):
     rows = [("http://a/x/1", 1, 200, "", b"#EXTM3U\n../c", "", 5), ("http://a/2", 1, 200, "", b"", "", 5), (None, 1, 200, "", b"c", "", 5)]
     s = spark.createDataFrame(rows, "url string, attempt int, status int, content_type string, body binary, error string, elapsed_ms int")

@@ -102,3 +102,70 @@ def test_salted_left_join(spark):
     assert got == sorted(map(tuple, left.join(right, "key", "left").select("id", "key", "v").collect()))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sum(sizes) == 10_000 and len(sizes) == parts and max(sizes) < 10_000 * 0.6
+
+
+def _channels(spark, n, seed):
+    """Entries of few words, so that keywords lie across their fields, and a
+    channel under many hosts."""
+    random.seed(seed)
+    words = ["a", "ab", "b", "tv", "7", "Ünal", "x.y"]
+
+    def text(most):
+        return " ".join(random.choices(words, k=random.randint(0, most)))
+
+    rows = [("s", i, text(3), f"http://{random.choice(['a.b', 'tv', 'ab.tv.a', 'h7.az'])}/{i % 9}", random.choice([text(2), None]),
+             {"tvg-id": text(2), "tvg-name": text(1)} if i % 5 else {}, 50, random.choice([None, [], ["t"], ["T", "u"]])) for i in range(n)]
+    return spark.createDataFrame(rows, ENTRY)
+
+
+@pytest.mark.parametrize("task_rows, small_rows", [(RT.TASK_ROWS, RT.SMALL_ROWS), (20, 0)])
+def test_keywords_across_fields(spark, monkeypatch, task_rows, small_rows):
+    """Keywords of one to six words, which begin and end anywhere in the five
+    fields; salted and unsalted, looked up with and without a broadcast."""
+    monkeypatch.setattr(RT, "SMALL_ROWS", small_rows)
+    df = _channels(spark, 400, 5)
+    words = ["a", "b", "ab", "tv", "7", "ünal", "y", "x"]
+    keywords = list(dict.fromkeys(" ".join(random.choices(words, k=random.choice([1, 2, 2, 3, 3, 4, 5, 6]))) for _ in range(260)))
+    random.shuffle(keywords)
+    countries = [{"id": f"r{i}", "keywords": [k]} for i, k in enumerate(k for k in keywords if len(k) > 3)] + [{"id": "t", "source_tags": ["t"], "tlds": [".az"], "tvg_id_suffixes": ["b 7"]}]
+    want = {r.entry_id: r.country for r in C.classify(df, Profile(countries=countries, categories=[])).collect()}
+    rows = RT.country_by_tables(C.with_normalized(df), RT.rule_table(spark, countries, "other"), task_rows).collect()
+    assert len(rows) == len(want) and {r.entry_id: r.country for r in rows} == want
+    assert len(set(want.values())) > 30
+
+
+def test_keywords_over_three_and_more_fields(spark):
+    """Spans of two to five fields, some ending in the host; a blank field in
+    between breaks them.  Every keyword has letters and entries of its own."""
+    fields = [("one", "two", "three", "four", "five.x"), ("none", "two", "three", "fourth", "five.y"), ("one", "", "three", "four", "six.x"), ("one", "two", "thre", "four", "five.x")]
+    keywords = ["one two three four five", "ne two three fo", "e three", "e two thre four", "three four six", "four five x", "one three", "two three fourth five y", "o three", "one two three four five xx"]
+
+    def own(text, k):
+        return "".join(chr(0x4E00 + 32 * k + ord(c) - 97) if c.isalpha() else c for c in text)
+
+    rows = [("s", 10 * k + i, own(n, k), f"http://{own(h, k)}/{i}", own(g, k), {"tvg-name": own(t, k), "tvg-id": own(d, k)}, 50, None)
+            for k in range(len(keywords)) for i, (n, g, t, d, h) in enumerate(fields)]
+    rules = spark.createDataFrame([("keyword", k, own(keyword, k), f"r{k}") for k, keyword in enumerate(keywords)], RT.SCHEMA)
+    got = RT.country_by_tables(C.with_normalized(spark.createDataFrame(rows, ENTRY)), rules).collect()
+    texts = [" ".join([*f[:4], f[4].replace(".", " ")]) for f in fields]
+    assert {r.entry_id: r.country for r in got} == {10 * k + i: f"r{k}" if keyword in text else "other" for k, keyword in enumerate(keywords) for i, text in enumerate(texts)}
+    assert sum(r.country != "other" for r in got) == sum(keyword in text for keyword in keywords for text in texts)
+
+
+def test_one_number_for_two_channels(spark, monkeypatch):
+    """Channels whose numbers are equal get other numbers."""
+    xxhash64, asked = F.xxhash64, []
+
+    def weak(*columns):
+        if len(columns) == 1 + len(RT.TEXT_FIELDS):
+            asked.append(columns)
+            if len(asked) == 1:
+                return xxhash64(F.lit(0))
+        return xxhash64(*columns)
+
+    monkeypatch.setattr(RT.F, "xxhash64", weak)
+    df = C.with_normalized(_channels(spark, 60, 6))
+    countries = [{"id": "k", "keywords": ["tv a"]}, {"id": "i", "tvg_id_suffixes": ["7"]}]
+    want = {r.entry_id: r.country for r in C.classify(df, Profile(countries=countries, categories=[])).collect()}
+    assert {r.entry_id: r.country for r in RT.country_by_tables(df, RT.rule_table(spark, countries, "other")).collect()} == want
+    assert len(asked) > 1
